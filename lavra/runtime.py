@@ -63,3 +63,11 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether `df` was measured to be small enough to copy to every executor."""
     return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+
+
+def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """`df` marked for broadcast if it was measured to fit; otherwise unchanged.
+
+    Unmarked sides join by shuffle, where adaptive execution splits hot partitions.
+    """
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
