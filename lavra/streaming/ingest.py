@@ -82,17 +82,16 @@ def ingest(
 def run_bounded(
     query: StreamingQuery, max_rows: int, max_seconds: float, poll_seconds: float = 1.0
 ) -> int:
-    """Let a query run until it read `max_rows`, `max_seconds` passed, or it ended; the batch
-    in progress is finished first. Returns the rows read."""
+    """Let a query run until it read `max_rows`, `max_seconds` passed, or it ended. Returns the
+    rows read. A batch cut off by the stop was not committed and comes again on restart."""
     deadline = time.monotonic() + max_seconds
-    while query.isActive and time.monotonic() < deadline and _rows(query) < max_rows:
+    per_batch: dict[int, int] = {}
+    while True:
+        active = query.isActive
+        per_batch.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+        read = sum(per_batch.values())
+        if not active or read >= max_rows or time.monotonic() >= deadline:
+            break
         query.awaitTermination(poll_seconds)
-    if query.isActive:
-        query.processAllAvailable()
-        query.stop()
-    return _rows(query)
-
-
-def _rows(query: StreamingQuery) -> int:
-    per_batch = {p["batchId"]: p["numInputRows"] for p in query.recentProgress}
-    return sum(per_batch.values())
+    query.stop()
+    return read
