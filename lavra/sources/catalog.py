@@ -30,8 +30,9 @@ class Source:
             return spark.read.table(self.location)
         if self.format == "csv":
             return files.read_csv(spark, self.location, self.schema)
-        if self.format == "places_json":
-            return files.flatten_places(files.read_places_json(spark, self.location))
+        if self.format in ("places_json", "places_json_lines"):
+            array = self.format == "places_json"
+            return files.flatten_places(files.read_places_json(spark, self.location, array))
         return spark.read.schema(self.schema).format(self.format).load(self.location)
 
 

@@ -30,9 +30,9 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.options(header=True, encoding="UTF-8").csv(path)
 
 
-def read_places_json(spark: SparkSession, path: str) -> DataFrame:
-    """Nested place records: an array per file, or one record per line."""
-    return spark.read.schema(PLACES_JSON).option("multiLine", True).json(path)
+def read_places_json(spark: SparkSession, path: str, array: bool = True) -> DataFrame:
+    """Nested place records: one array per file as an API returns it, or one per line."""
+    return spark.read.schema(PLACES_JSON).option("multiLine", array).json(path)
 
 
 def flatten_places(nested: DataFrame) -> DataFrame:
