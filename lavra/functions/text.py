@@ -8,9 +8,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The characters with the Unicode property White_Space.
+WHITE_SPACE = (
+    "\t\n\v\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def trim_ws(col: Column) -> Column:
     """Strip every kind of Unicode white space from both ends (`F.trim` strips blanks only)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def upper_code(col: Column) -> Column:

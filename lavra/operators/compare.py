@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lavra.functions.numbers import deviation, target_met
-from lavra.operators.joins import lookup_join
 
 
 def key_spine(inputs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -18,11 +17,6 @@ def key_spine(inputs: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), sides).distinct()
 
 
-def attach(spine: DataFrame, sides: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Left-join every side to the spine; keys with NULL match nothing, repeats fan out."""
-    return reduce(lambda left, side: lookup_join(left, side, keys), sides, spine)
-
-
 def verdicts(df: DataFrame, target: str, pairs: Sequence[tuple[str, str, str]]) -> DataFrame:
     """Add, for each (actual, deviation name, flag name), the distance to the target and
     whether it was met."""

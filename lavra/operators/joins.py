@@ -15,18 +15,29 @@ _SALT = "_salt"
 
 
 def lookup_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], limit: int | None = None
+    left: DataFrame, sides: Sequence[DataFrame], keys: Sequence[str], limit: int | None = None
 ) -> DataFrame:
-    """`left` LEFT JOIN `right` on equal `keys`; every match of a key gives a row.
+    """`left` LEFT JOIN each of `sides` on equal `keys`; every match of a key gives a row.
 
-    A small `right` is broadcast. In a larger one a single key may own a large share of the
-    rows, and adaptive execution cannot split the optional side of an outer join. So its
-    rows get a written salt, the distinct (key, salt) pairs fan `left` out, and the rows
-    are then fetched by key and salt: the same result, with every hot key in `SALTS` parts.
+    A small side is broadcast. In a larger one a single key may own a large share of the
+    rows, and adaptive execution cannot split the optional side of an outer join, so such a
+    side is joined by `salted_lookup`.
+    """
+    for side, fits in zip(sides, fits_broadcast(*sides, limit=limit), strict=True):
+        if fits:
+            left = left.join(F.broadcast(side), list(keys), "left")
+        else:
+            left = salted_lookup(left, side, keys)
+    return left
+
+
+def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same result as a left join, with every hot key of `right` in `SALTS` parts.
+
+    The rows of `right` get a written salt, the distinct (key, salt) pairs fan `left` out,
+    and the rows are then fetched by key and salt.
     """
     keys = list(keys)
-    if fits_broadcast(right, limit):
-        return left.join(F.broadcast(right), keys, "left")
     # NULL keys match nothing. The salt is stored, so a repeated task cannot change it.
     matchable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     salted = materialize(
@@ -34,6 +45,5 @@ def lookup_join(
         "lookup",
     )
     pairs = salted.select(*keys, _SALT).distinct()
-    return (
-        left.join(pairs, keys, "left").join(salted, [*keys, _SALT], "left").drop(_SALT)
-    )
+    fanned = left.join(pairs, keys, "left")
+    return fanned.join(salted, [*keys, _SALT], "left").drop(_SALT)

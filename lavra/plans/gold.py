@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from lavra.functions.numbers import for_year
 from lavra.operators import indicator
-from lavra.operators.compare import attach, key_spine, verdicts
+from lavra.operators.compare import key_spine, verdicts
 from lavra.operators.freshness import FreshnessNames, freshness
+from lavra.operators.joins import lookup_join
 from lavra.plans import fixed
 from lavra.plans.silver import PROCESSED_AT
 from lavra.runtime import bounded
@@ -159,7 +160,7 @@ def place_mart(
     )
     names = dim.select("id_municipio", "nome_municipio", "sigla_uf", "nome_uf", "nome_regiao")
     spine = key_spine([results, targets, own], keys).join(bounded(names), "id_municipio")
-    return _judge(attach(spine, [_official(results, keys), target, own], keys), PLACE_COLUMNS)
+    return _judge(lookup_join(spine, [_official(results, keys), target, own], keys), PLACE_COLUMNS)
 
 
 def state_mart(
@@ -173,8 +174,8 @@ def state_mart(
     )
     names = dim.select("sigla_uf", "nome_uf", "nome_regiao").distinct()
     spine = key_spine([results, targets, own], keys)
-    spine = attach(spine, [names], ["sigla_uf"])
-    return _judge(attach(spine, [_official(results, keys), target, own], keys), STATE_COLUMNS)
+    spine = lookup_join(spine, [names], ["sigla_uf"])
+    return _judge(lookup_join(spine, [_official(results, keys), target, own], keys), STATE_COLUMNS)
 
 
 def nation_mart(parts: DataFrame, targets: DataFrame) -> DataFrame:
@@ -186,7 +187,7 @@ def nation_mart(parts: DataFrame, targets: DataFrame) -> DataFrame:
         targets, keys, F.col("taxa_alfabetizacao").alias("taxa_alfabetizacao_real")
     )
     spine = key_spine([targets, own], keys)
-    return _judge(attach(spine, [target, own], keys), NATION_COLUMNS)
+    return _judge(lookup_join(spine, [target, own], keys), NATION_COLUMNS)
 
 
 def freshness_mart(stream: DataFrame, students: DataFrame) -> DataFrame:

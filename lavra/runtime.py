@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A side is broadcast only after its values were measured to fit in this many bytes.
@@ -50,19 +50,33 @@ def drop_files(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of all values of `df` as text plus row overhead, from one distributed aggregate."""
+def measured_bytes(*sides: DataFrame) -> list[int]:
+    """Per side, the size of all its values as text plus row overhead.
+
+    One job for all sides; each is a distributed sum, the driver gets one number per side.
+    """
+    sizes = [
+        side.agg(F.coalesce(F.sum(_row_width(side)), F.lit(0)).alias("size")).select(
+            F.lit(i).alias("side"), "size"
+        )
+        for i, side in enumerate(sides)
+    ]
+    measured = reduce(lambda a, b: a.unionByName(b), sizes).collect()
+    return [row["size"] for row in sorted(measured, key=lambda row: row["side"])]
+
+
+def _row_width(df: DataFrame) -> Column:
     widths = [
         F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + F.lit(16)
         for name in df.columns
     ]
-    width = reduce(lambda a, b: a + b, widths).cast("bigint")
-    return df.agg(F.sum(width).alias("size")).first()["size"] or 0
+    return reduce(lambda a, b: a + b, widths).cast("bigint")
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether `df` was measured to be small enough to copy to every executor."""
-    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+def fits_broadcast(*sides: DataFrame, limit: int | None = None) -> list[bool]:
+    """Per side, whether it was measured to be small enough to copy to every executor."""
+    bound = BROADCAST_BYTES if limit is None else limit
+    return [size <= bound for size in measured_bytes(*sides)]
 
 
 def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -70,4 +84,5 @@ def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
 
     Unmarked sides join by shuffle, where adaptive execution splits hot partitions.
     """
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+    (fits,) = fits_broadcast(df, limit=limit)
+    return F.broadcast(df) if fits else df

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from lavra.sources.ledger import INGESTED_AT, SOURCE_FILE
 
 VALUE = "value"
+MESSAGE = "_message"
 REASON = "_bad_reason"
 
 _PARSED = "_parsed"
@@ -29,14 +30,14 @@ def decode_base64(events: DataFrame) -> DataFrame:
 
 
 def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns of `schema` from the JSON text in `value`, plus the text and a bad reason.
+    """Columns of `schema` from the JSON text in `value`, plus the message and a bad reason.
 
     Empty text and missing fields give NULL. Numbers may arrive as text; text that is no
     number, or a message that is no JSON object, sets the reason and is never dropped.
-    Fields outside `schema` are ignored here and stay visible in `value`.
+    Fields outside `schema` are left out of the columns.
     """
     text = F.col(VALUE).cast("string")
-    parsed = events.select(text.alias(VALUE), F.try_parse_json(text).alias(_PARSED))
+    parsed = events.select(text.alias(MESSAGE), F.try_parse_json(text).alias(_PARSED))
     is_object = F.coalesce(F.schema_of_variant(_PARSED).startswith("OBJECT"), F.lit(False))
     bad = [(F.lit("not a JSON object"), ~is_object)]
     columns: list[Column] = []
@@ -48,7 +49,7 @@ def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
             raw = _field(column.name, "string")
             bad.append((F.lit(f"{column.name} is not a number"), (raw != "") & value.isNull()))
     reason = F.coalesce(*[F.when(condition, text) for text, condition in bad])
-    return parsed.select(*columns, VALUE, reason.alias(REASON))
+    return parsed.select(*columns, MESSAGE, reason.alias(REASON))
 
 
 def arrive(decoded: DataFrame, source: str) -> DataFrame:
@@ -57,13 +58,13 @@ def arrive(decoded: DataFrame, source: str) -> DataFrame:
 
 
 def good(decoded: DataFrame) -> DataFrame:
-    return decoded.where(F.col(REASON).isNull()).drop(VALUE, REASON)
+    return decoded.where(F.col(REASON).isNull()).drop(MESSAGE, REASON)
 
 
 def bad(decoded: DataFrame) -> DataFrame:
     """Rejected messages as they came, with the reason."""
     meta = [c for c in (INGESTED_AT, SOURCE_FILE) if c in decoded.columns]
-    return decoded.where(F.col(REASON).isNotNull()).select(VALUE, REASON, *meta)
+    return decoded.where(F.col(REASON).isNotNull()).select(MESSAGE, REASON, *meta)
 
 
 def split(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
