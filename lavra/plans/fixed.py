@@ -21,6 +21,16 @@ PLACE_KEY_WIDTH = 7
 
 QUARANTINE_REASON = "id_municipio não encontrado em dim_localidades"
 
+# Published name of each batch source, and its Bronze table.
+PUBLISHED_NAMES = {
+    "meta_alfabetizacao_brasil": "meta_alfabetizacao_brasil",
+    "meta_alfabetizacao_uf": "meta_alfabetizacao_uf",
+    "meta_alfabetizacao_municipio": "meta_alfabetizacao_municipio",
+    "uf": "avaliacao_alfabetizacao_uf",
+    "municipio": "avaliacao_alfabetizacao_municipio",
+    "alunos": "dados_alunos",
+}
+
 PLACES_SCHEMA = (
     "id_municipio bigint, nome_municipio string, sigla_uf string, nome_uf string, "
     "id_uf bigint, sigla_regiao string, nome_regiao string"

@@ -736,7 +736,7 @@ def oracle_sql() -> dict[str, str]:
     FROM events GROUP BY ALL""",
         "events_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
         "events_rejected": """
-    SELECT CASE WHEN event_type <> 'view' THEN 'value is not a number' END AS _bad_reason,
+    SELECT CASE WHEN event_type <> 'view' THEN 'value is not double' END AS _bad_reason,
            count(*)::BIGINT AS n_events, sum(event_id)::BIGINT AS sum_event_id
     FROM events GROUP BY ALL""",
         "stream_ingest": _with(

@@ -183,7 +183,8 @@ def mart_frescor_streaming(t: Tables) -> DataFrame:
     """The arrival time stands in for the processing time, which differs in every run."""
     dim = _small_dim(t)
     latest = silver.latest_students(standin.events(t))
-    known = enrich(latest, dim.select("id_municipio", "sigla_uf"), silver._place_key(), "id_municipio")
+    side = dim.select("id_municipio", "sigla_uf")
+    known = enrich(latest, side, silver.place_key(), "id_municipio")
     stream = known.withColumn("_processed_at", F.col("_ingested_at"))
     return shown(gold.freshness_mart(stream, _students(t)))
 
@@ -445,9 +446,8 @@ def key_spine_(t: Tables) -> DataFrame:
 @query
 def reconcile_mae(t: Tables) -> DataFrame:
     """Own state rates and scores, weighted and not, against the official ones."""
-    parts = indicator.roll_up(
-        _components(t), ["ano", "sigla_uf"], "rede", fixed.NETWORK_ROLLUP, fixed.NETWORK_ROLLUP_MEMBERS
-    )
+    rolled, members = fixed.NETWORK_ROLLUP, fixed.NETWORK_ROLLUP_MEMBERS
+    parts = indicator.roll_up(_components(t), ["ano", "sigla_uf"], "rede", rolled, members)
     own = parts.select(
         "ano",
         "sigla_uf",

@@ -14,7 +14,7 @@ from lavra.functions.times import utc_now
 from lavra.operators.quality import QualityRun
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
-from lavra.runtime import bounded, materialize
+from lavra.runtime import bounded, staging
 from lavra.sources.catalog import Source
 from lavra.sources.ledger import (
     INGESTED_AT,
@@ -72,6 +72,14 @@ def source(table: str, format: str, location: str) -> Source:
     return Source(table, format, location, schema_of(table))
 
 
+def published_sources(format: str, location: str) -> list[Source]:
+    """The batch sources under their published names; `location` holds `{name}`."""
+    return [
+        source(table, format, location.format(name=name))
+        for name, table in fixed.PUBLISHED_NAMES.items()
+    ]
+
+
 def build_bronze(
     spark: SparkSession,
     config: Config,
@@ -150,9 +158,9 @@ def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         (STREAM_TABLE, read_stream_table(spark, config)),
     ):
         # Ranked once, written once, split twice.
-        latest = materialize(silver.latest_students(raw), table)
-        stage(table, silver.students(latest, dim))
-        stage(f"quarentena_{table}", silver.rejected(latest, dim))
+        with staging(silver.latest_students(raw), table) as latest:
+            stage(table, silver.students(latest, dim))
+            stage(f"quarentena_{table}", silver.rejected(latest, dim))
     return list(staged.values())
 
 
@@ -163,23 +171,23 @@ def stage_gold(
     store = LayerStore(spark, config.root)
     t = tables or store.current("silver")
     dim = t["dim_localidades"]
-    parts = materialize(gold.student_components(t["dados_alunos"]), "components")
-    marts = {
-        "mart_comparativo_municipio": gold.place_mart(
-            parts,
-            t["avaliacao_alfabetizacao_municipio"],
-            t["meta_alfabetizacao_municipio"],
-            dim,
-        ),
-        "mart_comparativo_uf": gold.state_mart(
-            parts, t["avaliacao_alfabetizacao_uf"], t["meta_alfabetizacao_uf"], dim
-        ),
-        "mart_comparativo_brasil": gold.nation_mart(parts, t["meta_alfabetizacao_brasil"]),
-        "mart_frescor_streaming": gold.freshness_mart(t[STREAM_TABLE], t["dados_alunos"]),
-    }
-    return [
-        store.stage(mart, "gold", name, gold.LAYOUTS[name]) for name, mart in marts.items()
-    ]
+    with staging(gold.student_components(t["dados_alunos"]), "components") as parts:
+        marts = {
+            "mart_comparativo_municipio": gold.place_mart(
+                parts,
+                t["avaliacao_alfabetizacao_municipio"],
+                t["meta_alfabetizacao_municipio"],
+                dim,
+            ),
+            "mart_comparativo_uf": gold.state_mart(
+                parts, t["avaliacao_alfabetizacao_uf"], t["meta_alfabetizacao_uf"], dim
+            ),
+            "mart_comparativo_brasil": gold.nation_mart(parts, t["meta_alfabetizacao_brasil"]),
+            "mart_frescor_streaming": gold.freshness_mart(t[STREAM_TABLE], t["dados_alunos"]),
+        }
+        return [
+            store.stage(mart, "gold", name, gold.LAYOUTS[name]) for name, mart in marts.items()
+        ]
 
 
 def build_silver(spark: SparkSession, config: Config) -> None:

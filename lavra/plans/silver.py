@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.functions.text import pad_key
@@ -136,13 +136,13 @@ def rejected(bronze: DataFrame, dim: DataFrame) -> DataFrame:
         "_motivo_quarentena": F.lit(fixed.QUARANTINE_REASON),
         "_quarantined_at": F.current_timestamp(),
     }
-    return quarantine(bronze, dim, _place_key(), "id_municipio", marks)
+    return quarantine(bronze, dim, place_key(), "id_municipio", marks)
 
 
 def _known(bronze: DataFrame, dim: DataFrame) -> DataFrame:
     side = dim.select("id_municipio", "sigla_uf")
-    return enrich(bronze, side, _place_key(), "id_municipio")
+    return enrich(bronze, side, place_key(), "id_municipio")
 
 
-def _place_key():
+def place_key() -> Column:
     return pad_key(F.col("id_municipio"), fixed.PLACE_KEY_WIDTH)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,10 +46,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_files(spark: SparkSession, path: str) -> None:
-    """Remove a staging path this library wrote."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+@contextmanager
+def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """Like `materialize`, for consumers that all finish inside the block; the files are
+    removed at its end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def measured_bytes(*sides: DataFrame) -> list[int]:

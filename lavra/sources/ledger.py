@@ -43,10 +43,12 @@ def append_snapshot(
     """Append `df` as one snapshot, by column name; the first append creates the table.
 
     The snapshot counts once its row is in the list, so an append that dies half way is
-    never read. Repeating it with the same time replaces nothing and must use a new time.
+    never read. Repeating it with the same time replaces the unfinished partition.
     """
     spark = df.sparkSession
     require_utc(spark)
+    if _finished(spark, path, ingested_at):
+        raise ValueError(f"{path} already has a snapshot of {ingested_at}")
     missing = set(schema.names) ^ set(df.columns)
     if missing:
         raise ValueError(f"columns differ from the declared schema: {sorted(missing)}")
@@ -54,7 +56,8 @@ def append_snapshot(
     (
         stamp(df.to(schema), ingested_at, source)
         .observe(size, F.count(F.lit(1)).alias("row_count"))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(INGESTED_AT)
         .parquet(path)
     )
@@ -104,5 +107,13 @@ def snapshot_counts(df: DataFrame, column: str = INGESTED_AT) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def _finished(spark: SparkSession, path: str, ingested_at: dt.datetime) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_list_path(path))
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return False
+    same = F.unix_micros("ingested_at") == micros(ingested_at)
+    return not snapshots(spark, path).where(same).isEmpty()
+
+
 def _list_path(path: str) -> str:
     return f"{path.rstrip('/')}__snapshots"

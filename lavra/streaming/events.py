@@ -13,7 +13,6 @@ MESSAGE = "_message"
 REASON = "_bad_reason"
 
 _PARSED = "_parsed"
-_WIDEN = {"bigint": "bigint", "int": "bigint", "double": "double", "float": "double"}
 
 
 def as_events(rows: DataFrame) -> DataFrame:
@@ -21,6 +20,20 @@ def as_events(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*")).alias(VALUE))
 
 
+def replay(rows: DataFrame, limit: int) -> DataFrame:
+    """A bounded sample of a table as messages; which rows is up to the scan order."""
+    return as_events(rows.limit(limit))
+
+
+def write_events(messages: DataFrame, format: str, location: str, **options: str) -> None:
+    """Send messages to a Kafka topic, or append them to a folder as one line each."""
+    writer = messages.select(VALUE).write.format(format).mode("append").options(**options)
+    if format == "kafka":
+        writer.option("topic", location).save()
+    else:
+        writer.save(location)
+
+
 def encode_base64(events: DataFrame) -> DataFrame:
     return events.select(F.base64(F.encode(VALUE, "UTF-8")).alias(VALUE))
 
@@ -42,13 +55,13 @@ def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
     bad = [(F.lit("not a JSON object"), ~is_object)]
     columns: list[Column] = []
     for column in schema.fields:
-        kind = _WIDEN.get(column.dataType.simpleString(), "string")
+        kind = column.dataType.simpleString()
         value = _field(column.name, kind)
-        columns.append(value.cast(column.dataType).alias(column.name))
+        columns.append(value.alias(column.name))
         if kind != "string":
-            raw = _field(column.name, "string")
-            bad.append((F.lit(f"{column.name} is not a number"), (raw != "") & value.isNull()))
-    reason = F.coalesce(*[F.when(condition, text) for text, condition in bad])
+            unread = (_field(column.name, "string") != "") & value.isNull()
+            bad.append((F.lit(f"{column.name} is not {kind}"), unread))
+    reason = F.coalesce(*[F.when(failed, explanation) for explanation, failed in bad])
     return parsed.select(*columns, MESSAGE, reason.alias(REASON))
 
 
