@@ -81,7 +81,7 @@ def snapshots(spark: SparkSession, path: str) -> DataFrame:
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All snapshots of a table."""
     require_utc(spark)
-    full = T.StructType(schema.fields).add(SOURCE_FILE, "string").add(INGESTED_AT, "timestamp")
+    full = T.StructType(list(schema.fields)).add(SOURCE_FILE, "string").add(INGESTED_AT, "timestamp")
     return spark.read.schema(full).parquet(path)
 
 
