@@ -91,5 +91,5 @@ class StagedTable:
     schema: T.StructType
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Read with the declared schema, which also covers a version without rows."""
-        return spark.read.schema(self.schema).parquet(self.path)
+        """Read in the declared column order; a version without rows is empty, not an error."""
+        return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)

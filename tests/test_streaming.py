@@ -1,0 +1,164 @@
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lavra.operators.dedup import latest_by
+from lavra.plans import fixed
+from lavra.streaming import events
+from lavra.streaming.ingest import ingest, parquet_sink, read_stream, run_bounded, write_batch
+
+
+@pytest.fixture
+def schema(spark):
+    return T.StructType.fromDDL("ano bigint, id string, peso double")
+
+
+def send(folder, name, *messages):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}.txt", "w", encoding="utf-8") as f:
+        f.writelines(m + "\n" for m in messages)
+
+
+def test_decode(table, schema, rows):
+    messages = [
+        '{"ano": 2024, "id": "a", "peso": 1.5}',
+        '{"ano": "2024", "id": 7, "peso": "1.5", "extra": 1}',
+        '{"ano": "", "peso": null}',
+        '{"ano": 2.9, "id": "número"}',
+        '{"ano": "2.9", "id": "b"}',
+        '{"ano": "x", "id": "c"}',
+        '{"peso": "y"}',
+        "not json",
+        "[1]",
+        None,
+    ]
+    decoded = events.decode(table("value string", *[(m,) for m in messages]), schema)
+    good, bad = events.split(decoded)
+    assert rows(good) == [
+        (2, "número", None),
+        (2024, "7", 1.5),
+        (2024, "a", 1.5),
+        (None, None, None),
+    ]
+    assert rows(bad) == [
+        ("[1]", "not a JSON object"),
+        ("not json", "not a JSON object"),
+        ('{"ano": "2.9", "id": "b"}', "ano is not bigint"),
+        ('{"ano": "x", "id": "c"}', "ano is not bigint"),
+        ('{"peso": "y"}', "peso is not double"),
+        (None, "not a JSON object"),
+    ]
+
+
+def test_encode(table, schema, rows):
+    df = table("ano bigint, id string, peso double", (2024, "São", 1.5), (None, None, None))
+    sent = events.as_events(df)
+    assert json.loads(rows(sent)[0][0]) == {"ano": 2024, "id": "São", "peso": 1.5}
+    assert "São" in rows(sent)[0][0]
+    back = events.decode(events.decode_base64(events.encode_base64(sent)), schema)
+    assert rows(events.good(back)) == rows(df)
+
+
+def test_replay_is_bounded(spark, folder, table, schema):
+    df = spark.range(50).select(F.lit(2024).alias("ano"), F.col("id").cast("string").alias("id"))
+    events.write_events(events.replay(df, 20), "text", f"{folder}/in")
+    assert spark.read.text(f"{folder}/in").count() == 20
+
+
+# Delivery: success, error of the sink, error while connecting, empty batch.
+
+
+def test_batch_is_written_and_counted(spark, folder, table):
+    batch = table("x int", (1,), (2,))
+    assert write_batch(batch, parquet_sink(f"{folder}/t")) == 2
+    assert spark.read.parquet(f"{folder}/t").count() == 2
+
+
+@pytest.mark.parametrize("error", [ValueError("rows refused"), ConnectionError("no answer")])
+def test_failing_sink_raises(table, error):
+    def sink(_df):
+        raise error
+
+    with pytest.raises(type(error)):
+        write_batch(table("x int", (1,)), sink)
+
+
+def test_empty_batch_never_reaches_the_sink(table):
+    assert write_batch(table("x int"), lambda df: pytest.fail("called")) == 0
+
+
+def test_failed_batch_is_delivered_again(spark, folder, schema, rows):
+    send(f"{folder}/in", "1", '{"id": "a", "ano": 1}', "bad")
+    messages = read_stream(spark, "text", f"{folder}/in")
+    seen = []
+
+    def failing(df):
+        seen.append(df.count())
+        raise ConnectionError("down")
+
+    args = (messages, schema, "topic")
+    bad, checkpoint = parquet_sink(f"{folder}/bad"), f"{folder}/checkpoint"
+    with pytest.raises(StreamingQueryException):
+        ingest(*args, failing, bad, checkpoint).awaitTermination()
+    assert seen == [1]
+    send(f"{folder}/in", "2", '{"id": "b", "ano": 2}')
+    good = parquet_sink(f"{folder}/good")
+    ingest(*args, good, bad, checkpoint).awaitTermination()
+    table = spark.read.parquet(f"{folder}/good")
+    assert rows(table, "id", "ano", "_source_file") == [("a", 1, "topic"), ("b", 2, "topic")]
+    assert table.where("_ingested_at IS NULL").count() == 0
+    # The bad message was written before the sink failed, hence twice: at least once.
+    assert rows(spark.read.parquet(f"{folder}/bad"), "_message") == [("bad",), ("bad",)]
+    ingest(*args, good, bad, checkpoint).awaitTermination()
+    assert spark.read.parquet(f"{folder}/good").count() == 2
+
+
+def test_redelivered_events_vanish_downstream(spark, folder, schema, rows):
+    for name in ("1", "2", "3"):
+        send(f"{folder}/in", name, '{"id": "a", "ano": 1, "peso": %s}' % name)
+        messages = read_stream(spark, "text", f"{folder}/in")
+        sinks = parquet_sink(f"{folder}/good"), parquet_sink(f"{folder}/bad")
+        ingest(messages, schema, "topic", *sinks, f"{folder}/checkpoint").awaitTermination()
+    bronze = spark.read.parquet(f"{folder}/good")
+    assert bronze.count() == 3
+    assert rows(latest_by(bronze, ["id", "ano"], [F.desc("_ingested_at")]), "peso") == [(3.0,)]
+
+
+def test_micro_batches_and_bounded_run(spark, folder, schema):
+    for n in range(6):
+        send(f"{folder}/in", str(n), *['{"id": "%d", "ano": 1}' % i for i in range(10)])
+    messages = read_stream(spark, "text", f"{folder}/in", {"maxFilesPerTrigger": "1"})
+    query = ingest(
+        messages,
+        schema,
+        "topic",
+        parquet_sink(f"{folder}/good"),
+        parquet_sink(f"{folder}/bad"),
+        f"{folder}/checkpoint",
+        {"processingTime": "0 seconds"},
+    )
+    read = run_bounded(query, max_rows=25, max_seconds=60, poll_seconds=0.2)
+    assert read >= 25 and not query.isActive
+    # What was not committed comes with the next run; nothing is lost.
+    ingest(
+        messages,
+        schema,
+        "topic",
+        parquet_sink(f"{folder}/good"),
+        parquet_sink(f"{folder}/bad"),
+        f"{folder}/checkpoint",
+    ).awaitTermination()
+    assert spark.read.parquet(f"{folder}/good").count() >= 60
+
+
+def test_event_schema_matches_the_batch_schema(spark):
+    event = T.StructType.fromDDL(fixed.STUDENT_EVENT_SCHEMA)
+    batch = T.StructType.fromDDL(fixed.STUDENT_BATCH_SCHEMA)
+    assert event.names == batch.names
+    assert event["rede"].dataType == T.LongType() and batch["rede"].dataType == T.StringType()
