@@ -70,7 +70,8 @@ def _dim(t: Tables) -> DataFrame:
 
 
 def _small_dim(t: Tables) -> DataFrame:
-    return bounded(_dim(t))
+    """The dimension as a written table, marked for broadcast if it is small enough."""
+    return bounded(materialize(_dim(t), "dim"))
 
 
 def _students(t: Tables) -> DataFrame:

@@ -14,7 +14,7 @@ from lavra.functions.times import utc_now
 from lavra.operators.quality import QualityRun
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
-from lavra.runtime import bounded, staging
+from lavra.runtime import bounded, path_exists, staging
 from lavra.sources.catalog import Source
 from lavra.sources.ledger import (
     INGESTED_AT,
@@ -98,6 +98,8 @@ def build_bronze(
 
 def ensure_stream_table(spark: SparkSession, config: Config) -> None:
     """Create the Bronze event table with its declared columns if it is absent."""
+    if path_exists(spark, config.bronze(STREAM_TABLE)):
+        return
     empty = spark.createDataFrame([], schema_of(STREAM_TABLE))
     stamp(empty, utc_now(), "").write.mode("append").parquet(config.bronze(STREAM_TABLE))
 
@@ -129,6 +131,7 @@ def read_stream_table(spark: SparkSession, config: Config) -> DataFrame:
 
 def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
     """Write new versions of all Silver tables, the dimension first."""
+    ensure_stream_table(spark, config)
     store = LayerStore(spark, config.root)
     staged: dict[str, StagedTable] = {}
 

@@ -18,14 +18,17 @@ YEAR_SHIFT = 29
 
 
 class Tables:
-    """Lazy readers for one data folder."""
+    """Lazy readers for one data folder; the schema of each table is read once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
 
 def place_code(nation: str, balance: str) -> Column:

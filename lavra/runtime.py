@@ -56,8 +56,18 @@ def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        folder, system = _hadoop(spark, path)
+        system.delete(folder, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _hadoop(spark, path)
+    return system.exists(folder)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def measured_bytes(*sides: DataFrame) -> list[int]:

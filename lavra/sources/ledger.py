@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lavra.functions.times import instant, micros
+from lavra.runtime import path_exists
 from lavra.session import require_utc
 
 log = logging.getLogger(__name__)
@@ -108,8 +109,7 @@ def snapshot_counts(df: DataFrame, column: str = INGESTED_AT) -> DataFrame:
 
 
 def _finished(spark: SparkSession, path: str, ingested_at: dt.datetime) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(_list_path(path))
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not path_exists(spark, _list_path(path)):
         return False
     same = F.unix_micros("ingested_at") == micros(ingested_at)
     return not snapshots(spark, path).where(same).isEmpty()
