@@ -9,14 +9,18 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lavra.operators.quality import QualityFailure, read_history
+from lavra.__main__ import main
+from lavra.operators.quality import QualityFailure, check_once, read_history
 from lavra.plans import fixed, gold, runs, silver
+from lavra.plans.checks import gold_rules
 from lavra.sources.catalog import Source
+from lavra.sources.files import write_csv
 from lavra.sources.tables import LayerStore
 from lavra.streaming.ingest import read_stream
 
 T1 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 T2 = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+T3 = dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc)
 
 
 def target(ano, *key, rede="Pública ", taxa=None, metas=None, tail=(90.0,)):
@@ -44,7 +48,7 @@ def load(spark, folder):
     """Write the eight sources as Parquet and append them as one Bronze snapshot."""
     config = runs.Config(f"{folder}/lake")
 
-    def run(at, places=PLACES, students=None, place_results=None):
+    def run(at, students=None):
         students = students or [
             student(1, "1"),
             student(2, "1", alf=0, peso=3.0),
@@ -56,7 +60,7 @@ def load(spark, folder):
             student(7, "1", alf=0, peso=None, prof=None),
         ]
         tables = {
-            "ibge_municipios": places,
+            "ibge_municipios": PLACES,
             "meta_alfabetizacao_brasil": [
                 target(2024, taxa=59.2, metas={2024: 59.9}),
                 target(2023, taxa=55.9, metas={2024: 59.9}),
@@ -74,8 +78,11 @@ def load(spark, folder):
                 outcome(2024, "PE", 5, 38.0),
                 outcome(2024, "RS", 0, 120.0),
             ],
-            "avaliacao_alfabetizacao_municipio": place_results
-            or [outcome(2024, "1", 5, 20.0), outcome(2024, "2", 9, 60.0), outcome(2024, "99", 5, 1.0)],
+            "avaliacao_alfabetizacao_municipio": [
+                outcome(2024, "1", 5, 20.0),
+                outcome(2024, "2", 9, 60.0),
+                outcome(2024, "99", 5, 1.0),
+            ],
             "dados_alunos": students,
         }
         sources = []
@@ -189,40 +196,50 @@ def test_from_sources_to_marts(spark, load, stream, rows):
     history = read_history(spark, config.history)
     assert history.groupBy("layer").count().orderBy("layer").collect() == [("gold", 8), ("silver", 18)]
 
-
-def test_newest_snapshot_replaces_the_tables(spark, load, stream, rows):
-    load(T1)
-    stream("1", event(1, "1"))
-    runs.build_silver(spark, load.config)
-    load(T2, students=[student(8, "3")])
-    runs.build_silver(spark, load.config)
-    t = LayerStore(spark, load.config.root).current("silver")
-    assert rows(t["dados_alunos"], "id_aluno") == [("s8",)]
-    runs.build_gold(spark, load.config)
-    assert runs.validate(spark, load.config, "gold")
-
-
-def test_critical_violation_keeps_the_old_tables(spark, load, stream, rows):
-    load(T1)
-    stream("1", event(1, "1"))
-    runs.run_silver(spark, load.config)
+    # A critical violation keeps the old tables.
     load(T2, students=[student(1, "1", alf=7)])
     with pytest.raises(QualityFailure, match="0 ou 1"):
-        runs.run_silver(spark, load.config)
-    t = LayerStore(spark, load.config.root).current("silver")
-    assert t["dados_alunos"].count() == 5
-    failed = read_history(spark, load.config.history).where("status = 'FAIL'")
-    assert rows(failed, "check_name") == [
+        runs.run_silver(spark, config)
+    assert LayerStore(spark, config.root).current("silver")["dados_alunos"].count() == 5
+    assert rows(read_history(spark, config.history).where("status = 'FAIL'"), "check_name") == [
         ("dados_alunos - presenca e alfabetizado devem ser 0 ou 1",)
     ]
 
+    # The newest snapshot replaces them.
+    load(T3, students=[student(8, "3")])
+    runs.build_silver(spark, config)
+    t = LayerStore(spark, config.root).current("silver")
+    assert rows(t["dados_alunos"], "id_aluno") == [("s8",)]
 
-def test_two_grades_fan_out_and_fail_the_unique_check(spark, load, stream):
-    load(T1, place_results=[outcome(2024, "1", 5, 20.0), outcome(2024, "1", 5, 21.0, serie=3)])
-    stream("1", event(1, "1"))
-    runs.run_silver(spark, load.config)
+def test_two_grades_fan_out_and_fail_the_unique_check(spark, table, rows):
+    dim = table(
+        "id_municipio string, nome_municipio string, sigla_uf string, nome_uf string, "
+        "nome_regiao string",
+        ("0000001", "Vila", "PE", "Pernambuco", "Nordeste"),
+    )
+    grades = [outcome(2024, "1", 5, 20.0), outcome(2024, "1", 5, 21.0, serie=3)]
+    results = silver.place_results(
+        spark.createDataFrame(grades, runs.schema_of("avaliacao_alfabetizacao_municipio")), dim
+    )
+    targets = silver.place_targets(
+        spark.createDataFrame(
+            [target(2024, "1", metas={2024: 20.5}, tail=(3, 90.0))],
+            runs.schema_of("meta_alfabetizacao_municipio"),
+        ),
+        dim,
+    )
+    students = table(
+        "ano bigint, id_municipio string, sigla_uf string, rede string, id_aluno string, "
+        "presenca bigint, preenchimento_caderno bigint, alfabetizado bigint, "
+        "proficiencia double, peso_aluno double"
+    )
+    mart = gold.place_mart(gold.student_components(students), results, targets, dim)
+    assert rows(mart, "taxa_alfabetizacao_real", "atingiu_meta_real") == [
+        (20.0, False),
+        (21.0, True),
+    ]
     with pytest.raises(QualityFailure, match="unicidade de ano . id_municipio . rede"):
-        runs.run_gold(spark, load.config)
+        check_once(mart, gold_rules()[0])
 
 
 def test_survivor_decides_about_quarantine(table):
@@ -241,3 +258,28 @@ def test_raw_keys_that_differ_by_blanks_stay_apart(table, rows):
     raw = table(columns, (*student(1, "1"), 1, "s"), padded)
     both = silver.students(silver.latest_students(raw), dim)
     assert rows(both, "id_aluno") == [("s1",), ("s1",)]
+
+
+def test_command_line(spark, folder, load):
+    load(T1)
+    published = {table: name for name, table in fixed.PUBLISHED_NAMES.items()}
+    for table, name in published.items():
+        history = spark.read.schema(runs.schema_of(table)).parquet(f"{folder}/sources/01/{table}")
+        history.write.parquet(f"{folder}/published/{name}")
+    dim = spark.createDataFrame(PLACES, runs.schema_of("ibge_municipios"))
+    write_csv(dim, f"{folder}/places.csv", dim.columns)
+    os.makedirs(f"{folder}/in")
+    with open(f"{folder}/in/1.txt", "w", encoding="utf-8") as f:
+        f.write(json.dumps(event(1, "1")) + "\n")
+
+    root = ["--root", f"{folder}/cli"]
+    where = ["--format", "parquet", "--location", f"{folder}/published/{{name}}"]
+    assert main(["bronze", *root, *where, "--places-csv", f"{folder}/places.csv"]) == 0
+    assert main(["stream", *root, "--format", "text", "--location", f"{folder}/in", "--max-messages", "1"]) == 0
+    assert main(["silver", *root]) == 0
+    assert main(["gold", *root]) == 0
+    assert main(["validate", *root, "gold"]) == 0
+    store = LayerStore(spark, f"{folder}/cli")
+    assert store.current("gold")["mart_comparativo_municipio"].count() == 6
+    assert store.current("silver")["dados_alunos_streaming"].count() == 1
+    assert main(["silver", "--root", f"{folder}/nothing"]) == 1
