@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+KNOWN = "_known"
+
 _KEY = "_reference_key"
 
 
@@ -26,6 +28,17 @@ def quarantine(
     return rejected.withColumns(dict(marks))
 
 
+def mark(df: DataFrame, dim: DataFrame, key: Column, dim_key: str) -> DataFrame:
+    """All rows with the columns of `dim` added, and whether the key is known.
+
+    For large tables whose two halves are both needed: join once, write the result with
+    `KNOWN` as folder, and read each half from its own folder.
+    """
+    side = dim.withColumnRenamed(dim_key, _KEY).withColumn(KNOWN, F.lit(True))
+    joined = df.withColumn(_KEY, key).join(side, _KEY, "left").drop(_KEY)
+    return joined.withColumn(KNOWN, F.coalesce(KNOWN, F.lit(False)))
+
+
 def orphan_count(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """One row: how many rows have a key that `dim` lacks.
 

@@ -367,16 +367,11 @@ def reference_quarantine(t: Tables) -> DataFrame:
 
 @query
 def conservation(t: Tables) -> DataFrame:
-    """Deduplicated students = valid + rejected."""
-    latest = materialize(silver.latest_students(standin.students(t)), "latest")
-    dim = _small_dim(t)
-    return catalog.row_counts(
-        [
-            ("latest", latest),
-            ("valid", silver.students(latest, dim)),
-            ("rejected", silver.rejected(latest, dim)),
-        ]
-    )
+    """Deduplicated students = valid + rejected, split from one ranking and one join."""
+    latest = silver.latest_students(standin.students(t))
+    marked = materialize(silver.marked_students(latest, _small_dim(t)), "marked")
+    valid, rejected = silver.split_students(marked)
+    return catalog.row_counts([("latest", marked), ("valid", valid), ("rejected", rejected)])
 
 
 # --- Indicators
@@ -560,12 +555,16 @@ def _silver_tables(t: Tables) -> dict[str, DataFrame]:
     for name, raw, plan in (
         ("meta_alfabetizacao_municipio", standin.place_targets(t), silver.place_targets),
         ("avaliacao_alfabetizacao_municipio", standin.place_results(t), silver.place_results),
-        ("dados_alunos", silver.latest_students(standin.students(t)), silver.students),
-        ("dados_alunos_streaming", silver.latest_students(standin.events(t)), silver.students),
     ):
         raw = materialize(raw, name)
         tables[name] = plan(raw, dim)
         tables[f"quarentena_{name}"] = silver.rejected(raw, dim)
+    for name, raw in (
+        ("dados_alunos", standin.students(t)),
+        ("dados_alunos_streaming", standin.events(t)),
+    ):
+        marked = materialize(silver.marked_students(silver.latest_students(raw), dim), name)
+        tables[name], tables[f"quarentena_{name}"] = silver.split_students(marked)
     return tables
 
 

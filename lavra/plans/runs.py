@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.times import utc_now
 from lavra.operators.quality import QualityRun
+from lavra.operators.reference import KNOWN
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
 from lavra.runtime import bounded, path_exists, staging
@@ -142,8 +143,8 @@ def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         staged[table] = store.stage(df, "silver", table, silver.LAYOUTS[table])
         return staged[table].read(spark)
 
-    written = stage("dim_localidades", silver.places(bronze("ibge_municipios")))
-    dim = bounded(written.select("id_municipio", "sigla_uf"))
+    places = stage("dim_localidades", silver.places(bronze("ibge_municipios")))
+    dim = bounded(places.select("id_municipio", "sigla_uf"))
     stage(
         "meta_alfabetizacao_brasil", silver.nation_targets(bronze("meta_alfabetizacao_brasil"))
     )
@@ -160,10 +161,12 @@ def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         ("dados_alunos", bronze("dados_alunos")),
         (STREAM_TABLE, read_stream_table(spark, config)),
     ):
-        # Ranked once, written once, split twice.
-        with staging(silver.latest_students(raw), table) as latest:
-            stage(table, silver.students(latest, dim))
-            stage(f"quarentena_{table}", silver.rejected(latest, dim))
+        # Ranked and joined once, written once, each half read from its own folder.
+        marked = silver.marked_students(silver.latest_students(raw), dim)
+        with staging(marked, table, [KNOWN]) as written:
+            valid, rejected = silver.split_students(written)
+            stage(table, valid)
+            stage(f"quarentena_{table}", rejected)
     return list(staged.values())
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lavra.functions.text import pad_key
 from lavra.operators.conform import Field, numbers_by_year, project
 from lavra.operators.dedup import latest_by
-from lavra.operators.reference import enrich, quarantine
+from lavra.operators.reference import KNOWN, enrich, mark, quarantine
 from lavra.plans import fixed
 from lavra.sources.ledger import INGESTED_AT
 from lavra.sources.tables import Layout
@@ -132,11 +132,23 @@ def students(latest: DataFrame, dim: DataFrame) -> DataFrame:
 
 def rejected(bronze: DataFrame, dim: DataFrame) -> DataFrame:
     """Raw rows of unknown places, with the reason and the time."""
-    marks = {
-        "_motivo_quarentena": F.lit(fixed.QUARANTINE_REASON),
-        "_quarantined_at": F.current_timestamp(),
-    }
-    return quarantine(bronze, dim, place_key(), "id_municipio", marks)
+    return quarantine(bronze, dim, place_key(), "id_municipio", _rejection())
+
+
+def marked_students(latest: DataFrame, dim: DataFrame) -> DataFrame:
+    """Latest rows with their state and whether their place is known; see `split_students`."""
+    return mark(latest, dim.select("id_municipio", "sigla_uf"), place_key(), "id_municipio")
+
+
+def split_students(marked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same two tables as `students` and `rejected`, without joining twice."""
+    valid = marked.where(F.col(KNOWN)).drop(KNOWN)
+    unknown = marked.where(~F.col(KNOWN)).drop(KNOWN, "sigla_uf")
+    return _processed(project(valid, STUDENTS)), unknown.withColumns(_rejection())
+
+
+def place_key() -> Column:
+    return pad_key(F.col("id_municipio"), fixed.PLACE_KEY_WIDTH)
 
 
 def _known(bronze: DataFrame, dim: DataFrame) -> DataFrame:
@@ -144,5 +156,8 @@ def _known(bronze: DataFrame, dim: DataFrame) -> DataFrame:
     return enrich(bronze, side, place_key(), "id_municipio")
 
 
-def place_key() -> Column:
-    return pad_key(F.col("id_municipio"), fixed.PLACE_KEY_WIDTH)
+def _rejection() -> dict[str, Column]:
+    return {
+        "_motivo_quarentena": F.lit(fixed.QUARANTINE_REASON),
+        "_quarantined_at": F.current_timestamp(),
+    }

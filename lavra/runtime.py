@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -47,12 +47,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 @contextmanager
-def staging(df: DataFrame, label: str) -> Iterator[DataFrame]:
+def staging(df: DataFrame, label: str, folders: Sequence[str] = ()) -> Iterator[DataFrame]:
     """Like `materialize`, for consumers that all finish inside the block; the files are
-    removed at its end."""
+    removed at its end. Filters on the `folders` columns read only the matching files."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:

@@ -31,13 +31,16 @@ class Layout:
 def write_layout(df: DataFrame, path: str, layout: Layout) -> None:
     """Write `df` partitioned, with rows of equal cluster values close together.
 
-    The rebalance hint shuffles on the layout columns, then merges small shuffle blocks and
-    splits large ones, so one value with a third of all rows is written by many tasks. The
-    order inside each file makes the Parquet statistics selective on the cluster columns.
+    The rebalance hint shuffles on the folders and the first cluster column, so a file holds
+    few of their values. It then merges small shuffle blocks and splits large ones: one value
+    with a third of all rows is written by many tasks. The order inside each file makes the
+    Parquet statistics selective on the other cluster columns as well.
     """
-    keys = [*layout.partition, *layout.cluster]
-    if keys:
-        df = df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    spread = [*layout.partition, *layout.cluster[:1]]
+    df = df.hint("rebalance", *[F.col(name) for name in spread])
+    order = [*layout.partition, *layout.cluster]
+    if order:
+        df = df.sortWithinPartitions(*order)
     df.write.mode("errorifexists").partitionBy(*layout.partition).parquet(path)
 
 

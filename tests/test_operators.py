@@ -15,7 +15,7 @@ from lavra.operators.dedup import latest_by
 from lavra.operators.freshness import FreshnessNames, freshness
 from lavra.operators.joins import lookup_join, salted_lookup
 from lavra.operators.reconcile import mean_absolute_errors
-from lavra.operators.reference import enrich, orphan_count, quarantine
+from lavra.operators.reference import KNOWN, enrich, mark, orphan_count, quarantine
 from lavra.runtime import bounded, fits_broadcast, measured_bytes
 
 few = settings(
@@ -67,6 +67,10 @@ def test_reference_split(table, rows, broadcast):
     assert rows(enrich(df, dim, key, "k")) == [(1, "1", "A"), (2, "2", "B"), (2, "2", "B2")]
     bad = quarantine(df, dim, key, "k", {"why": F.lit("unknown")})
     assert rows(bad) == [(3, "3", "unknown"), (4, None, "unknown")]
+    marked = mark(df, dim, key, "k")
+    assert rows(marked.where(KNOWN).drop(KNOWN)) == rows(enrich(df, dim, key, "k"))
+    unknown = marked.where(~F.col(KNOWN)).drop(KNOWN, "uf")
+    assert rows(unknown) == rows(bad.drop("why"))
     padded = df.withColumn("place", key)
     assert rows(orphan_count(padded, dim, "place", "k")) == [(2,)]
     assert rows(orphan_count(padded.where("id = 1"), dim, "place", "k")) == [(0,)]

@@ -249,6 +249,10 @@ def test_survivor_decides_about_quarantine(table):
     latest = silver.latest_students(raw)
     assert silver.students(latest, dim).count() == 0
     assert silver.rejected(latest, dim).count() == 1
+    valid, unknown = silver.split_students(silver.marked_students(latest, dim))
+    assert valid.columns == silver.students(latest, dim).columns
+    assert unknown.columns == silver.rejected(latest, dim).columns
+    assert (valid.count(), unknown.count()) == (0, 1)
 
 
 def test_raw_keys_that_differ_by_blanks_stay_apart(table, rows):
