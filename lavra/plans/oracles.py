@@ -554,7 +554,7 @@ def oracle_sql() -> dict[str, str]:
         "publish_partitioned": """
     SELECT year(l_shipdate)::INTEGER AS ship_year, l_returnflag, count(*)::BIGINT AS n_lines,
            round(sum(l_quantity) + 1e-8, 6) AS quantity
-    FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY ALL""",
+    FROM lineitem GROUP BY ALL""",
         "sample_limit": "SELECT * FROM events ORDER BY event_id LIMIT 500",
     }
     projections = {

@@ -21,7 +21,7 @@ from lavra.operators.compare import key_spine
 from lavra.operators.dedup import latest_by
 from lavra.operators.reconcile import mean_absolute_errors
 from lavra.operators.reference import enrich, quarantine
-from lavra.plans import checks, fixed, gold, silver, standin
+from lavra.plans import checks, fixed, gold, runs, silver, standin
 from lavra.plans.standin import Tables
 from lavra.runtime import bounded, materialize, scratch_path
 from lavra.sources import catalog, files, ledger
@@ -237,10 +237,8 @@ def reference_flatten(t: Tables) -> DataFrame:
     )
     json_path, csv_path = scratch_path(t.spark, "places"), scratch_path(t.spark, "places-csv")
     nested.write.json(json_path)
-    schema = T.StructType.fromDDL(fixed.PLACES_SCHEMA)
-    flat = catalog.Source("ibge_municipios", "places_json_lines", json_path, schema).read(t.spark)
-    files.write_csv(flat, csv_path, schema.names)
-    return catalog.Source("ibge_municipios", "csv", csv_path, schema).read(t.spark)
+    runs.convert_places(t.spark, json_path, csv_path, "places_json_lines")
+    return runs.source("ibge_municipios", "csv", csv_path).read(t.spark)
 
 
 @query
@@ -282,13 +280,13 @@ def snapshot_latest(t: Tables) -> DataFrame:
 
 @query
 def publish_partitioned(t: Tables) -> DataFrame:
-    """Stage order lines by year, publish them, and read one year through its folder."""
+    """Stage order lines by year, publish them, and read the published table."""
     lines = t("lineitem").withColumn("ship_year", F.year("l_shipdate"))
     store = LayerStore(t.spark, scratch_path(t.spark, "store"))
     layout = Layout(("ship_year",), ("l_returnflag", "l_suppkey"))
     store.publish("silver", [store.stage(lines, "silver", "lineitem", layout)])
-    year = store.current("silver")["lineitem"].where(F.col("ship_year") == 1998)
-    return year.groupBy("ship_year", "l_returnflag").agg(
+    published = store.current("silver")["lineitem"]
+    return published.groupBy("ship_year", "l_returnflag").agg(
         F.count(F.lit(1)).alias("n_lines"), rounded(F.sum("l_quantity")).alias("quantity")
     )
 

@@ -17,6 +17,7 @@ from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
 from lavra.runtime import bounded, path_exists, staging
 from lavra.sources.catalog import Source
+from lavra.sources.files import write_csv
 from lavra.sources.ledger import (
     INGESTED_AT,
     SOURCE_FILE,
@@ -81,6 +82,14 @@ def published_sources(format: str, location: str) -> list[Source]:
     ]
 
 
+def convert_places(
+    spark: SparkSession, json_path: str, csv_path: str, format: str = "places_json"
+) -> None:
+    """Flatten landed place records into the CSV reference file."""
+    places = source("ibge_municipios", format, json_path)
+    write_csv(places.read(spark), csv_path, places.schema.names)
+
+
 def build_bronze(
     spark: SparkSession,
     config: Config,

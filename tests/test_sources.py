@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.plans import fixed
+from lavra.plans import fixed, runs
 from lavra.sources import files, ledger
 from lavra.sources.catalog import Source
 from lavra.sources.tables import Layout, LayerStore, write_layout
@@ -108,7 +108,9 @@ def test_nested_places(spark, folder, rows):
     with open(path, "w", encoding="utf-8") as f:
         json.dump(data, f, ensure_ascii=False)
     schema = T.StructType.fromDDL(fixed.PLACES_SCHEMA)
-    flat = Source("ibge_municipios", "places_json", path, schema).read(spark)
+    csv_path = f"{folder}/places.csv"
+    runs.convert_places(spark, path, csv_path)
+    flat = Source("ibge_municipios", "csv", csv_path, schema).read(spark)
     assert flat.schema == schema
     assert rows(flat) == [
         (1, "Sem caminho", None, None, None, None, None),
@@ -128,6 +130,8 @@ def test_publish_switches_all_tables_at_once(spark, folder, table, rows):
     current = store.current("silver")
     assert rows(current["t"], "ano", "uf") == [(2025, "B")]
     assert current["e"].count() == 0
+    plan = current["t"].where("ano = 2025")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan
 
 
 def test_layout_splits_a_hot_value_and_prunes(spark, folder):
