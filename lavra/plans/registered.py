@@ -71,7 +71,7 @@ def _dim(t: Tables) -> DataFrame:
 
 def _small_dim(t: Tables) -> DataFrame:
     """The dimension as a written table, marked for broadcast if it is small enough."""
-    return bounded(materialize(_dim(t), "dim"))
+    return t.once("small dim", lambda: bounded(materialize(_dim(t), "dim")))
 
 
 def _students(t: Tables) -> DataFrame:

@@ -8,6 +8,8 @@ join and quarantine has rows to reject.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ YEAR_SHIFT = 29
 
 
 class Tables:
-    """Lazy readers for one data folder; the schema of each table is read once."""
+    """Lazy readers for one data folder; each table is opened once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -26,8 +28,14 @@ class Tables:
         self._opened: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
+        return self.once(
+            name, lambda: self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        )
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A DataFrame that several parts of one query share."""
         if name not in self._opened:
-            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            self._opened[name] = build()
         return self._opened[name]
 
 

@@ -10,10 +10,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only after its values were measured to fit in this many bytes.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+_CELL_OVERHEAD = 16
+_EIGHT_BYTES = (T.NumericType, T.BooleanType, T.DatetimeType, T.TimestampType, T.TimestampNTZType)
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only on a local master."""
@@ -71,26 +75,30 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def measured_bytes(*sides: DataFrame) -> list[int]:
-    """Per side, the size of all its values as text plus row overhead.
+    """Per side, the size of all its values plus an overhead per cell.
 
     One job for all sides; each is a distributed sum, the driver gets one number per side.
     """
     sizes = [
-        side.agg(F.coalesce(F.sum(_row_width(side)), F.lit(0)).alias("size")).select(
-            F.lit(i).alias("side"), "size"
-        )
+        side.agg(_size(side).cast("bigint").alias("size")).select(F.lit(i).alias("side"), "size")
         for i, side in enumerate(sides)
     ]
     measured = reduce(lambda a, b: a.unionByName(b), sizes).collect()
     return [row["size"] for row in sorted(measured, key=lambda row: row["side"])]
 
 
-def _row_width(df: DataFrame) -> Column:
-    widths = [
-        F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + F.lit(16)
-        for name in df.columns
-    ]
-    return reduce(lambda a, b: a + b, widths).cast("bigint")
+def _size(df: DataFrame) -> Column:
+    """Aggregate: fixed widths times rows, plus the text lengths of all other columns."""
+    fixed = 0
+    size = F.lit(0)
+    for field in df.schema.fields:
+        fixed += _CELL_OVERHEAD
+        if isinstance(field.dataType, _EIGHT_BYTES):
+            fixed += 8
+        else:
+            length = F.octet_length(F.col(f"`{field.name}`").cast("string"))
+            size = size + F.coalesce(F.sum(length), F.lit(0))
+    return size + F.count(F.lit(1)) * fixed
 
 
 def fits_broadcast(*sides: DataFrame, limit: int | None = None) -> list[bool]:
