@@ -243,7 +243,8 @@ def _mart(level: str, keys: str, place_columns: str, place_join: str) -> str:
     )
     listed = ", ".join(["ano", *keys.split(), "rede"])
     official = level != "nation"
-    inputs = [f"{level}_targets", f"{level}_indicators"] + ([f"{level}_results"] if official else [])
+    inputs = [f"{level}_targets", f"{level}_indicators"]
+    inputs += [f"{level}_results"] if official else []
     spine = " UNION ".join(f"SELECT {listed} FROM {i}" for i in inputs)
     actual = "o.taxa_alfabetizacao" if official else "m.taxa_alfabetizacao"
     columns = [
@@ -398,20 +399,19 @@ def _silver_suite() -> str:
                 critical=False,
             )
         )
-    return _with(
-        ("students", "streamed", "place_results", "place_targets", "state_results", "state_targets"),
-        _union(*checks),
-    )
+    places = ("place_results", "place_targets", "state_results", "state_targets")
+    return _with(("students", "streamed", *places), _union(*checks))
 
 
 def _gold_suite() -> str:
     place, state, nation = "place_mart", "state_mart", "nation_mart"
+    place_key = "(ano || '-' || coalesce(id_municipio, '') || '-' || coalesce(rede, ''))"
     rates = ("taxa_alfabetizacao_real", "taxa_alfabetizacao_microdados", "meta_taxa_alfabetizacao")
     outside = " OR ".join(f"{r} NOT BETWEEN 0 AND 100" for r in rates)
     checks = _union(
         _check(
             "mart_comparativo_municipio - unicidade de ano + id_municipio + rede",
-            _repeats(place, "(ano || '-' || coalesce(id_municipio, '') || '-' || coalesce(rede, ''))"),
+            _repeats(place, place_key),
         ),
         _check(
             "mart_comparativo_uf - unicidade de ano + sigla_uf + rede",
@@ -637,8 +637,10 @@ def oracle_sql() -> dict[str, str]:
              abs(p.score - o.media_portugues) AS d
       FROM state_indicators s JOIN plain p USING (ano, sigla_uf, rede)
       JOIN state_results o USING (ano, sigla_uf, rede))
-    SELECT round(avg(a) + 1e-8, 6) AS mae_rate_weighted, round(avg(b) + 1e-8, 6) AS mae_rate_plain,
-           round(avg(c) + 1e-8, 6) AS mae_score_weighted, round(avg(d) + 1e-8, 6) AS mae_score_plain,
+    SELECT round(avg(a) + 1e-8, 6) AS mae_rate_weighted,
+           round(avg(b) + 1e-8, 6) AS mae_rate_plain,
+           round(avg(c) + 1e-8, 6) AS mae_score_weighted,
+           round(avg(d) + 1e-8, 6) AS mae_score_plain,
            count(a)::BIGINT AS mae_rate_weighted_keys, count(b)::BIGINT AS mae_rate_plain_keys,
            count(c)::BIGINT AS mae_score_weighted_keys, count(d)::BIGINT AS mae_score_plain_keys
     FROM gaps""",

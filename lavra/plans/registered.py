@@ -675,7 +675,8 @@ def _streamed_bronze(t: Tables, messages: DataFrame) -> DataFrame:
     stream = read_stream(t.spark, "text", f"{root}/in")
     sink, bad_sink = parquet_sink(f"{root}/bronze"), parquet_sink(f"{root}/rejected")
     ingest(stream, schema, "events", sink, bad_sink, f"{root}/checkpoint").awaitTermination()
-    full = T.StructType(list(schema.fields)).add("_ingested_at", "timestamp").add("_source_file", "string")
+    meta = f"{ledger.INGESTED_AT} timestamp, {ledger.SOURCE_FILE} string"
+    full = f"{fixed.STUDENT_EVENT_SCHEMA}, {meta}"
     return t.spark.read.schema(full).parquet(f"{root}/bronze")
 
 

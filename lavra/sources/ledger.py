@@ -82,7 +82,8 @@ def snapshots(spark: SparkSession, path: str) -> DataFrame:
 def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """All snapshots of a table."""
     require_utc(spark)
-    full = T.StructType(list(schema.fields)).add(SOURCE_FILE, "string").add(INGESTED_AT, "timestamp")
+    meta = [(SOURCE_FILE, T.StringType()), (INGESTED_AT, T.TimestampType())]
+    full = T.StructType([*schema.fields, *[T.StructField(*field) for field in meta]])
     return spark.read.schema(full).parquet(path)
 
 
