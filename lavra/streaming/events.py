@@ -51,7 +51,9 @@ def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
     """
     text = F.col(VALUE).cast("string")
     parsed = events.select(text.alias(MESSAGE), F.try_parse_json(text).alias(_PARSED))
-    is_object = F.coalesce(F.schema_of_variant(_PARSED).startswith("OBJECT"), F.lit(False))
+    # Valid JSON is an object exactly if its first character is a brace.
+    starts = F.ltrim(F.col(MESSAGE), F.lit(" \t\r\n")).startswith("{")
+    is_object = F.col(_PARSED).isNotNull() & F.coalesce(starts, F.lit(False))
     bad = [(F.lit("not a JSON object"), ~is_object)]
     columns: list[Column] = []
     for column in schema.fields:
@@ -59,10 +61,12 @@ def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
         value = _field(column.name, kind)
         columns.append(value.alias(column.name))
         if kind != "string":
-            unread = (_field(column.name, "string") != "") & value.isNull()
+            unread = value.isNull() & (_field(column.name, "string") != "")
             bad.append((F.lit(f"{column.name} is not {kind}"), unread))
     reason = F.coalesce(*[F.when(failed, explanation) for explanation, failed in bad])
-    return parsed.select(*columns, MESSAGE, reason.alias(REASON))
+    # A plain projection would be repeated inside every filter on the reason. Filters do not
+    # move below a generator, so each message is parsed once.
+    return parsed.select(F.inline(F.array(F.struct(*columns, MESSAGE, reason.alias(REASON)))))
 
 
 def arrive(decoded: DataFrame, source: str) -> DataFrame:
