@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import simhash
+from lavra.llm import langid, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn(
+        "held_out", langid.is_held_out(F.col("doc_id"))
+    )
+    model = langid.fit(docs.where("not held_out"))
+    return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     marked = simhash.near_duplicates(_table(spark, folder, "documents"))
     return marked.select(
@@ -20,6 +28,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_langid": op7_langid,
     "op10_simhash": op10_simhash,
 }
 
