@@ -5,13 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import langid, simhash
+from lavra.llm import langid, secret_scan, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    weights = secret_scan.train(secret_scan.labelled_sample(docs))
+    scanned = secret_scan.scan(docs, weights)
+
+    def count(kind: str):
+        rank = secret_scan.KINDS.index(kind)
+        found = F.size(F.filter("secrets", lambda span: span["rank"] == rank))
+        return found.cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("secrets", lambda span: span["rank"] < secret_scan.KINDS.index("random"))
+    return scanned.select(
+        "doc_id",
+        *map(count, secret_scan.KINDS),
+        F.sha2(secret_scan.report(base), 256).alias("base_sha256"),
+        secret_scan.report(F.col("secrets")).alias("spans"),
+    )
+
+
 def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").withColumn(
         "held_out", langid.is_held_out(F.col("doc_id"))
@@ -28,6 +47,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op7_langid": op7_langid,
     "op10_simhash": op10_simhash,
 }
