@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import langid, secret_scan, simhash
+from lavra.llm import bpe, langid, secret_scan, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +32,25 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+def bpe_report(docs: DataFrame) -> DataFrame:
+    """Ids and decoded bytes of every document, as counts and digests."""
+    ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
+    coded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(bpe.little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), docs, ranks), 256).alias("decoded_sha256"),
+    )
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_report(_table(spark, folder, "documents"))
+
+
 def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").withColumn(
         "held_out", langid.is_held_out(F.col("doc_id"))
@@ -47,6 +67,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_bpe": op5_bpe,
     "op3_secrets": op3_secrets,
     "op7_langid": op7_langid,
     "op10_simhash": op10_simhash,
