@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, langid, secret_scan, simhash
+from lavra.llm import bpe, langid, mixing, secret_scan, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,6 +51,25 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_report(_table(spark, folder, "documents"))
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    measured = docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    numbered, size, row = mixing.number_rows(measured, F.col("size"))
+    plan = mixing.assign(numbered, size, row).withColumnRenamed("row", row)
+    return (
+        numbered.join(plan, row)
+        .orderBy(F.asc_nulls_last(F.get("positions", F.lit(0))), "doc_id")
+        .select(
+            "doc_id",
+            "size",
+            "source_size",
+            "target",
+            (F.size("positions") * F.col("size")).alias("taken"),
+            "positions",
+        )
+    )
+
+
 def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").withColumn(
         "held_out", langid.is_held_out(F.col("doc_id"))
@@ -67,6 +86,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_mixing": op6_mixing,
     "op5_bpe": op5_bpe,
     "op3_secrets": op3_secrets,
     "op7_langid": op7_langid,
