@@ -15,6 +15,8 @@ from lavra.runtime import bounded, materialize
 # their names take these in turn. Their integrals are 5, 2 and 1.
 SCHEDULES = ((7.5, 5.0, 2.5), (1.0, 2.0, 3.0), (0.5, 1.0, 1.5))
 MOST_COPIES = 3
+# Documents per source that fill what whole documents leave of a target.
+FILLERS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -90,8 +92,7 @@ def assign(
 
     Every source is read round by round in the order of a hash of its ids. Whole rounds go
     to all documents, the last one to those that end before the target. What the next one
-    would overshoot is filled with later documents of up to an eighth of the gap, so a source
-    with short documents misses its target by an eighth of a document. A copy's position is the time at which
+    would overshoot is filled with the few later documents that fit best. A copy's position is the time at which
     its source's schedule has asked for the words up to the document's middle; the filling
     comes last. Ids that repeat, or are null, come in the order of their size and row. Documents
     without words may be copied but take nothing; empty input gives no rows.
@@ -119,16 +120,7 @@ def assign(
     known = materialize(known.drop("of", "extra"), "mix")
     taken = F.sum(total * (F.col("rounds") + F.col("more").cast("int")))
     gaps = known.groupBy("source").agg((F.first("target") - taken).alias("gap"))
-    gaps = bounded(materialize(gaps, "gaps")).withColumnRenamed("source", "of")
-    fillers = (
-        known.where(~F.col("more") & (F.col("rounds") < most) & (total > 0))
-        .drop("before")
-        .join(gaps, F.col("source").eqNullSafe(F.col("of")) & (8 * total <= F.col("gap")))
-    )
-    filled = with_totals_before(
-        materialize(fillers.drop("of"), "mix"), ["source"], "draw", order, {"filled": total}
-    ).where(F.col("filled") + total <= F.col("gap"))
-    added = bounded(materialize(filled.select("row", F.lit(1).alias("added")), "mix"))
+    added = bounded(materialize(_fillers(known, gaps, most), "mix"))
     copies = F.col("rounds") + F.col("more").cast("int") + F.coalesce("added", F.lit(0))
     shares = F.transform(
         F.sequence(F.lit(0), F.col("copies").cast("int") - 1),
@@ -150,6 +142,23 @@ def assign(
     )
 
 
+def _fillers(known: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
+    """`row` (and `added` = 1) of the documents that fill each source's `gap`: the largest that
+    still fits, `FILLERS` times, of equals the one with the largest row."""
+    left = known.where(~F.col("more") & (F.col("rounds") < most) & (F.col("size") > 0))
+    left = left.select(F.col("source").alias("of"), "size", "row")
+    gaps = materialize(gaps, "gaps")
+    picked = materialize(left.select("row").limit(0), "gaps")
+    for _ in range(FILLERS):
+        fits = F.col("of").eqNullSafe(F.col("source")) & (F.col("size") <= F.col("gap"))
+        fitting = left.join(bounded(picked), "row", "left_anti").join(bounded(gaps), fits)
+        best = fitting.groupBy("source", "gap").agg(F.max(F.struct("size", "row")).alias("best"))
+        best = materialize(best.select("source", "gap", "best.*"), "gaps")
+        gaps = best.select("source", (F.col("gap") - F.col("size")).alias("gap"))
+        picked = materialize(picked.unionByName(best.select("row")), "gaps")
+    return picked.withColumn("added", F.lit(1))
+
+
 def number_rows(docs: DataFrame, size: Column) -> tuple[DataFrame, str, str]:
     """`docs` written with a size and a row number; and the names of these two columns."""
     size_name, row_name = free_name(docs, "mix_size"), free_name(docs, "mix_row")
