@@ -6,13 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, langid, mixing, secret_scan, simhash
+from lavra.llm import bpe, langid, mixing, secret_scan, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     weights = secret_scan.train(secret_scan.labelled_sample(docs))
@@ -86,6 +96,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substrings": op2_substrings,
     "op6_mixing": op6_mixing,
     "op5_bpe": op5_bpe,
     "op3_secrets": op3_secrets,
