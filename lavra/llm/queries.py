@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, langid, mixing, secret_scan, simhash, substring_dedup
+from lavra.llm import bpe, host_rules, langid, mixing, secret_scan, simhash, substring_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,13 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    judged = host_rules.judge(docs, "source")
+    rates = [f"{rule}_rate" for rule in host_rules.RULES]
+    return judged.select("doc_id", *host_rules.METRICS, "base_failed", "kept", *rates)
+
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -96,6 +103,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_host_rules": op4_host_rules,
     "op2_substrings": op2_substrings,
     "op6_mixing": op6_mixing,
     "op5_bpe": op5_bpe,
