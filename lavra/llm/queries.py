@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import bpe, host_rules, langid, mixing, secret_scan, simhash, substring_dedup
+from lavra.llm import (
+    bpe,
+    host_rules,
+    langid,
+    metric_join,
+    mixing,
+    secret_scan,
+    simhash,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -95,6 +104,12 @@ def op7_langid(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = metric_join.near_duplicates(_table(spark, folder, "embeddings"))
+    kept = F.col("vec_id").eqNullSafe(F.col("component_id"))
+    return found.withColumn("kept", kept)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     marked = simhash.near_duplicates(_table(spark, folder, "documents"))
     return marked.select(
@@ -109,6 +124,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op3_secrets": op3_secrets,
     "op7_langid": op7_langid,
+    "op8_metric_join": op8_metric_join,
     "op10_simhash": op10_simhash,
 }
 
