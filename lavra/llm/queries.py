@@ -12,6 +12,7 @@ from lavra.llm import (
     langid,
     metric_join,
     mixing,
+    resharding,
     secret_scan,
     simhash,
     substring_dedup,
@@ -110,6 +111,26 @@ def op8_metric_join(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("kept", kept)
 
 
+OLD_SHARDS, NEW_SHARDS = 32, 40
+
+
+def op9_resharding(spark: SparkSession, folder: str) -> DataFrame:
+    """The old layout has a shard per group of sources, which makes the shards very unequal."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source")
+    source = F.crc32(F.coalesce("source", F.lit(""))) % OLD_SHARDS
+    placed = resharding.reshard(docs, source, OLD_SHARDS, NEW_SHARDS)
+    return placed.select(
+        "doc_id",
+        resharding.row_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "moved",
+    )
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     marked = simhash.near_duplicates(_table(spark, folder, "documents"))
     return marked.select(
@@ -125,6 +146,7 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op7_langid": op7_langid,
     "op8_metric_join": op8_metric_join,
+    "op9_resharding": op9_resharding,
     "op10_simhash": op10_simhash,
 }
 
