@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,19 +23,20 @@ from lavra.llm.common import free_name, utf8_bytes
 from lavra.runtime import bounded, materialize
 
 WINDOW_WORDS = 20
-MINIMISER_WORDS = 5
+MINIMISER_WORDS = 3
 
-# Text that a map task looks at together, packed text per bucket on average, and the text of
-# distinct windows that one bucket may hold before it is split by window.
+# Text that a task looks at together, packed text per bucket on average, and the text of
+# distinct windows that one bucket may hold before it is split by window. Working memory is
+# about 30 times these.
 _GROUP_BYTES = 4 << 20
-_BUCKET_BYTES = 8 << 20
-_STATE_BYTES = 64 << 20
+_BUCKET_BYTES = 3 << 20
+_STATE_BYTES = 6 << 20
 _SPLIT = 64
 _PIECE_WORDS = 1 << 18
 
 _EARLIEST = -(1 << 63)
 _ROW = "bucket bigint, body binary, place bigint, mark bigint, start int, windows int"
-_CODEC = "zstd"
+_PACK_LEVEL = 6
 
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
@@ -60,13 +64,13 @@ class Segments:
             self.text,
         ]
         body = b"".join(parts)
-        packed = pa.compress(body, codec=_CODEC, asbytes=True)
+        packed = _codec().compress(body, asbytes=True)
         return len(body).to_bytes(8, "little") + packed
 
     @staticmethod
     def unpack(body: bytes) -> Segments:
         size = int.from_bytes(body[:8], "little")
-        raw = pa.decompress(body[8:], decompressed_size=size, codec=_CODEC, asbytes=True)
+        raw = _codec().decompress(body[8:], decompressed_size=size, asbytes=True)
         n = int(np.frombuffer(raw, np.int64, 1)[0])
         done = Segments([], [], [], [])
         done.place = np.cumsum(np.frombuffer(raw, np.int64, n, 8))
@@ -83,6 +87,10 @@ class Segments:
         return done
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=_PACK_LEVEL)
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     powers = np.full(n, base, np.uint64)
     powers[0] = 1
@@ -101,6 +109,20 @@ def _range_hashes(values: np.ndarray, first: np.ndarray, after: np.ndarray) -> n
     return _mixed((sums[after] - sums[first]) * _powers(_INVERSE, len(values) + 1)[first])
 
 
+def _word_hashes(codes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of every word, one byte of all words that are long enough at a time."""
+    order = np.argsort(begin - end, kind="stable")
+    begin, length = begin[order], (end - begin)[order]
+    hashes = length.astype(np.uint64)
+    going = np.searchsorted(-length, -np.arange(length[0] if len(length) else 0), side="left")
+    for step, n in enumerate(going.tolist()):
+        hashes[:n] *= np.uint64(_FACTOR)
+        hashes[:n] += codes[begin[:n] + step]
+    placed = np.empty_like(hashes)
+    placed[order] = _mixed(hashes)
+    return placed
+
+
 class Windows:
     """All windows of some segments, in the order of segment and start."""
 
@@ -118,7 +140,7 @@ class Windows:
         self.segment = segment[self.at]
         self.start = segments.start[self.segment] + (self.at - self.first_word[self.segment])
         self.place = segments.place[self.segment]
-        hashes = _range_hashes(codes.astype(np.uint64) + np.uint64(1), self.begin, self.end)
+        hashes = _word_hashes(codes, self.begin, self.end)
         self.hash = _range_hashes(hashes, self.at, self.at + words)
         self.minimiser = minimiser
         self._word_hashes = hashes
@@ -231,7 +253,8 @@ def _rows(found: list[tuple[int, bytes]] = (), marks: Segments | None = None, co
     return [
         pa.RecordBatch.from_arrays(
             [
-                pa.array([b for b, _ in found] + [None] * m, pa.int64()),
+                # Marked runs travel with the packed texts, dealt by document.
+                pa.array([b for b, _ in found] + [-1 - abs(p) for p in places[n:]], pa.int64()),
                 pa.array([body for _, body in found] + [None] * m, pa.binary()),
                 pa.array(places, pa.int64()),
                 pa.array(ids, pa.int64()),
@@ -245,11 +268,9 @@ def _rows(found: list[tuple[int, bytes]] = (), marks: Segments | None = None, co
 
 def _marked_rows(windows: Windows, marked: np.ndarray):
     first, last = windows.runs(marked)
-    empty = Segments([], [], [], [])
-    empty.place = windows.place[first]
-    empty.mark = windows.segments.mark[windows.segment[first]]
-    empty.start = windows.start[first]
-    return _rows(marks=empty, counts=(last - first + 1).tolist())
+    found = Segments([], windows.place[first], [], windows.start[first])
+    found.mark = windows.segments.mark[windows.segment[first]]
+    return _rows(marks=found, counts=(last - first + 1).tolist())
 
 
 def _dealt(windows: Windows, first: np.ndarray, last: np.ndarray, bucket: np.ndarray):
@@ -314,7 +335,8 @@ def _map_side(words: int, minimiser: int, buckets: int):
 
 def _bucket_side(words: int, minimiser: int, modulus: int):
     """Sorted buckets to marked repeats. Windows seen so far are kept once; a bucket with too
-    many distinct ones hands them on, window by window, to smaller buckets."""
+    many distinct ones hands them on, window by window, to smaller buckets (`modulus` of
+    them in all; 0 hands nothing on)."""
 
     def sift(parts: list[Segments]) -> tuple[Windows, np.ndarray]:
         windows = Windows(Segments.join(parts), words, minimiser)
@@ -322,19 +344,20 @@ def _bucket_side(words: int, minimiser: int, modulus: int):
 
     def handed_on(windows: Windows, left: np.ndarray):
         each = np.flatnonzero(left)
-        return _dealt(windows, each, each, (windows.hash[each] % np.uint64(modulus)).astype(np.int64))
+        bucket = (windows.hash[each] % np.uint64(modulus)).astype(np.int64)
+        return _dealt(windows, each, each, bucket)
 
     def of_bucket(bodies: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
         parts, size, kept, full = [], 0, 0, False
         for body in bodies:
             parts.append(Segments.unpack(body))
             size += len(parts[-1].text)
-            if size - kept >= 2 * _BUCKET_BYTES + kept:
+            if size - kept >= max(_GROUP_BYTES, kept):
                 windows, repeated = sift(parts)
                 yield from _marked_rows(windows, repeated)
                 state = windows.cut_out(*windows.runs(~repeated))
                 size = kept = len(state.text)
-                full = full or size > _STATE_BYTES
+                full = full or (modulus and size > _STATE_BYTES and (~repeated).sum() > 1)
                 if full:
                     yield from handed_on(windows, ~repeated)
                     parts, size, kept = [], 0, 0
@@ -347,32 +370,25 @@ def _bucket_side(words: int, minimiser: int, modulus: int):
                 yield from handed_on(windows, ~repeated)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(batches)
-        while (bucket := rows.bucket()) is not None:
-            yield from of_bucket(rows.bodies(bucket))
-
-    return run
-
-
-class _Rows:
-    """Rows sorted by bucket, read one bucket at a time."""
-
-    def __init__(self, batches: Iterator[pa.RecordBatch]):
-        self._rows = (
+        # Rows come sorted: marked runs have negative buckets and pass through.
+        rest: list[pa.RecordBatch] = []
+        for batch in batches:
+            marks = batch.filter(pc.is_null(batch.column("body")))
+            if marks.num_rows:
+                yield marks
+            if marks.num_rows < batch.num_rows:
+                rest.append(batch)
+                break
+        packed = (
             (bucket.as_py(), body.as_py())
-            for batch in batches
+            for batch in chain(rest, batches)
             for bucket, body in zip(batch.column("bucket"), batch.column("body"), strict=True)
+            if body.is_valid
         )
-        self._next = next(self._rows, None)
+        for _, rows in groupby(packed, itemgetter(0)):
+            yield from of_bucket(body for _, body in rows)
 
-    def bucket(self) -> int | None:
-        return self._next[0] if self._next else None
-
-    def bodies(self, bucket: int) -> Iterator[bytes]:
-        while self._next and self._next[0] == bucket:
-            body = self._next[1]
-            self._next = next(self._rows, None)
-            yield body
+    return run
 
 
 def repeated_windows(
@@ -384,15 +400,17 @@ def repeated_windows(
         raise ValueError("a minimiser has 1 to `words` words")
     size = docs.agg(F.sum(utf8_bytes(F.col("text")))).first()[0] or 0
     buckets = max(1, 3 * size // _BUCKET_BYTES)
-    dealt = materialize(docs.mapInArrow(_map_side(words, minimiser, buckets), _ROW), "windows")
-    found, modulus = [dealt], buckets
-    while not found[-1].where("body is not null").isEmpty():
-        modulus *= _SPLIT
-        grouped = found[-1].where("body is not null").select("bucket", "body")
-        sorted_rows = grouped.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = docs.mapInArrow(_map_side(words, minimiser, buckets), _ROW)
+    modulus, marks = buckets, []
+    while True:
+        modulus = modulus * _SPLIT if modulus < 1 << 40 else 0
+        sorted_rows = dealt.repartition("bucket").sortWithinPartitions("bucket")
         step = sorted_rows.mapInArrow(_bucket_side(words, minimiser, modulus), _ROW)
-        found.append(materialize(step, "windows"))
-    marks = [part.where("body is null") for part in found]
+        step = materialize(step, "windows")
+        marks.append(step.where("body is null"))
+        dealt = step.where("body is not null")
+        if dealt.isEmpty():
+            break
     return reduce(DataFrame.unionByName, marks).select("place", "mark", "start", "windows")
 
 
@@ -421,15 +439,21 @@ def remove_repeats(
     same start, so repeated rows are treated alike. Texts shorter than a window lose nothing,
     and null texts stay null with 0 words.
     """
-    place, mark, runs = (free_name(docs, name) for name in ("place", "mark", "runs"))
+    place, mark, runs, of = (free_name(docs, name) for name in ("place", "mark", "runs", "of"))
     # Only ids that repeat need the text to tell their rows apart.
-    shared = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("of"))
-    shared = bounded(materialize(shared.withColumn("many", F.lit(True)), "shared_ids"))
-    text_mark = F.when(F.col("many"), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
-    named = docs.join(shared, docs["doc_id"].eqNullSafe(shared["of"]), "left").withColumns(
-        {place: F.coalesce(docs["doc_id"].cast("bigint"), F.lit(_EARLIEST)), mark: text_mark}
+    shared = docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(of))
+    shared = bounded(materialize(shared.withColumn(mark, F.lit(True)), "shared_ids"))
+    text_mark = F.when(F.col(mark), F.xxhash64("text")).otherwise(F.lit(0).cast("bigint"))
+    named = (
+        docs.join(shared, F.col("doc_id").eqNullSafe(F.col(of)), "left")
+        .drop(of)
+        .withColumns(
+            {
+                place: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_EARLIEST)),
+                mark: text_mark,
+            }
+        )
     )
-    named = named.select(*[docs[c] for c in docs.columns], place, mark)
     marks = repeated_windows(
         named.select(F.col(place).alias("place"), F.col(mark).alias("mark"), "text"),
         words,
