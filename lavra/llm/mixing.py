@@ -108,12 +108,12 @@ def assign(
     goals = bounded(materialize(targets(sizes, schedules, most), "targets"))
     order, total = ["id", "size", "row"], F.col("size")
     summed = with_totals_before(rows, ["source"], "draw", order, {"before": total})
-    rounds = F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))
+    rounds = F.least(F.floor(F.try_divide("target", "source_size")), F.lit(most))
     known = (
         summed.join(
             goals.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))
         )
-        .withColumn("rounds", F.when(F.col("source_size") > 0, rounds).otherwise(F.lit(0)))
+        .withColumn("rounds", F.coalesce(rounds, F.lit(0)))
         .withColumn("extra", F.col("target") - F.col("rounds") * F.col("source_size"))
         .withColumn("more", (F.col("rounds") < most) & (F.col("before") + total <= F.col("extra")))
     )
@@ -125,7 +125,13 @@ def assign(
     shares = F.transform(
         F.sequence(F.lit(0), F.col("copies").cast("int") - 1),
         lambda i: F.least(
-            (i * F.col("source_size") + F.col("before") + total / 2) / F.col("target"), F.lit(1.0)
+            F.coalesce(
+                F.try_divide(
+                    i * F.col("source_size") + F.col("before") + total / 2, F.col("target")
+                ),
+                F.lit(1.0),
+            ),
+            F.lit(1.0),
         ),
     )
     return (
@@ -144,16 +150,16 @@ def assign(
 
 def _fillers(known: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
     """`row` (and `added` = 1) of the documents that fill each source's `gap`: the largest that
-    still fits, `FILLERS` times, of equals the one with the largest row."""
+    still fits, `FILLERS` times; of equals, the last by draw and id."""
     left = known.where(~F.col("more") & (F.col("rounds") < most) & (F.col("size") > 0))
-    left = left.select(F.col("source").alias("of"), "size", "row")
+    left = left.select(F.col("source").alias("of"), "size", "draw", "id", "row")
     gaps = materialize(gaps, "gaps")
     picked = materialize(left.select("row").limit(0), "gaps")
     for _ in range(FILLERS):
         fits = F.col("of").eqNullSafe(F.col("source")) & (F.col("size") <= F.col("gap"))
         fitting = left.join(bounded(picked), "row", "left_anti").join(bounded(gaps), fits)
-        best = fitting.groupBy("source", "gap").agg(F.max(F.struct("size", "row")).alias("best"))
-        best = materialize(best.select("source", "gap", "best.*"), "gaps")
+        best = fitting.groupBy("source", "gap").agg(F.max(F.struct("size", "draw", "id", "row")).alias("best"))
+        best = materialize(best.select("source", "gap", "best.size", "best.row"), "gaps")
         gaps = best.select("source", (F.col("gap") - F.col("size")).alias("gap"))
         picked = materialize(picked.unionByName(best.select("row")), "gaps")
     return picked.withColumn("added", F.lit(1))

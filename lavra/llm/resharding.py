@@ -173,7 +173,7 @@ def reshard(
     """
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot", "moved")
-    names = {name: free_name(docs, name) for name in ("old", "draw", "file")}
+    names = {name: free_name(docs, name) for name in ("old", "draw", "file", "of", "part", "first")}
     named = docs.withColumns(
         {names["old"]: old.cast("int"), names["draw"]: _draw(docs["doc_id"], docs["text"])}
     )
@@ -205,14 +205,13 @@ def reshard(
     )
     slots = bounded(materialize(slots, "slots"))
     inside = Window.partitionBy("shard", names["file"]).orderBy(names["draw"], "doc_id", "text")
-    first = slots.select(
-        F.col("shard").alias("_shard"), F.col("file").alias("_file"), F.col("first").alias("_first")
-    )
+    of, part, first = names["of"], names["part"], names["first"]
+    slots = slots.toDF(of, part, first)
     placed = (
         named.withColumns({"shard": shard, names["file"]: file})
         .withColumn("slot", F.row_number().over(inside) - 1)
-        .join(first, (F.col("shard") == F.col("_shard")) & (F.col(names["file"]) == F.col("_file")))
-        .withColumn("slot", (F.col("slot") + F.col("_first")).cast("bigint"))
+        .join(slots, (F.col("shard") == F.col(of)) & (F.col(names["file"]) == F.col(part)))
+        .withColumn("slot", (F.col("slot") + F.col(first)).cast("bigint"))
         .withColumn("moved", F.col("shard") != F.col(names["old"]))
         .select(*docs.columns, "slot", "moved", "shard")
     )
