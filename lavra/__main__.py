@@ -1,4 +1,4 @@
-"""Command line: `python -m lavra {bronze,silver,gold,validate,stream} --root FOLDER ...`."""
+"""Command line: `python -m lavra STEP ...`; `python -m lavra STEP --help` lists the options."""
 
 from __future__ import annotations
 
@@ -8,16 +8,21 @@ import sys
 
 from lavra.plans import runs
 from lavra.session import build_session
+from lavra.sources.tables import LayerStore
 from lavra.streaming.ingest import read_stream, run_bounded
 
+# One batch per interval: longer intervals write fewer and larger files.
+STREAM_SECONDS = 10
+
 
 def main(argv: list[str] | None = None) -> int:
     """Run one step; 0 on success, 1 if it failed, for instance on a critical check."""
     parser = argparse.ArgumentParser(prog="lavra")
     steps = parser.add_subparsers(dest="step", required=True)
-    for name in ("bronze", "silver", "gold", "validate", "stream"):
+    for name in ("bronze", "silver", "gold", "validate", "stream", "places", "replay", "clean"):
         step = steps.add_parser(name)
-        step.add_argument("--root", required=True, help="folder of all layers")
+        if name not in ("places", "replay"):
+            step.add_argument("--root", required=True, help="folder of all layers")
         if name == "bronze":
             step.add_argument("--format", default="table", help="table, parquet, csv, ...")
             step.add_argument("--location", required=True, help="name or path with {name}")
@@ -28,10 +33,23 @@ def main(argv: list[str] | None = None) -> int:
             step.add_argument("--format", default="kafka")
             step.add_argument("--location", required=True, help="topic or folder")
             step.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+            step.add_argument("--base64", action="store_true", help="messages are Base64")
             step.add_argument("--max-messages", type=int, default=500)
             step.add_argument("--window-seconds", type=float, default=120.0)
+        elif name == "places":
+            step.add_argument("--json", required=True, help="landed place records")
+            step.add_argument("--lines", action="store_true", help="one record per line")
+            step.add_argument("--csv", required=True, help="reference file to write")
+        elif name == "replay":
+            step.add_argument("--table", required=True, help="Parquet folder to sample")
+            step.add_argument("--limit", type=int, default=500)
+            step.add_argument("--format", default="kafka", help="kafka or text")
+            step.add_argument("--location", required=True, help="topic or folder")
+        elif name == "clean":
+            step.add_argument("layer", choices=("silver", "gold"))
+            step.add_argument("--keep", type=int, default=1, help="versions that stay")
     args = parser.parse_args(argv)
-    spark, config = build_session(), runs.Config(args.root.rstrip("/"))
+    spark, config = build_session(), runs.Config(getattr(args, "root", "").rstrip("/"))
     try:
         _step(spark, config, args)
     except Exception:
@@ -51,15 +69,26 @@ def _step(spark, config: runs.Config, args: argparse.Namespace) -> None:
         runs.run_gold(spark, config)
     elif args.step == "validate":
         runs.validate(spark, config, args.layer)
+    elif args.step == "places":
+        runs.convert_places(
+            spark, args.json, args.csv, "places_json_lines" if args.lines else "places_json"
+        )
+    elif args.step == "replay":
+        table = spark.read.parquet(args.table)
+        runs.replay_events(spark, table, args.limit, args.format, args.location)
+    elif args.step == "clean":
+        LayerStore(spark, config.root).remove_unlisted(args.layer, args.keep)
     else:
         options = dict(pair.split("=", 1) for pair in args.option)
         messages = read_stream(spark, args.format, args.location, options)
+        trigger = {"processingTime": f"{STREAM_SECONDS} seconds"}
+        written: dict[int, int] = {}
         query = runs.stream_bronze(
-            spark, config, messages, args.location, {"processingTime": "1 second"}
+            spark, config, messages, args.location, trigger, args.base64, written
         )
-        run_bounded(query, args.max_messages, args.window_seconds)
+        run_bounded(query, args.max_messages, args.window_seconds, written=written)
 
 
 if __name__ == "__main__":
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    logging.basicConfig(level=logging.INFO, format="{levelname:>8} {name}: {message}", style="{")
     sys.exit(main())

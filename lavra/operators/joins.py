@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.runtime import fits_broadcast, materialize
+from lavra.runtime import BROADCAST_BYTES, materialize, measured_bytes
 
-SALTS = 64
+# A hot key of the optional side is cut into parts of at most this size.
+SALT_BYTES = 256 * 1024 * 1024
+LEAST_SALTS = 64
 _SALT = "_salt"
 
 
@@ -23,16 +25,24 @@ def lookup_join(
     rows, and adaptive execution cannot split the optional side of an outer join, so such a
     side is joined by `salted_lookup`.
     """
-    for side, fits in zip(sides, fits_broadcast(*sides, limit=limit), strict=True):
-        if fits:
+    bound = BROADCAST_BYTES if limit is None else limit
+    for side, size in zip(sides, measured_bytes(*sides), strict=True):
+        if size <= bound:
             left = left.join(F.broadcast(side), list(keys), "left")
         else:
-            left = salted_lookup(left, side, keys)
+            left = salted_lookup(left, side, keys, salts_for(size))
     return left
 
 
-def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The same result as a left join, with every hot key of `right` in `SALTS` parts.
+def salts_for(size: int) -> int:
+    """Parts of a side of `size` bytes, so that even one key with all rows has small parts."""
+    return max(LEAST_SALTS, -(-size // SALT_BYTES))
+
+
+def salted_lookup(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], salts: int = LEAST_SALTS
+) -> DataFrame:
+    """The same result as a left join, with every hot key of `right` in `salts` parts.
 
     The rows of `right` get a written salt, the distinct (key, salt) pairs fan `left` out,
     and the rows are then fetched by key and salt.
@@ -41,7 +51,7 @@ def salted_lookup(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     # NULL keys match nothing. The salt is stored, so a repeated task cannot change it.
     matchable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     salted = materialize(
-        right.where(matchable).withColumn(_SALT, F.monotonically_increasing_id() % SALTS),
+        right.where(matchable).withColumn(_SALT, F.monotonically_increasing_id() % salts),
         "lookup",
     )
     pairs = salted.select(*keys, _SALT).distinct()

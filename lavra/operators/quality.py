@@ -6,7 +6,7 @@ import datetime as dt
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -129,54 +129,44 @@ def evaluate_suite(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> Da
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@dataclass
-class QualityRun:
-    """One execution of checks; every result carries the same run id and time.
+def run_suite(
+    spark: SparkSession,
+    layer: str,
+    tables: Mapping[str, DataFrame],
+    rules: Sequence[Rule],
+    history: str | None = None,
+) -> list[Row]:
+    """Evaluate all rules, then raise the first critical violation in suite order.
 
-    Used as a context manager it writes the results on the way out, also when a check
-    aborted the run. A failing write is logged and does not hide the verdict.
+    Everything evaluated so far goes to `history` on every way out, under one run id and time;
+    a history that cannot be written is logged and does not hide the verdict. The driver
+    receives one row per rule.
     """
-
-    spark: SparkSession
-    layer: str
-    history_path: str | None
-    run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
-    executed_at: dt.datetime = field(default_factory=utc_now)
-    results: list[Row] = field(default_factory=list)
-
-    def run(self, tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> list[Row]:
-        """Evaluate all rules, keep all results, then raise the first critical violation in
-        suite order. The driver receives one row per rule."""
+    place = {rule.name: i for i, rule in enumerate(rules)}
+    started, found = utc_now(), []
+    try:
         for name in dict.fromkeys(rule.table for rule in rules):
             own = [rule for rule in rules if rule.table == name]
-            self.results += evaluate(tables[name], own, tables).collect()
-        order = {rule.name: i for i, rule in enumerate(rules)}
-        self.results.sort(key=lambda row: order.get(row["check_name"], -1))
-        gate(self.results)
-        return self.results
-
-    def persist(self) -> None:
-        if not self.results or self.history_path is None:
-            return
-        try:
-            append_history(self.as_table(), self.history_path)
-        except Exception:
-            log.exception("could not write the check history to %s", self.history_path)
-
-    def as_table(self) -> DataFrame:
-        """The results in the history schema."""
-        rows = [tuple(r) for r in self.results]
-        found = self.spark.createDataFrame(
-            rows, "check_name string, failed_count bigint, status string, critical boolean"
-        )
-        return in_history_schema(found, self.run_id, self.executed_at, self.layer)
-
-    def __enter__(self) -> "QualityRun":
-        return self
-
-    def __exit__(self, *_exc) -> bool:
-        self.persist()
-        return False
+            found += evaluate(tables[name], own, tables).collect()
+        found.sort(key=lambda row: place[row["check_name"]])
+        gate(found)
+    finally:
+        if found and history is not None:
+            _record(spark, found, str(uuid.uuid4()), started, layer, history)
+    return found
+
+
+def _record(
+    spark: SparkSession, found: Sequence[Row], run_id: str, at: dt.datetime, layer: str, path: str
+) -> None:
+    table = spark.createDataFrame(
+        [tuple(row) for row in found],
+        "check_name string, failed_count bigint, status string, critical boolean",
+    )
+    try:
+        append_history(in_history_schema(table, run_id, at, layer), path)
+    except Exception:
+        log.exception("the results of run %s are missing in %s", run_id, path)
 
 
 def gate(results: Sequence[Row]) -> None:

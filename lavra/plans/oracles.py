@@ -481,6 +481,23 @@ _LINE_ORDER = (
 )
 
 
+def _content(column: str) -> str:
+    """What `scan_content` adds up: by the columns' names, their types being known."""
+    if column in ("ts", "o_orderdate", "l_shipdate"):
+        return f"floor(epoch({column})) / 1e6"
+    if column == "embedding":
+        return f"len({column})::DOUBLE"
+    if column in _TEXT_COLUMNS:
+        return f"strlen({column})::DOUBLE"
+    return f"{column}::DOUBLE"
+
+
+_TEXT_COLUMNS = frozenset(
+    "r_name n_name c_name c_mktsegment s_name p_name p_brand p_type o_orderstatus "
+    "o_orderpriority l_returnflag l_linestatus event_type props text lang source url html role".split()
+)
+
+
 def oracle_sql() -> dict[str, str]:
     silver = {
         "dim_localidades": _with(("dim",), "SELECT * FROM dim"),
@@ -534,6 +551,23 @@ def oracle_sql() -> dict[str, str]:
                 for t in _TABLES
             ]
         ),
+        "scan_content": _union(
+            *[
+                f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
+                f"count({column})::BIGINT AS n_values, "
+                f"round(sum({_content(column)}) + 1e-8, 6) AS content FROM {table}"
+                for table, columns in fixed.TEST_TABLES.items()
+                for column in columns.split()
+            ]
+        ),
+        "source_columns": "SELECT c_custkey, c_name, upper(c_name) AS extra FROM customer",
+        "csv_text_roundtrip": """
+    SELECT doc_id, strlen(text)::INTEGER AS n_bytes, md5(text) AS digest FROM (
+      SELECT doc_id, CASE doc_id % 6
+        WHEN 0 THEN '' WHEN 1 THEN '  ' || text || ' ' WHEN 2 THEN NULL
+        WHEN 3 THEN 'say "hi", ' || text || '\\ and "'
+        WHEN 4 THEN text || chr(13) || chr(10) || 'next, ' || chr(10) || '\\'
+        ELSE text END AS text FROM documents)""",
         "csv_roundtrip": "SELECT * FROM customer",
         "reference_flatten": """
     SELECT c_custkey AS id_municipio, c_name AS nome_municipio, 'N' || n_nationkey AS sigla_uf,
@@ -551,6 +585,10 @@ def oracle_sql() -> dict[str, str]:
     FROM orders GROUP BY o_orderstatus""",
         "snapshot_latest": """
     SELECT * FROM events WHERE ts::DATE = (SELECT max(ts::DATE) FROM events)""",
+        "snapshot_latest_partition": """
+    SELECT * FROM events WHERE ts::DATE = (SELECT max(ts::DATE) FROM events)""",
+        "replay_sample": """
+    SELECT event_id, user_id, event_type, value, props FROM events ORDER BY event_id LIMIT 500""",
         "publish_partitioned": """
     SELECT year(l_shipdate)::INTEGER AS ship_year, l_returnflag, count(*)::BIGINT AS n_lines,
            round(sum(l_quantity) + 1e-8, 6) AS quantity
@@ -741,6 +779,30 @@ def oracle_sql() -> dict[str, str]:
     SELECT CASE WHEN event_type <> 'view' THEN 'value is not double' END AS _bad_reason,
            count(*)::BIGINT AS n_events, sum(event_id)::BIGINT AS sum_event_id
     FROM events GROUP BY ALL""",
+        "events_kept_messages": """
+    SELECT CASE WHEN kind IN (0, 2) THEN event_id END AS event_id,
+           CASE kind WHEN 0 THEN 1 WHEN 2 THEN 3 END::BIGINT AS k,
+           CASE kind WHEN 1 THEN message || ' trailing' WHEN 3 THEN '[' || message || ']'
+                     WHEN 4 THEN 'text ' || event_id END AS message,
+           CASE WHEN kind NOT IN (0, 2) THEN 'not a JSON object' END AS reason
+    FROM (SELECT event_id, event_id % 5 AS kind,
+                 '{"event_id":' || event_id || ',"k":1}' AS message FROM events)""",
+        "stream_batches": _with(
+            ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
+        ),
+        "stream_latest_wins": _with(
+            ("raw_events",),
+            f"""
+    SELECT {_STREAM_COLUMNS} FROM (
+      SELECT {_STREAM_COLUMNS}, 1 AS delivery FROM raw_events UNION ALL
+      SELECT * REPLACE (caderno + 1000 AS caderno, 9.0::DOUBLE AS peso_aluno), 2 AS delivery
+      FROM (SELECT {_STREAM_COLUMNS} FROM raw_events) WHERE id_aluno::BIGINT % 2 = 0)
+    QUALIFY row_number() OVER (
+      PARTITION BY id_aluno, ano
+      ORDER BY delivery DESC, id_municipio NULLS FIRST, id_escola NULLS FIRST,
+               caderno NULLS FIRST, serie, rede, presenca, preenchimento_caderno,
+               alfabetizado NULLS FIRST, proficiencia NULLS FIRST, peso_aluno NULLS FIRST) = 1""",
+        ),
         "stream_ingest": _with(
             ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
         ),

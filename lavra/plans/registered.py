@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from lavra.plans import checks, fixed, gold, runs, silver, standin
 from lavra.plans.standin import Tables
 from lavra.runtime import bounded, materialize, scratch_path
 from lavra.sources import catalog, files, ledger
-from lavra.sources.tables import Layout, LayerStore
+from lavra.sources.tables import LayerStore, Layout, write_layout
 from lavra.streaming import events
 from lavra.streaming.ingest import ingest, parquet_sink, read_stream
 
@@ -205,6 +206,72 @@ def scan_sources(t: Tables) -> DataFrame:
     return catalog.row_counts((s.table, s.read(t.spark)) for s in sources)
 
 
+@query
+def scan_content(t: Tables) -> DataFrame:
+    """Every column of every table, read whole: values that are there and their sum."""
+    parts = []
+    for name, columns in fixed.TEST_TABLES.items():
+        table = catalog.Source(name, "parquet", f"{t.folder}/{name}.parquet", t(name).schema)
+        df = table.read(t.spark)
+        cells = [
+            F.struct(
+                F.lit(name).alias("table_name"),
+                F.lit(column).alias("column_name"),
+                F.count(column).alias("n_values"),
+                F.sum(_content(df, column)).alias("content"),
+            )
+            for column in columns.split()
+        ]
+        parts.append(df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
+    return reduce(DataFrame.unionByName, parts).withColumn("content", rounded(F.col("content")))
+
+
+def _content(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType.simpleString()
+    if kind == "string":
+        return F.octet_length(column).cast("double")
+    if kind.startswith("array"):
+        return F.size(column).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_seconds(F.col(column).cast("timestamp")).cast("double") / 1e6
+    return F.col(column).cast("double")
+
+
+@query
+def source_columns(t: Tables) -> DataFrame:
+    """A source with a narrower type and a column more than declared, as a snapshot."""
+    path, bronze = scratch_path(t.spark, "source"), scratch_path(t.spark, "bronze")
+    rows = t("customer").select(
+        F.upper("c_name").alias("extra"), "c_name", F.col("c_custkey").cast("int")
+    )
+    rows.write.parquet(path)
+    declared = T.StructType.fromDDL("c_custkey bigint, c_name string")
+    read = catalog.Source("customer", "parquet", path, declared).read(t.spark)
+    at = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    ledger.append_snapshot(read, bronze, at, "customer", declared)
+    return t.spark.read.parquet(bronze).select("c_custkey", "c_name", "extra")
+
+
+@query
+def csv_text_roundtrip(t: Tables) -> DataFrame:
+    """Documents with quotes, commas, backslashes, line breaks, outer blanks, empty and no text."""
+    path, kind, text = scratch_path(t.spark, "csv"), F.col("doc_id") % 6, F.col("text")
+    nasty = (
+        F.when(kind == 0, F.lit(""))
+        .when(kind == 1, F.concat(F.lit("  "), text, F.lit(" ")))
+        .when(kind == 2, F.lit(None))
+        .when(kind == 3, F.concat(F.lit('say "hi", '), text, F.lit('\\ and "')))
+        .when(kind == 4, F.concat(text, F.lit("\r\nnext, \n\\")))
+        .otherwise(text)
+    )
+    rows = t("documents").select("doc_id", nasty.alias("text"))
+    files.write_csv(rows, path, rows.columns)
+    read = files.read_csv(t.spark, path, rows.schema, multi_line=True)
+    return read.select(
+        "doc_id", F.octet_length("text").alias("n_bytes"), F.md5("text").alias("digest")
+    )
+
+
 @query
 def csv_roundtrip(t: Tables) -> DataFrame:
     customers = t("customer")
@@ -278,6 +345,15 @@ def snapshot_latest(t: Tables) -> DataFrame:
     return ledger.latest_snapshot(daily, "snapshot").drop("snapshot")
 
 
+@query
+def snapshot_latest_partition(t: Tables) -> DataFrame:
+    """The same on a table with a folder per snapshot, of which only the newest is read."""
+    daily = t("events").withColumn("snapshot", F.to_date("ts"))
+    path = scratch_path(t.spark, "daily")
+    write_layout(daily, path, Layout(("snapshot",)))
+    return ledger.latest_snapshot(t.spark.read.parquet(path), "snapshot").drop("snapshot")
+
+
 @query
 def publish_partitioned(t: Tables) -> DataFrame:
     """Stage order lines by year, publish them, and read the published table."""
@@ -297,6 +373,14 @@ def sample_limit(t: Tables) -> DataFrame:
     return t("events").orderBy("event_id").limit(500)
 
 
+@query
+def replay_sample(t: Tables) -> DataFrame:
+    """A bounded replay as messages, read back."""
+    source = t("events").select("event_id", "user_id", "event_type", "value", "props")
+    sent = events.replay(source.orderBy("event_id"), 500)
+    return events.good(events.decode(sent, source.schema))
+
+
 # --- Projections
 
 
@@ -343,7 +427,7 @@ def deviation_flag(t: Tables) -> DataFrame:
 
 @query
 def dedup_latest(t: Tables) -> DataFrame:
-    return latest_by(t("lineitem"), ["l_orderkey", "l_linenumber"], [F.desc("l_shipdate")])
+    return latest_by(t("lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
 
 
 @query
@@ -480,7 +564,7 @@ def _results(results: DataFrame) -> DataFrame:
 def quality_unique(t: Tables) -> DataFrame:
     lines = t("lineitem")
     columns = ["l_orderkey", "l_linenumber"]
-    tables = {"lines": lines, "latest": latest_by(lines, columns, [F.desc("l_shipdate")])}
+    tables = {"lines": lines, "latest": latest_by(lines, columns, ["l_shipdate"])}
     rules = [quality.unique(name, f"{name} unique", columns) for name in tables]
     return _results(quality.evaluate_suite(tables, rules))
 
@@ -667,14 +751,40 @@ def events_rejected(t: Tables) -> DataFrame:
     )
 
 
-def _streamed_bronze(t: Tables, messages: DataFrame) -> DataFrame:
-    """Write messages as text files and stream them into a Bronze table."""
+@query
+def events_kept_messages(t: Tables) -> DataFrame:
+    """Messages with text after their end, repeated fields, arrays and plain text: the good
+    ones with their values, the bad ones as they came."""
+    kind, key = F.col("event_id") % 5, F.col("event_id").cast("string")
+    message = F.concat(F.lit('{"event_id":'), key, F.lit(',"k":1}'))
+    sent = t("events").select(
+        F.when(kind == 0, message)
+        .when(kind == 1, F.concat(message, F.lit(" trailing")))
+        .when(kind == 2, F.concat(F.lit('{"k":2,"event_id":'), key, F.lit(',"k":3} ')))
+        .when(kind == 3, F.concat(F.lit("["), message, F.lit("]")))
+        .otherwise(F.concat(F.lit("text "), key))
+        .alias("value")
+    )
+    decoded = events.decode(sent, T.StructType.fromDDL("event_id bigint, k bigint"))
+    return decoded.select(
+        F.when(F.col(events.REASON).isNull(), F.col("event_id")).alias("event_id"),
+        F.when(F.col(events.REASON).isNull(), F.col("k")).alias("k"),
+        F.when(F.col(events.REASON).isNotNull(), F.col(events.MESSAGE)).alias("message"),
+        F.col(events.REASON).alias("reason"),
+    )
+
+
+def _streamed_bronze(
+    t: Tables, *deliveries: DataFrame, options: dict[str, str] | None = None
+) -> DataFrame:
+    """Write messages as text files and stream each delivery into a Bronze table."""
     root = scratch_path(t.spark, "stream")
-    messages.write.text(f"{root}/in")
     schema = T.StructType.fromDDL(fixed.STUDENT_EVENT_SCHEMA)
-    stream = read_stream(t.spark, "text", f"{root}/in")
-    sink, bad_sink = parquet_sink(f"{root}/bronze"), parquet_sink(f"{root}/rejected")
-    ingest(stream, schema, "events", sink, bad_sink, f"{root}/checkpoint").awaitTermination()
+    for messages in deliveries:
+        messages.write.mode("append").text(f"{root}/in")
+        stream = read_stream(t.spark, "text", f"{root}/in", options)
+        sink, bad_sink = parquet_sink(f"{root}/bronze"), parquet_sink(f"{root}/rejected")
+        ingest(stream, schema, "events", sink, bad_sink, f"{root}/checkpoint").awaitTermination()
     meta = f"{ledger.INGESTED_AT} timestamp, {ledger.SOURCE_FILE} string"
     full = f"{fixed.STUDENT_EVENT_SCHEMA}, {meta}"
     return t.spark.read.schema(full).parquet(f"{root}/bronze")
@@ -697,3 +807,21 @@ def stream_dedup(t: Tables) -> DataFrame:
         [F.desc("_ingested_at"), F.desc("proficiencia"), F.desc("caderno")],
     )
     return kept.select("id_aluno", "ano", "id_escola", "caderno", "proficiencia")
+
+
+@query
+def stream_batches(t: Tables) -> DataFrame:
+    """One file per micro-batch: several batches append to one table, nothing lost or twice."""
+    messages = _messages(t).repartition(4)
+    return _streamed_bronze(t, messages, options={"maxFilesPerTrigger": "1"}).drop("_ingested_at")
+
+
+@query
+def stream_latest_wins(t: Tables) -> DataFrame:
+    """Half of the students are delivered again later with other values, which win."""
+    first = standin.events(t).drop("_ingested_at", "_source_file")
+    again = first.where(F.col("id_aluno").cast("bigint") % 2 == 0).withColumns(
+        {"caderno": F.col("caderno") + 1000, "peso_aluno": F.lit(9.0)}
+    )
+    bronze = _streamed_bronze(t, events.as_events(first), events.as_events(again))
+    return silver.latest_students(bronze).drop("_ingested_at", "_source_file")

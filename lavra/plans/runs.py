@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.times import utc_now
-from lavra.operators.quality import QualityRun
+from lavra.operators.quality import run_suite
 from lavra.operators.reference import KNOWN
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
@@ -27,6 +27,7 @@ from lavra.sources.ledger import (
     stamp,
 )
 from lavra.sources.tables import LayerStore, StagedTable
+from lavra.streaming import events
 from lavra.streaming.ingest import ingest, parquet_sink
 
 SCHEMAS = {
@@ -120,8 +121,10 @@ def stream_bronze(
     messages: DataFrame,
     source_name: str,
     trigger: Mapping[str, object] | None = None,
+    base64: bool = False,
+    written: dict[int, int] | None = None,
 ) -> StreamingQuery:
-    """Start the append of JSON events to Bronze, at least once."""
+    """Start the append of JSON events to Bronze, at least once; see `ingest`."""
     ensure_stream_table(spark, config)
     return ingest(
         messages,
@@ -131,9 +134,18 @@ def stream_bronze(
         parquet_sink(config.rejected_events),
         config.stream_checkpoint,
         trigger,
+        base64,
+        written,
     )
 
 
+def replay_events(
+    spark: SparkSession, table: DataFrame, limit: int, format: str, location: str
+) -> None:
+    """Send a bounded sample of `table` as JSON messages to a topic or folder."""
+    events.write_events(events.replay(table, limit), format, location)
+
+
 def read_stream_table(spark: SparkSession, config: Config) -> DataFrame:
     schema = schema_of(STREAM_TABLE).add(INGESTED_AT, "timestamp").add(SOURCE_FILE, "string")
     return spark.read.schema(schema).parquet(config.bronze(STREAM_TABLE))
@@ -224,8 +236,7 @@ def validate(
     """Run the suite of a layer on its published (or given) tables and record the results."""
     rules = {"silver": silver_rules, "gold": gold_rules}[layer]()
     t = tables or LayerStore(spark, config.root).current(layer)
-    with QualityRun(spark, layer, config.history) as run:
-        return run.run(t, rules)
+    return run_suite(spark, layer, t, rules, config.history)
 
 
 def run_silver(spark: SparkSession, config: Config) -> list[Row]:
@@ -240,6 +251,11 @@ def run_gold(spark: SparkSession, config: Config) -> list[Row]:
 def _run(
     spark: SparkSession, config: Config, layer: str, staged: list[StagedTable]
 ) -> list[Row]:
-    results = validate(spark, config, layer, {s.table: s.read(spark) for s in staged})
-    LayerStore(spark, config.root).publish(layer, staged)
+    store = LayerStore(spark, config.root)
+    try:
+        results = validate(spark, config, layer, {s.table: s.read(spark) for s in staged})
+    except Exception:
+        store.discard(staged)
+        raise
+    store.publish(layer, staged)
     return results

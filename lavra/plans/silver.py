@@ -122,7 +122,7 @@ def latest_students(bronze: DataFrame) -> DataFrame:
 
     Valid and rejected students both come from this ranking, so none is in both or lost.
     """
-    return latest_by(bronze, ["id_aluno", "ano"], [F.desc(INGESTED_AT)])
+    return latest_by(bronze, ["id_aluno", "ano"], [INGESTED_AT])
 
 
 def students(latest: DataFrame, dim: DataFrame) -> DataFrame:

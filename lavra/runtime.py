@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -19,30 +18,51 @@ _CELL_OVERHEAD = 16
 _EIGHT_BYTES = (T.NumericType, T.BooleanType, T.DatetimeType, T.TimestampType, T.TimestampNTZType)
 
 
+# Folders written by `materialize` that nobody has released yet, by session.
+_written: dict[str, list[str]] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only on a local master."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="lavra-"))
-    return context.getCheckpointDir().rstrip("/")
+    """The shared folder that the session names in `spark.checkpoint.dir`, or the one its
+    context was given. Without either this raises: a local folder would be lost with, and
+    unseen by, other machines."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the scratch folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the scratch folder; `release` removes what is written there."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all scratch folders of this session. Call it when results that were built from
+    them have been consumed: their plans still read the files."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders that the block writes at its end; those from before stay."""
+    mine = _written.pop(spark.sparkContext.applicationId, [])
+    try:
+        yield
+    finally:
+        release(spark)
+        if mine:
+            _written[spark.sparkContext.applicationId] = mine
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write `df` once and go on from the files.
 
     Cuts the lineage, so several consumers share one computation and a lost executor
-    costs a re-read, not a recomputation.
+    costs a re-read, not a recomputation. The files stay until `release`.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -60,8 +80,21 @@ def staging(df: DataFrame, label: str, folders: Sequence[str] = ()) -> Iterator[
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder, system = _hadoop(spark, path)
-        system.delete(folder, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all that is in it; one that is not there is fine."""
+    folder, system = _hadoop(spark, path)
+    system.delete(folder, True)
+
+
+def child_paths(spark: SparkSession, path: str) -> list[str]:
+    """Folders and files directly below `path`, as `path`/name."""
+    folder, system = _hadoop(spark, path)
+    if not system.exists(folder):
+        return []
+    return [f"{path.rstrip('/')}/{child.getPath().getName()}" for child in system.listStatus(folder)]
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -15,13 +15,34 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "lavra", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with `SETTINGS`; `extra` keys use `__` for dots (`spark__driver__memory`)."""
+# Shuffle input that one task should get, and the most partitions worth their bookkeeping.
+TASK_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Initial shuffle partitions for inputs of this size.
+
+    Adaptive execution merges partitions but makes no new ones for a window or an
+    aggregation, so this is the ceiling of their parallelism.
+    """
+    return max(200, min(-(-input_bytes // TASK_BYTES), MOST_PARTITIONS))
+
+
+def build_session(
+    app: str = "lavra", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """Session with `SETTINGS`; `extra` keys use `__` for dots (`spark__driver__memory`).
+
+    `input_bytes`, the size of the largest input, sets the shuffle partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

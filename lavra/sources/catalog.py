@@ -25,15 +25,24 @@ class Source:
     schema: T.StructType
 
     def read(self, spark: SparkSession) -> DataFrame:
-        """Scan the whole source on the executors, whatever its size."""
+        """Scan the whole source on the executors, whatever its size.
+
+        The source's own columns are compared with the declared ones before anything is
+        imposed; a missing or mistyped column raises, and further columns are kept.
+        """
         if self.format == "table":
-            return spark.read.table(self.location)
+            return self._checked(spark.read.table(self.location))
         if self.format == "csv":
             return files.read_csv(spark, self.location, self.schema)
         if self.format in ("places_json", "places_json_lines"):
             array = self.format == "places_json"
             return files.flatten_places(files.read_places_json(spark, self.location, array))
-        return spark.read.schema(self.schema).format(self.format).load(self.location)
+        if self.format == "json":
+            return files.read_json(spark, self.location, self.schema)
+        return self._checked(spark.read.format(self.format).load(self.location))
+
+    def _checked(self, df: DataFrame) -> DataFrame:
+        return files.declared_columns(df, self.schema, self.location)
 
 
 def row_counts(tables: Iterable[tuple[str, DataFrame]]) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from lavra.functions.times import instant, micros
 from lavra.runtime import path_exists
 from lavra.session import require_utc
+from lavra.sources.files import declared_columns
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +44,8 @@ def append_snapshot(
 ) -> SnapshotSize:
     """Append `df` as one snapshot, by column name; the first append creates the table.
 
+    Columns beyond `schema` are kept in the files, after the declared ones.
+
     The snapshot counts once its row is in the list, so an append that dies half way is
     never read. Repeating it with the same time replaces the unfinished partition.
     """
@@ -50,12 +53,13 @@ def append_snapshot(
     require_utc(spark)
     if _finished(spark, path, ingested_at):
         raise ValueError(f"{path} already has a snapshot of {ingested_at}")
-    missing = set(schema.names) ^ set(df.columns)
-    if missing:
-        raise ValueError(f"columns differ from the declared schema: {sorted(missing)}")
+    taken = {INGESTED_AT, SOURCE_FILE} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns have the names of ingest metadata: {sorted(taken)}")
+    df = declared_columns(df, schema, source)
     size = Observation("snapshot")
     (
-        stamp(df.to(schema), ingested_at, source)
+        stamp(df, ingested_at, source)
         .observe(size, F.count(F.lit(1)).alias("row_count"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -13,10 +13,12 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.runtime import child_paths, remove
+
 _VERSIONS = "table_name string, path string, schema string, published_ns bigint"
 
 
@@ -67,6 +69,32 @@ class LayerStore:
         versions = self.spark.createDataFrame(rows, _VERSIONS).coalesce(1)
         versions.write.mode("append").json(self._versions_path(layer))
 
+    def discard(self, staged: Sequence["StagedTable"]) -> None:
+        """Remove versions that were staged and will not be published."""
+        for version in staged:
+            remove(self.spark, version.path)
+
+    def remove_unlisted(self, layer: str, keep: int = 1) -> list[str]:
+        """Remove all versions of a layer's tables but the `keep` last published ones, and
+        return their paths. Readers of an older version, and builds that have not published
+        yet, must have ended. Run it as a step of its own."""
+        if keep < 1:
+            raise ValueError("the current version stays")
+        listed = self.spark.read.schema(_VERSIONS).json(self._versions_path(layer))
+        recent = Window.partitionBy("table_name").orderBy(F.desc("published_ns"))
+        kept = listed.withColumn("place", F.row_number().over(recent)).where(F.col("place") <= keep)
+        # The list has a row per table and publication, not per data row.
+        stays = {row["path"] for row in kept.select("path").collect()}
+        gone = []
+        for table in child_paths(self.spark, f"{self.root}/{layer}"):
+            if table.endswith("/versions"):
+                continue
+            for version in child_paths(self.spark, table):
+                if version not in stays and version.rsplit("/", 1)[-1].startswith("v-"):
+                    remove(self.spark, version)
+                    gone.append(version)
+        return gone
+
     def current(self, layer: str) -> Mapping[str, DataFrame]:
         """The published tables of a layer."""
         newest = (

@@ -39,7 +39,9 @@ def encode_base64(events: DataFrame) -> DataFrame:
 
 
 def decode_base64(events: DataFrame) -> DataFrame:
-    return events.withColumn(VALUE, F.decode(F.unbase64(VALUE), "UTF-8"))
+    """Unwrapped messages; one that is no Base64 of UTF-8 text stays as it came."""
+    text = F.try_to_binary(F.col(VALUE).cast("string"), F.lit("base64")).cast("string")
+    return events.withColumn(VALUE, F.coalesce(F.try_validate_utf8(text), F.col(VALUE)))
 
 
 def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
@@ -47,10 +49,18 @@ def decode(events: DataFrame, schema: T.StructType) -> DataFrame:
 
     Empty text and missing fields give NULL. Numbers may arrive as text; text that is no
     number, or a message that is no JSON object, sets the reason and is never dropped.
-    Fields outside `schema` are left out of the columns.
+    Fields outside `schema` are left out of the columns; of a repeated field the last value
+    counts (this sets `spark.sql.variant.allowDuplicateKeys` in the session).
     """
+    events.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     text = F.col(VALUE).cast("string")
-    parsed = events.select(text.alias(MESSAGE), F.try_parse_json(text).alias(_PARSED))
+    # As the only element of an array, a message with text after its end is no valid JSON.
+    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(wrapped, "$[1]", "variant").isNull()
+    parsed = events.select(
+        text.alias(MESSAGE),
+        F.when(alone, F.try_variant_get(wrapped, "$[0]", "variant")).alias(_PARSED),
+    )
     # Valid JSON is an object exactly if its first character is a brace.
     starts = F.ltrim(F.col(MESSAGE), F.lit(" \t\r\n")).startswith("{")
     is_object = F.col(_PARSED).isNotNull() & F.coalesce(starts, F.lit(False))

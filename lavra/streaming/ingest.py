@@ -14,15 +14,23 @@ from lavra.streaming import events
 
 Sink = Callable[[DataFrame], None]
 
+BATCH_OPTIONS = {
+    "kafka": {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000000"},
+    "files": {"maxFilesPerTrigger": "1000"},
+}
+
 
 def read_stream(
     spark: SparkSession, format: str, location: str, options: Mapping[str, str] | None = None
 ) -> DataFrame:
     """Messages in the column `value`: from Kafka topics, or text files in tests.
 
-    Size a micro-batch with `maxOffsetsPerTrigger` (Kafka) or `maxFilesPerTrigger` (files).
+    Unless `options` say otherwise, the first start reads a topic from its earliest offset, so
+    nothing published before is skipped, and a micro-batch is bounded by `BATCH_OPTIONS`. The
+    bound only sizes batches: what is left comes in the next ones.
     """
-    reader = spark.readStream.format(format).options(**dict(options or {}))
+    defaults = BATCH_OPTIONS["kafka" if format == "kafka" else "files"]
+    reader = spark.readStream.format(format).options(**{**defaults, **dict(options or {})})
     if format == "kafka":
         return reader.option("subscribe", location).load().select(F.col("value").cast("string"))
     return reader.load(location)
@@ -54,20 +62,27 @@ def ingest(
     bad_sink: Sink,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
+    base64: bool = False,
+    written: dict[int, int] | None = None,
 ) -> StreamingQuery:
     """Decode, coerce and stamp messages, and append good and bad ones to their tables.
 
     Duplicates stay: Silver keeps the latest event per key. The default trigger drains what
-    is available and stops; pass `{"processingTime": ...}` for a continuous run.
+    is available and stops; pass `{"processingTime": ...}` for a continuous run. `base64`
+    unwraps messages first. `written` receives the good rows written per batch.
     """
+    if base64:
+        messages = events.decode_base64(messages)
     arrived = events.arrive(events.decode(messages, schema), source)
 
-    def append(batch: DataFrame, _batch_id: int) -> None:
+    def append(batch: DataFrame, batch_id: int) -> None:
         # One decoding for both tables; lost blocks are decoded again.
         batch = batch.persist()
         try:
             write_batch(events.bad(batch), bad_sink)
-            write_batch(events.good(batch), sink)
+            rows = write_batch(events.good(batch), sink)
+            if written is not None:
+                written[batch_id] = rows
         finally:
             batch.unpersist()
 
@@ -80,18 +95,29 @@ def ingest(
 
 
 def run_bounded(
-    query: StreamingQuery, max_rows: int, max_seconds: float, poll_seconds: float = 1.0
+    query: StreamingQuery,
+    max_rows: int,
+    max_seconds: float,
+    poll_seconds: float = 1.0,
+    written: Mapping[int, int] | None = None,
 ) -> int:
-    """Let a query run until it read `max_rows`, `max_seconds` passed, or it ended. Returns the
-    rows read. A batch cut off by the stop was not committed and comes again on restart."""
+    """Let a query run until it wrote `max_rows`, `max_seconds` passed, or it ended. Returns the
+    rows written, or read if `written` (see `ingest`) is not given; a query that failed raises.
+
+    A batch cut off by the stop was not committed and comes again on restart.
+    """
     deadline = time.monotonic() + max_seconds
     per_batch: dict[int, int] = {}
     while True:
         active = query.isActive
-        per_batch.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
-        read = sum(per_batch.values())
-        if not active or read >= max_rows or time.monotonic() >= deadline:
+        if written is None:
+            per_batch.update({p["batchId"]: p["numInputRows"] for p in query.recentProgress})
+        done = sum(dict(per_batch if written is None else written).values())
+        if not active or done >= max_rows or time.monotonic() >= deadline:
             break
         query.awaitTermination(poll_seconds)
+    failure = query.exception()
     query.stop()
-    return read
+    if failure is not None:
+        raise failure
+    return done

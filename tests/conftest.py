@@ -11,7 +11,7 @@ from lavra.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "lavra-tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

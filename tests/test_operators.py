@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -249,3 +250,25 @@ def test_every_rollup_counts_its_members(table, rows):
     rolled = indicator.roll_up(parts, ["place"], "rede", "Pública", labels[:2])
     counts = dict(rows(rolled, "rede", "n_persons"))
     assert counts["Pública"] == counts["Estadual"] + counts["Municipal"]
+
+
+def test_order_columns_do_not_break_ties_again(table):
+    df = table("id int, at int, x int, y int", (1, 2, 3, 4))
+    plan = plan_of(latest_by(df, ["id"], ["at"]))
+    window = next(line for line in plan.splitlines() if "row_number" in line)
+    assert "DESC" in window and " ASC" in window and not re.search(r"at#\d+ ASC", window)
+
+
+def test_salts_follow_the_measured_size():
+    from lavra.operators.joins import LEAST_SALTS, SALT_BYTES, salts_for
+
+    assert salts_for(1) == LEAST_SALTS
+    assert salts_for(1000 * SALT_BYTES + 1) == 1001
+
+
+def test_shuffle_partitions_follow_the_input():
+    from lavra.session import MOST_PARTITIONS, TASK_BYTES, shuffle_partitions
+
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(5000 * TASK_BYTES) == 5000
+    assert shuffle_partitions(10**18) == MOST_PARTITIONS

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import quality
-from lavra.operators.quality import QualityFailure, QualityRun
+from lavra.operators.quality import QualityFailure, run_suite
 from lavra.plans.checks import gold_rules, silver_rules
 
 
@@ -68,8 +68,7 @@ def test_first_critical_violation_in_suite_order_raises_and_all_results_are_kept
         quality.present("b", "present b", "x"),
     ]
     with pytest.raises(QualityFailure, match="nulls b"):
-        with QualityRun(spark, "silver", path) as run:
-            run.run(tables, rules)
+        run_suite(spark, "silver", tables, rules, path)
     history = quality.read_history(spark, path)
     assert rows(history, "layer", "check_name", "failed_count", "status", "critical") == [
         ("silver", "nulls a", 1, "FAIL", True),
@@ -82,8 +81,8 @@ def test_first_critical_violation_in_suite_order_raises_and_all_results_are_kept
 
 
 def test_warnings_do_not_raise(spark, folder, table):
-    with QualityRun(spark, "silver", f"{folder}/h") as run:
-        results = run.run({"a": table("x bigint", (1,))}, [quality.volume("a", "v")])
+    tables = {"a": table("x bigint", (1,))}
+    results = run_suite(spark, "silver", tables, [quality.volume("a", "v")], f"{folder}/h")
     assert [r["status"] for r in results] == ["WARN"]
     assert quality.read_history(spark, f"{folder}/h").count() == 1
 
@@ -92,8 +91,7 @@ def test_results_before_a_broken_check_are_kept(spark, folder, table):
     rules = [quality.volume("a", "v"), quality.not_null("b", "n", ["missing"])]
     tables = {"a": table("x bigint", (1,)), "b": table("x bigint", (1,))}
     with pytest.raises(Exception, match="missing"):
-        with QualityRun(spark, "silver", f"{folder}/h") as run:
-            run.run(tables, rules)
+        run_suite(spark, "silver", tables, rules, f"{folder}/h")
     assert quality.read_history(spark, f"{folder}/h").count() == 1
 
 
@@ -102,15 +100,14 @@ def test_failing_history_does_not_hide_the_verdict(spark, folder, table):
     with open(blocked, "w") as f:
         f.write("not a folder")
     with pytest.raises(QualityFailure):
-        with QualityRun(spark, "silver", f"{blocked}/h") as run:
-            run.run({"a": table("x bigint", (None,))}, [quality.not_null("a", "n", ["x"])])
+        tables = {"a": table("x bigint", (None,))}
+        run_suite(spark, "silver", tables, [quality.not_null("a", "n", ["x"])], f"{blocked}/h")
 
 
 def test_nothing_is_written_without_results(spark, folder):
     import os
 
-    with QualityRun(spark, "silver", f"{folder}/h"):
-        pass
+    assert run_suite(spark, "silver", {}, [], f"{folder}/h") == []
     assert not os.path.exists(f"{folder}/h")
 
 

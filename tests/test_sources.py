@@ -93,7 +93,7 @@ def test_csv_keeps_types_and_reports_bad_text(spark, folder, table, rows):
     assert rows(df) == [(2023, "Pública", None), (2024, "Pública", 66.0)]
     with open(path, "a", encoding="utf-8") as f:
         f.write("x,Pública,1\n")
-    with pytest.raises((PySparkException, Py4JJavaError), match="Malformed records"):
+    with pytest.raises((PySparkException, Py4JJavaError), match="ano is not bigint"):
         files.read_csv(spark, path, "ano bigint, rede string, taxa double").collect()
 
 
@@ -151,3 +151,125 @@ def test_layout_splits_a_hot_value_and_prunes(spark, folder):
     hot_files = written.where("uf = 'HOT'").select(F.input_file_name().alias("f")).distinct().count()
     assert hot_files > 1
     assert len(glob.glob(f"{path}/ano=2024/*.parquet")) > 8
+
+
+NASTY = [
+    (1, "say \"hi\", twice"),
+    (2, ""),
+    (3, None),
+    (4, "  blanks  "),
+    (5, "a\\b, c\\"),
+    (6, "line\nbreak\r\nand \"more\""),
+    (7, '"'),
+    (8, '""'),
+]
+
+
+def test_csv_round_trip_keeps_every_text(spark, folder, table, rows):
+    df = table("id bigint, text string", *NASTY)
+    files.write_csv(df, f"{folder}/c", ["id", "text"])
+    assert rows(files.read_csv(spark, f"{folder}/c", df.schema, multi_line=True)) == rows(df)
+
+
+def test_csv_of_another_program(spark, folder, rows):
+    import csv
+
+    path = f"{folder}/c.csv"
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        writer = csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_ALL)
+        writer.writerow(["extra", "id", "text"])
+        writer.writerows([["e", "", 'say "hi"'], ["f", "2", "a,b"]])
+    df = files.read_csv(spark, path, "id bigint, text string")
+    assert df.columns == ["id", "text", "extra"]
+    assert rows(df) == [(2, "a,b", "f"), (None, 'say "hi"', "e")]
+
+
+@pytest.mark.parametrize("line", ["1,a,too many", "1"])
+def test_csv_lines_of_another_width_raise(spark, folder, line):
+    path = f"{folder}/c.csv"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(f"id,text\n{line}\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv(spark, path, "id bigint, text string").collect()
+
+
+def test_sources_that_differ_from_their_schema_raise(spark, folder, table):
+    schema = T.StructType.fromDDL("id bigint, rede string")
+    table("id bigint, renamed string, extra int", (1, "a", 2)).write.parquet(f"{folder}/renamed")
+    table("id string, rede string", ("1", "a")).write.parquet(f"{folder}/mistyped")
+    for name, problem in (("renamed", "rede is missing"), ("mistyped", "id is string")):
+        with pytest.raises(ValueError, match=problem):
+            Source("t", "parquet", f"{folder}/{name}", schema).read(spark)
+    with open(f"{folder}/c.csv", "w", encoding="utf-8") as f:
+        f.write("id,other\n1,a\n")
+    with pytest.raises(ValueError, match="rede"):
+        Source("t", "csv", f"{folder}/c.csv", schema).read(spark)
+    with open(f"{folder}/j.json", "w", encoding="utf-8") as f:
+        f.write('{"id": 1, "rede": "a"}\n{"id": 2, "re')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        Source("t", "json", f"{folder}/j.json", schema).read(spark).collect()
+
+
+def test_json_keeps_extra_fields_and_raises_on_other_types(spark, folder, rows):
+    schema = T.StructType.fromDDL("id bigint, rede string")
+    with open(f"{folder}/j.json", "w", encoding="utf-8") as f:
+        f.write('{"id": 1, "rede": "a"}\n{"id": 2, "more": 5}\n')
+    df = Source("t", "json", f"{folder}/j.json", schema).read(spark)
+    assert df.columns == ["id", "rede", "more"]
+    assert rows(df) == [(1, "a", None), (2, None, "5")]
+    with open(f"{folder}/j.json", "a", encoding="utf-8") as f:
+        f.write('{"id": "x", "rede": "a"}\n')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        Source("t", "json", f"{folder}/j.json", schema).read(spark).collect()
+
+
+def test_snapshots_keep_extra_columns(spark, folder, table, rows):
+    df = table("extra string, name string, id int", ("x", "a", 1))
+    ledger.append_snapshot(df, f"{folder}/t", at(1), "s", SCHEMA)
+    kept = spark.read.parquet(f"{folder}/t")
+    assert rows(kept, "id", "name", "extra") == [(1, "a", "x")]
+    assert rows(ledger.read_latest(spark, f"{folder}/t", SCHEMA), "id", "name") == [(1, "a")]
+    with pytest.raises(ValueError, match="metadata"):
+        ledger.append_snapshot(
+            table("id bigint, name string, _source_file string", (1, "a", "b")), f"{folder}/t", at(2), "s", SCHEMA
+        )
+
+
+def test_broken_place_file_raises(spark, folder):
+    path = f"{folder}/places.json"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write('[{"id": 1, "nome": "a"}, {"id": 2, "no')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.flatten_places(files.read_places_json(spark, path)).collect()
+
+
+def test_old_and_unlisted_versions_are_removed_on_request(spark, folder, table, rows):
+    store = LayerStore(spark, folder)
+    layout = Layout((), ("x",))
+
+    def stage(value):
+        return store.stage(table("x int", (value,)), "silver", "t", layout)
+
+    published = []
+    for value in range(3):
+        published.append(stage(value))
+        store.publish("silver", [published[-1]])
+    forgotten = stage(9)
+    gone = store.remove_unlisted("silver", keep=2)
+    assert sorted(gone) == sorted([published[0].path, forgotten.path])
+    assert rows(store.current("silver")["t"]) == [(2,)]
+    dropped = stage(10)
+    store.discard([dropped])
+    assert store.remove_unlisted("silver") == [published[1].path]
+    assert not glob.glob(f"{dropped.path}*")
+
+
+def test_scratch_tables_are_removed(spark, table):
+    from lavra.runtime import materialize, released, scratch_root
+
+    before = set(glob.glob(f"{scratch_root(spark)}/*"))
+    outside = materialize(table("x int", (1,)), "outside")
+    with released(spark):
+        assert materialize(table("x int", (1,)), "inside").count() == 1
+    left = set(glob.glob(f"{scratch_root(spark)}/*")) - before
+    assert len(left) == 1 and outside.count() == 1

@@ -162,3 +162,83 @@ def test_event_schema_matches_the_batch_schema(spark):
     batch = T.StructType.fromDDL(fixed.STUDENT_BATCH_SCHEMA)
     assert event.names == batch.names
     assert event["rede"].dataType == T.LongType() and batch["rede"].dataType == T.StringType()
+
+
+def test_failed_stream_raises_after_a_bounded_run(spark, folder, schema):
+    send(f"{folder}/in", "1", '{"id": "a", "ano": 1}')
+
+    def failing(df):
+        raise ConnectionError("down")
+
+    messages = read_stream(spark, "text", f"{folder}/in")
+    query = ingest(
+        messages, schema, "topic", failing, parquet_sink(f"{folder}/bad"), f"{folder}/checkpoint"
+    )
+    with pytest.raises(StreamingQueryException):
+        run_bounded(query, max_rows=10, max_seconds=60, poll_seconds=0.2)
+
+
+def test_command_line_fails_with_its_stream(spark, folder):
+    from lavra.__main__ import main
+
+    with open(f"{folder}/bronze", "w") as f:
+        f.write("a file where the table should be")
+    send(f"{folder}/in", "1", '{"id_aluno": "a"}')
+    args = ["--root", folder, "--format", "text", "--location", f"{folder}/in"]
+    assert main(["stream", *args, "--window-seconds", "60"]) == 1
+
+
+def test_bounded_run_counts_written_rows(spark, folder, schema):
+    send(f"{folder}/in", "1", '{"id": "a", "ano": 1}', "bad", "worse")
+    written = {}
+    query = ingest(
+        read_stream(spark, "text", f"{folder}/in"),
+        schema,
+        "topic",
+        parquet_sink(f"{folder}/good"),
+        parquet_sink(f"{folder}/bad"),
+        f"{folder}/checkpoint",
+        written=written,
+    )
+    assert run_bounded(query, max_rows=99, max_seconds=120, written=written) == 1
+    assert spark.read.parquet(f"{folder}/bad").count() == 2
+
+
+def test_base64_messages(spark, folder, schema, rows):
+    import base64
+
+    wrapped = base64.b64encode('{"id": "é", "ano": 1}'.encode()).decode()
+    send(f"{folder}/in", "1", wrapped, "!!", base64.b64encode(b"\xff").decode())
+    ingest(
+        read_stream(spark, "text", f"{folder}/in"),
+        schema,
+        "topic",
+        parquet_sink(f"{folder}/good"),
+        parquet_sink(f"{folder}/bad"),
+        f"{folder}/checkpoint",
+        base64=True,
+    ).awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/good"), "id", "ano") == [("é", 1)]
+    assert rows(spark.read.parquet(f"{folder}/bad"), "_message") == [("!!",), ("/w==",)]
+
+
+def test_trailing_text_is_bad_and_the_last_repeated_field_counts(table, schema, rows):
+    messages = table(
+        "value string",
+        ('{"id": "a", "ano": 1} trailing',),
+        ('{"id": "b", "ano": 1},{"id": "c"}',),
+        ('{"id": "d", "ano": 1},null',),
+        ('{"id": "e", "ano": 1, "ano": 2}',),
+        ('{"id": "f", "ano": 3} \n',),
+        ("[1]",),
+        ("",),
+    )
+    decoded = events.decode(messages, schema)
+    assert rows(events.good(decoded), "id", "ano") == [("e", 2), ("f", 3)]
+    assert events.bad(decoded).count() == 5
+
+
+def test_topics_start_at_their_earliest_offset():
+    from lavra.streaming import ingest as module
+
+    assert module.BATCH_OPTIONS["kafka"]["startingOffsets"] == "earliest"
