@@ -14,7 +14,7 @@ from lavra.operators.freshness import FreshnessNames, freshness
 from lavra.operators.joins import lookup_join
 from lavra.plans import fixed
 from lavra.plans.silver import PROCESSED_AT
-from lavra.runtime import bounded
+from lavra.runtime import bounded, materialize, narrowed
 from lavra.sources.tables import Layout
 
 LAYOUTS = {
@@ -151,7 +151,7 @@ def place_mart(
 ) -> DataFrame:
     """Per year, place and network; keys of unknown places are left out."""
     keys = ["ano", "id_municipio", "rede"]
-    own = student_indicators(parts, ["id_municipio"])
+    own = _written(student_indicators(parts, ["id_municipio"]))
     target = targets_of_year(
         targets,
         keys,
@@ -159,8 +159,10 @@ def place_mart(
         "nivel_alfabetizacao",
     )
     names = dim.select("id_municipio", "nome_municipio", "sigla_uf", "nome_uf", "nome_regiao")
-    spine = key_spine([results, targets, own], keys).join(bounded(names), "id_municipio")
-    return _judge(lookup_join(spine, [_official(results, keys), target, own], keys), PLACE_COLUMNS)
+    spine = key_spine([results, targets, own], keys)
+    spine = spine.join(bounded(narrowed(names, dim)), "id_municipio")
+    sides = [narrowed(_official(results, keys), results), narrowed(target, targets), own]
+    return _judge(lookup_join(spine, sides, keys), PLACE_COLUMNS)
 
 
 def state_mart(
@@ -168,26 +170,32 @@ def state_mart(
 ) -> DataFrame:
     """Per year, state and network; states unknown to the dimension stay, without names."""
     keys = ["ano", "sigla_uf", "rede"]
-    own = student_indicators(parts, ["sigla_uf"])
+    own = _written(student_indicators(parts, ["sigla_uf"]))
     target = targets_of_year(
         targets, keys, F.col("taxa_alfabetizacao").alias("taxa_alfabetizacao_base_meta")
     )
     names = dim.select("sigla_uf", "nome_uf", "nome_regiao").distinct()
     spine = key_spine([results, targets, own], keys)
-    spine = lookup_join(spine, [names], ["sigla_uf"])
-    return _judge(lookup_join(spine, [_official(results, keys), target, own], keys), STATE_COLUMNS)
+    spine = lookup_join(spine, [narrowed(names, dim)], ["sigla_uf"])
+    sides = [narrowed(_official(results, keys), results), narrowed(target, targets), own]
+    return _judge(lookup_join(spine, sides, keys), STATE_COLUMNS)
 
 
 def nation_mart(parts: DataFrame, targets: DataFrame) -> DataFrame:
     """Per year and network; the actual rate comes with the targets, there is no separate
     result table at this level."""
     keys = ["ano", "rede"]
-    own = student_indicators(parts, [])
+    own = _written(student_indicators(parts, []))
     target = targets_of_year(
         targets, keys, F.col("taxa_alfabetizacao").alias("taxa_alfabetizacao_real")
     )
     spine = key_spine([targets, own], keys)
-    return _judge(lookup_join(spine, [target, own], keys), NATION_COLUMNS)
+    return _judge(lookup_join(spine, [narrowed(target, targets), own], keys), NATION_COLUMNS)
+
+
+def _written(indicators: DataFrame) -> DataFrame:
+    """The spine and the join share one computation, measured as it is written."""
+    return materialize(indicators, "indicators", measured=True)
 
 
 def freshness_mart(stream: DataFrame, students: DataFrame) -> DataFrame:

@@ -70,9 +70,13 @@ def _dim(t: Tables) -> DataFrame:
     return silver.places(standin.places(t)).drop("_processed_at")
 
 
+def _measured(df: DataFrame) -> DataFrame:
+    return materialize(df, "table", measured=True)
+
+
 def _small_dim(t: Tables) -> DataFrame:
     """The dimension as a written table, marked for broadcast if it is small enough."""
-    return t.once("small dim", lambda: bounded(materialize(_dim(t), "dim")))
+    return t.once("small dim", lambda: bounded(_measured(_dim(t))))
 
 
 def _students(t: Tables) -> DataFrame:
@@ -155,8 +159,8 @@ def mart_comparativo_municipio(t: Tables) -> DataFrame:
     return shown(
         gold.place_mart(
             _components(t),
-            materialize(silver.place_results(standin.place_results(t), dim), "results"),
-            materialize(silver.place_targets(standin.place_targets(t), dim), "targets"),
+            _measured(silver.place_results(standin.place_results(t), dim)),
+            _measured(silver.place_targets(standin.place_targets(t), dim)),
             dim,
         )
     )
@@ -167,8 +171,8 @@ def mart_comparativo_uf(t: Tables) -> DataFrame:
     return shown(
         gold.state_mart(
             _components(t),
-            materialize(silver.state_results(standin.state_results(t)), "results"),
-            materialize(silver.state_targets(standin.state_targets(t)), "targets"),
+            _measured(silver.state_results(standin.state_results(t))),
+            _measured(silver.state_targets(standin.state_targets(t))),
             _dim(t),
         )
     )
@@ -177,7 +181,7 @@ def mart_comparativo_uf(t: Tables) -> DataFrame:
 @query
 def mart_comparativo_brasil(t: Tables) -> DataFrame:
     targets = silver.nation_targets(standin.nation_targets(t))
-    return shown(gold.nation_mart(_components(t), materialize(targets, "targets")))
+    return shown(gold.nation_mart(_components(t), _measured(targets)))
 
 
 @query
@@ -659,11 +663,11 @@ def quality_suite_silver(t: Tables) -> DataFrame:
 def quality_suite_gold(t: Tables) -> DataFrame:
     dim = _small_dim(t)
     parts = _components(t)
-    place_results = materialize(silver.place_results(standin.place_results(t), dim), "results")
-    place_targets = materialize(silver.place_targets(standin.place_targets(t), dim), "targets")
-    state_results = materialize(silver.state_results(standin.state_results(t)), "results")
-    state_targets = materialize(silver.state_targets(standin.state_targets(t)), "targets")
-    nation_targets = materialize(silver.nation_targets(standin.nation_targets(t)), "targets")
+    place_results = _measured(silver.place_results(standin.place_results(t), dim))
+    place_targets = _measured(silver.place_targets(standin.place_targets(t), dim))
+    state_results = _measured(silver.state_results(standin.state_results(t)))
+    state_targets = _measured(silver.state_targets(standin.state_targets(t)))
+    nation_targets = _measured(silver.nation_targets(standin.nation_targets(t)))
     marts = {
         "mart_comparativo_municipio": gold.place_mart(parts, place_results, place_targets, dim),
         "mart_comparativo_uf": gold.state_mart(parts, state_results, state_targets, dim),

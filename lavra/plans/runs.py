@@ -15,7 +15,7 @@ from lavra.operators.quality import run_suite
 from lavra.operators.reference import KNOWN
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
-from lavra.runtime import bounded, path_exists, staging
+from lavra.runtime import bounded, narrowed, path_exists, released, staging
 from lavra.sources.catalog import Source
 from lavra.sources.files import write_csv
 from lavra.sources.ledger import (
@@ -153,6 +153,11 @@ def read_stream_table(spark: SparkSession, config: Config) -> DataFrame:
 
 def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
     """Write new versions of all Silver tables, the dimension first."""
+    with released(spark):
+        return _stage_silver(spark, config)
+
+
+def _stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
     ensure_stream_table(spark, config)
     store = LayerStore(spark, config.root)
     staged: dict[str, StagedTable] = {}
@@ -165,7 +170,7 @@ def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         return staged[table].read(spark)
 
     places = stage("dim_localidades", silver.places(bronze("ibge_municipios")))
-    dim = bounded(places.select("id_municipio", "sigla_uf"))
+    dim = bounded(narrowed(places.select("id_municipio", "sigla_uf"), places))
     stage(
         "meta_alfabetizacao_brasil", silver.nation_targets(bronze("meta_alfabetizacao_brasil"))
     )
@@ -195,6 +200,13 @@ def stage_gold(
     spark: SparkSession, config: Config, tables: Mapping[str, DataFrame] | None = None
 ) -> list[StagedTable]:
     """Write new versions of all marts from the published (or given) Silver tables."""
+    with released(spark):
+        return _stage_gold(spark, config, tables)
+
+
+def _stage_gold(
+    spark: SparkSession, config: Config, tables: Mapping[str, DataFrame] | None
+) -> list[StagedTable]:
     store = LayerStore(spark, config.root)
     t = tables or store.current("silver")
     dim = t["dim_localidades"]

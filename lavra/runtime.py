@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,16 +59,46 @@ def released(spark: SparkSession) -> Iterator[None]:
             _written[spark.sparkContext.applicationId] = mine
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, measured: bool = False) -> DataFrame:
     """Write `df` once and go on from the files.
 
     Cuts the lineage, so several consumers share one computation and a lost executor
-    costs a re-read, not a recomputation. The files stay until `release`.
+    costs a re-read, not a recomputation. The files stay until `release`. With `measured`
+    the size is added up while writing, so that `measured_bytes` need not scan again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    size = None
+    if measured:
+        df, size = observe_size(df)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    return with_size(written, size() if size else None)
+
+
+def observe_size(df: DataFrame) -> tuple[DataFrame, Callable[[], int | None]]:
+    """`df`, and a function that tells its size once it was written; None if Spark found it to
+    be empty while planning, since nothing is then observed."""
+    size = Observation()
+
+    def told() -> int | None:
+        try:
+            return size.get["bytes"]
+        except Py4JJavaError:
+            return None
+
+    return df.observe(size, _size(df).cast("bigint").alias("bytes")), told
+
+
+def with_size(df: DataFrame, size: int | None) -> DataFrame:
+    """Remember that `df` has at most `size` bytes; None leaves it to be measured."""
+    df._lavra_bytes = size
+    return df
+
+
+def narrowed(df: DataFrame, whole: DataFrame) -> DataFrame:
+    """`df`, made of rows of `whole` and no more of its columns, has at most its known size."""
+    return with_size(df, getattr(whole, "_lavra_bytes", None))
 
 
 @contextmanager
@@ -110,14 +141,19 @@ def _hadoop(spark: SparkSession, path: str):
 def measured_bytes(*sides: DataFrame) -> list[int]:
     """Per side, the size of all its values plus an overhead per cell.
 
-    One job for all sides; each is a distributed sum, the driver gets one number per side.
+    Sides that were measured while they were written need no job. All others share one: each
+    is a distributed sum, the driver gets one number per side.
     """
+    known = [getattr(side, "_lavra_bytes", None) for side in sides]
     sizes = [
         side.agg(_size(side).cast("bigint").alias("size")).select(F.lit(i).alias("side"), "size")
         for i, side in enumerate(sides)
+        if known[i] is None
     ]
-    measured = reduce(lambda a, b: a.unionByName(b), sizes).collect()
-    return [row["size"] for row in sorted(measured, key=lambda row: row["side"])]
+    if sizes:
+        for row in reduce(lambda a, b: a.unionByName(b), sizes).collect():
+            known[row["side"]] = row["size"]
+    return known
 
 
 def _size(df: DataFrame) -> Column:
@@ -145,5 +181,6 @@ def bounded(df: DataFrame, limit: int | None = None) -> DataFrame:
 
     Unmarked sides join by shuffle, where adaptive execution splits hot partitions.
     """
-    (fits,) = fits_broadcast(df, limit=limit)
-    return F.broadcast(df) if fits else df
+    (size,) = measured_bytes(df)
+    fits = size <= (BROADCAST_BYTES if limit is None else limit)
+    return with_size(F.broadcast(df) if fits else df, size)

@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lavra.runtime import child_paths, remove
+from lavra.runtime import child_paths, observe_size, remove, with_size
 
-_VERSIONS = "table_name string, path string, schema string, published_ns bigint"
+_VERSIONS = "table_name string, path string, schema string, published_ns bigint, bytes bigint"
 
 
 @dataclass(frozen=True)
@@ -59,13 +59,14 @@ class LayerStore:
     def stage(self, df: DataFrame, layer: str, table: str, layout: Layout) -> "StagedTable":
         """Write a new version that nobody reads yet."""
         path = f"{self.path(layer, table)}/v-{uuid.uuid4().hex}"
-        write_layout(df, path, layout)
-        return StagedTable(table, path, df.schema)
+        observed, size = observe_size(df)
+        write_layout(observed, path, layout)
+        return StagedTable(table, path, df.schema, size())
 
     def publish(self, layer: str, staged: Sequence["StagedTable"]) -> None:
         """Make all `staged` versions current in one append."""
         now = time.time_ns()
-        rows = [(s.table, s.path, s.schema.json(), now) for s in staged]
+        rows = [(s.table, s.path, s.schema.json(), now, s.bytes) for s in staged]
         versions = self.spark.createDataFrame(rows, _VERSIONS).coalesce(1)
         versions.write.mode("append").json(self._versions_path(layer))
 
@@ -101,12 +102,15 @@ class LayerStore:
             self.spark.read.schema(_VERSIONS)
             .json(self._versions_path(layer))
             .groupBy("table_name")
-            .agg(F.max_by(F.struct("path", "schema"), "published_ns").alias("version"))
+            .agg(F.max_by(F.struct("path", "schema", "bytes"), "published_ns").alias("version"))
             .select("table_name", "version.*")
         )
         return {
             row["table_name"]: StagedTable(
-                row["table_name"], row["path"], T.StructType.fromJson(json.loads(row["schema"]))
+                row["table_name"],
+                row["path"],
+                T.StructType.fromJson(json.loads(row["schema"])),
+                row["bytes"],
             ).read(self.spark)
             for row in newest.collect()
         }
@@ -120,7 +124,9 @@ class StagedTable:
     table: str
     path: str
     schema: T.StructType
+    bytes: int | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Read in the declared column order; a version without rows is empty, not an error."""
-        return spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
+        rows = spark.read.schema(self.schema).parquet(self.path).select(*self.schema.names)
+        return with_size(rows, self.bytes)
