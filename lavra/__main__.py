@@ -19,7 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     """Run one step; 0 on success, 1 if it failed, for instance on a critical check."""
     parser = argparse.ArgumentParser(prog="lavra")
     steps = parser.add_subparsers(dest="step", required=True)
-    for name in ("bronze", "silver", "gold", "validate", "stream", "places", "replay", "clean"):
+    for name in ("bronze", "silver", "gold", "validate", "stream", "places", "replay", "clean", "compact"):
         step = steps.add_parser(name)
         if name not in ("places", "replay"):
             step.add_argument("--root", required=True, help="folder of all layers")
@@ -76,6 +76,8 @@ def _step(spark, config: runs.Config, args: argparse.Namespace) -> None:
     elif args.step == "replay":
         table = spark.read.parquet(args.table)
         runs.replay_events(spark, table, args.limit, args.format, args.location)
+    elif args.step == "compact":
+        runs.compact_events(spark, config)
     elif args.step == "clean":
         LayerStore(spark, config.root).remove_unlisted(args.layer, args.keep)
     else:

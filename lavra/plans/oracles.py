@@ -790,6 +790,9 @@ def oracle_sql() -> dict[str, str]:
         "stream_batches": _with(
             ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
         ),
+        "stream_compacted": _with(
+            ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
+        ),
         "stream_latest_wins": _with(
             ("raw_events",),
             f"""

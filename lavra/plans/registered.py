@@ -28,6 +28,7 @@ from lavra.runtime import bounded, materialize, scratch_path
 from lavra.sources import catalog, files, ledger
 from lavra.sources.tables import LayerStore, Layout, write_layout
 from lavra.streaming import events
+from lavra.streaming.bronze import EventTable
 from lavra.streaming.ingest import ingest, parquet_sink, read_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -829,3 +830,20 @@ def stream_latest_wins(t: Tables) -> DataFrame:
     )
     bronze = _streamed_bronze(t, events.as_events(first), events.as_events(again))
     return silver.latest_students(bronze).drop("_ingested_at", "_source_file")
+
+
+@query
+def stream_compacted(t: Tables) -> DataFrame:
+    """Several batches into day folders, merged into few files, and read back."""
+    root = scratch_path(t.spark, "stream")
+    schema = T.StructType.fromDDL(fixed.STUDENT_EVENT_SCHEMA)
+    table = EventTable(t.spark, f"{root}/bronze", schema)
+    _messages(t).repartition(4).write.text(f"{root}/in")
+    stream = read_stream(t.spark, "text", f"{root}/in", {"maxFilesPerTrigger": "2"})
+    bad_sink = parquet_sink(f"{root}/rejected")
+    ingest(
+        stream, schema, "events", table.sink(), bad_sink, f"{root}/checkpoint"
+    ).awaitTermination()
+    table.compact(dt.datetime.now(dt.timezone.utc).date() + dt.timedelta(days=2))
+    table.remove_merged_sources()
+    return table.read().drop("_ingested_at", "_arrival_day")

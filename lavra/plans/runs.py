@@ -19,8 +19,6 @@ from lavra.runtime import bounded, narrowed, path_exists, released, staging
 from lavra.sources.catalog import Source
 from lavra.sources.files import write_csv
 from lavra.sources.ledger import (
-    INGESTED_AT,
-    SOURCE_FILE,
     SnapshotSize,
     append_snapshot,
     read_latest,
@@ -28,6 +26,7 @@ from lavra.sources.ledger import (
 )
 from lavra.sources.tables import LayerStore, StagedTable
 from lavra.streaming import events
+from lavra.streaming.bronze import DAY, EventTable
 from lavra.streaming.ingest import ingest, parquet_sink
 
 SCHEMAS = {
@@ -115,6 +114,15 @@ def ensure_stream_table(spark: SparkSession, config: Config) -> None:
     stamp(empty, utc_now(), "").write.mode("append").parquet(config.bronze(STREAM_TABLE))
 
 
+def event_table(spark: SparkSession, config: Config) -> EventTable:
+    return EventTable(spark, config.bronze(STREAM_TABLE), schema_of(STREAM_TABLE))
+
+
+def compact_events(spark: SparkSession, config: Config) -> list[str]:
+    """Merge the small files of the days that are over; returns the days."""
+    return event_table(spark, config).compact()
+
+
 def stream_bronze(
     spark: SparkSession,
     config: Config,
@@ -130,7 +138,7 @@ def stream_bronze(
         messages,
         schema_of(STREAM_TABLE),
         source_name,
-        parquet_sink(config.bronze(STREAM_TABLE)),
+        event_table(spark, config).sink(),
         parquet_sink(config.rejected_events),
         config.stream_checkpoint,
         trigger,
@@ -147,8 +155,7 @@ def replay_events(
 
 
 def read_stream_table(spark: SparkSession, config: Config) -> DataFrame:
-    schema = schema_of(STREAM_TABLE).add(INGESTED_AT, "timestamp").add(SOURCE_FILE, "string")
-    return spark.read.schema(schema).parquet(config.bronze(STREAM_TABLE))
+    return event_table(spark, config).read().drop(DAY)
 
 
 def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:

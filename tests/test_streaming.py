@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
 import os
 
@@ -242,3 +243,25 @@ def test_topics_start_at_their_earliest_offset():
     from lavra.streaming import ingest as module
 
     assert module.BATCH_OPTIONS["kafka"]["startingOffsets"] == "earliest"
+
+
+def test_closed_days_are_merged_and_pruned(spark, folder, schema, table, rows):
+    from lavra.streaming.bronze import EventTable
+
+    days = EventTable(spark, f"{folder}/t", schema)
+    full = "ano bigint, id string, peso double, _ingested_at timestamp, _source_file string"
+    for n in range(6):
+        at = dt.datetime(2024, 1, 1 + n % 3, 12, tzinfo=dt.timezone.utc)
+        days.sink()(table(full, (n, str(n), None, at, "s")))
+    everything = rows(days.read())
+    assert days.compact(dt.date(2024, 1, 3)) == ["2024-01-01", "2024-01-02"]
+    assert days.compact(dt.date(2024, 1, 3)) == []
+    assert rows(days.read()) == everything
+    assert len(days.remove_merged_sources()) == 2
+    assert rows(days.read()) == everything and len(everything) == 6
+    assert len(days.read().where("_arrival_day = '2024-01-01'").inputFiles()) <= 6
+    plan = days.read().where("_arrival_day = '2024-01-03'")._jdf.queryExecution().executedPlan()
+    assert "PartitionFilters: [isnotnull(_arrival_day" in plan.toString()
+    # Late files of a merged day would be hidden, hence only days that are over are merged.
+    assert days.compact() == ["2024-01-03"]
+    assert rows(days.read()) == everything
