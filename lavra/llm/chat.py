@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lavra.llm.common import bound_batches
+
 START = "start"
 
 
@@ -149,6 +151,7 @@ def format_chat(turns: DataFrame, template: Template | None = None) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batched(format_rows(_rows(batches, "conv_id", "role", "text")), _SEGMENT, 3)
 
+    bound_batches(turns.sparkSession)
     ordered = (
         turns.select(F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text")
         .repartition("conv_id")

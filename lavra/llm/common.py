@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word is a run without ASCII white space, the same split as `bytes.split()`.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+# Bytes that go to a Python task at once; a longer row goes alone.
+ARROW_BYTES = 4 << 20
+_SPARKS_BOUND = f"{64 << 20}b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of the session by bytes, so that Python tasks need the same
+    memory whatever the length of the texts. A bound that the session was given stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == _SPARKS_BOUND:
+        spark.conf.set(key, f"{ARROW_BYTES}b")
+
+
 def words(text: Column) -> Column:
     """All words of `text`; null text has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

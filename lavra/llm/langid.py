@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lavra.llm.common import free_name
+from lavra.llm.common import bound_batches, free_name
 
 UNDETERMINED = "und"
 # Bounds of the labelled sample that an automaton is built from, per language.
@@ -26,8 +26,8 @@ SAMPLE_CHARS = 512
 
 # A phrase ends at the latest where a block of this many bytes ends.
 BLOCK = 512
-# Texts parsed side by side: bytes of a group, or one text if it is longer.
-_GROUP_BYTES = 4 << 20
+# Texts parsed side by side: about so many bytes.
+_GROUP_BYTES = 2 << 20
 
 _PAD, _UNKNOWN = 0, 1
 _LETTER = regex.compile(r"\p{L}")
@@ -154,20 +154,19 @@ def predict(texts: list[str | None], model: Model) -> pd.DataFrame:
     """`lang_pred` and `score` of every text; see `identify`."""
     languages, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
     known = [i for i, text in enumerate(texts) if text and _LETTER.search(text)]
-    cleaned = [normalised(texts[i]) for i in known] if model.languages else []
-    at = 0
-    while at < len(cleaned):
-        size, end = 0, at
-        while end < len(cleaned) and (end == at or size + len(cleaned[end]) <= _GROUP_BYTES):
-            size += len(cleaned[end])
-            end += 1
-        costs = phrases(cleaned[at:end], model) * np.array(model.bits)
+    at = 0 if model.languages else len(known)
+    while at < len(known):
+        group, size = [], 0
+        while at + len(group) < len(known) and size < _GROUP_BYTES:
+            group.append(normalised(texts[known[at + len(group)]]))
+            size += len(group[-1])
+        costs = phrases(group, model) * np.array(model.bits)
         best = costs.argmin(axis=1)
         lowest = np.partition(costs, min(1, costs.shape[1] - 1), axis=1)
-        for i, winner, row in zip(known[at:end], best, lowest, strict=True):
+        for i, winner, row in zip(known[at : at + len(group)], best, lowest, strict=True):
             languages[i] = model.languages[winner]
             scores[i] = 1.0 - row[0] / row[1] if len(row) > 1 else 1.0
-        at = end
+        at += len(group)
     return pd.DataFrame({"lang_pred": languages, "score": scores})
 
 
@@ -197,6 +196,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     is a tie (the smaller language name wins), 1 means that there is no other language.
     Columns of the same names are replaced in place.
     """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("lang_pred string, score double")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lavra.llm.common import free_name
+from lavra.llm.common import bound_batches, free_name
 from lavra.llm.components import connected_components
 from lavra.runtime import bounded, materialize
 
@@ -211,6 +211,7 @@ def near_duplicates(
     if not 0 < min_cosine <= 1:
         raise ValueError("the cosine must be above 0 and at most 1")
     spark = vectors.sparkSession
+    bound_batches(spark)
     rows = vectors.select(
         F.col(id_name).alias("id"),
         F.col(label_name).alias("label"),

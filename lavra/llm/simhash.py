@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import free_name
+from lavra.llm.common import bound_batches, free_name
 from lavra.llm.components import connected_components
 from lavra.runtime import bounded, materialize
 
@@ -115,6 +115,7 @@ def near_duplicates(
     `doc_id` reachable through links; null ids are only a component's id where it has no
     other. Repeated rows stay repeated. Other columns are not looked at.
     """
+    bound_batches(docs.sparkSession)
     marked = materialize(
         docs.select("doc_id", fingerprint(F.col("text"), shingle_words).alias("fingerprint")),
         "fingerprints",
@@ -144,6 +145,7 @@ def keep_representatives(
     """One row of every component of `docs`, with all columns: the one whose id is the
     component's. Of rows that repeat this id one stays, and of a component whose ids are all
     null as well."""
+    bound_batches(docs.sparkSession)
     mark, row = free_name(docs, "fingerprint"), free_name(docs, "row_number")
     # Written with the texts, so that row numbers stay what they are if a task runs again.
     numbered = materialize(

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import free_name, utf8_bytes
+from lavra.llm.common import bound_batches, free_name, utf8_bytes
 from lavra.runtime import bounded, materialize
 
 WINDOW_WORDS = 20
@@ -398,6 +398,7 @@ def repeated_windows(
     `docs` (`place`, `mark`, `text`)."""
     if not 1 <= minimiser <= words:
         raise ValueError("a minimiser has 1 to `words` words")
+    bound_batches(docs.sparkSession)
     size = docs.agg(F.sum(utf8_bytes(F.col("text")))).first()[0] or 0
     buckets = max(1, 3 * size // _BUCKET_BYTES)
     dealt = docs.mapInArrow(_map_side(words, minimiser, buckets), _ROW)
