@@ -9,6 +9,7 @@ table are merged on the spot by the same rule, so the table's size changes speed
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 import zlib
@@ -21,13 +22,17 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lavra.llm.common import bound_batches
+
 # Bound of the word table that every task gets, and of the bytes of a word in it.
-TABLE_WORDS = 1 << 17
+TABLE_WORDS = 1 << 16
 TABLE_WORD_BYTES = 32
-# Words that a task remembers besides the table.
-_MEMORY = 1 << 17
+# Words that a Python worker remembers at most, the table among them.
+MEMORY_WORDS = 3 << 16
 # The literal rank map is an array of small maps: a key's bucket is its checksum's remainder.
 _BUCKETS = 1 << 14
+# Bytes of a word up to which scanning is faster than keeping a queue.
+_SHORT = 64
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -42,6 +47,26 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     whole = ranks.get(word)
     if whole is not None:
         return [whole]
+    return _merge_short(word, ranks) if len(word) <= _SHORT else _merge_long(word, ranks)
+
+
+def _merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Merges with a scan for the lowest rank each time."""
+    rank_of, none = ranks.get, len(ranks) + (1 << 32)
+    bounds = list(range(len(word) + 1))
+    pairs = [rank_of(word[i : i + 2], none) for i in range(len(word) - 1)]
+    while pairs and (lowest := min(pairs)) != none:
+        i = pairs.index(lowest)
+        del bounds[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = rank_of(word[bounds[i] : bounds[i + 2]], none)
+        if i:
+            pairs[i - 1] = rank_of(word[bounds[i - 1] : bounds[i + 1]], none)
+    return [ranks[word[a:b]] for a, b in pairwise(bounds)]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Merges with a queue of pairs, so that the time hardly grows faster than the word."""
     n = len(word)
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
@@ -77,10 +102,10 @@ def _java_pattern(pattern: str) -> str:
 
 
 def frequent_words(text: Column, docs: DataFrame, pattern: str, most: int) -> DataFrame:
-    """The `most` most frequent distinct words (`word`) of all texts; equal counts go by word."""
+    """The `most` distinct words (`word`) that stand in the most documents; ties go by word."""
     matches = F.regexp_extract_all(text, F.lit(_java_pattern(pattern)), F.lit(0))
     return (
-        docs.select(F.explode(matches).alias("word"))
+        docs.select(F.explode(F.array_distinct(matches)).alias("word"))
         .groupBy("word")
         .count()
         .where(F.octet_length("word") <= TABLE_WORD_BYTES)
@@ -155,6 +180,7 @@ def encode(
     tokens. `table_words` bounds the distinct words that are folded beforehand and sent out.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     whole = F.coalesce(docs[text], F.lit(""))
     table = fold_merges(frequent_words(whole, docs, pattern, table_words), ranks)
     known = spark.sparkContext.broadcast(
@@ -165,17 +191,15 @@ def encode(
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         split = regex.compile(pattern).findall
+        # A worker's copy of the table also takes what the worker merges, up to the bound.
         ready, merges = known.value, vocabulary.value
-        memory: dict[str, bytes] = {}
 
         def ids(word: str) -> bytes:
-            found = ready.get(word) or memory.get(word)
+            found = ready.get(word)
             if found is None:
                 found = _packed(merge(word.encode(), merges))
-                if len(word) <= TABLE_WORD_BYTES:
-                    if len(memory) >= _MEMORY:
-                        memory.clear()
-                    memory[word] = found
+                if len(ready) < MEMORY_WORDS and len(word) <= TABLE_WORD_BYTES:
+                    ready[word] = found
             return found
 
         for batch in batches:
@@ -201,6 +225,7 @@ def _rows(lists: pa.Array) -> Iterator[np.ndarray]:
 def decode(ids: Column, docs: DataFrame, ranks: dict[bytes, int]) -> Column:
     """Bytes of an array of ids: the pieces, concatenated. Null has none; ids outside the
     vocabulary raise."""
+    bound_batches(docs.sparkSession)
     pieces = docs.sparkSession.sparkContext.broadcast({rank: p for p, rank in ranks.items()})
 
     @F.arrow_udf("binary")
@@ -212,12 +237,26 @@ def decode(ids: Column, docs: DataFrame, ranks: dict[bytes, int]) -> Column:
     return joined(F.coalesce(ids, F.array().cast("array<int>")))
 
 
-def little_endian(ids: Column) -> Column:
-    """The ids as little-endian unsigned 32-bit integers in a row."""
+def digests(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
+    """`doc_id`, `n_tokens`, and SHA-256 (lowercase hexadecimal) of the ids as little-endian
+    unsigned 32-bit integers and of the bytes they decode to. Null ids count as none."""
+    bound_batches(coded.sparkSession)
+    pieces = coded.sparkSession.sparkContext.broadcast({rank: p for p, rank in ranks.items()})
 
-    @F.arrow_udf("binary")
-    def packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = pieces.value.__getitem__
         for batch in batches:
-            yield pa.array([row.astype("<u4").tobytes() for row in _rows(batch)], pa.binary())
+            counts, packed, decoded = [], [], []
+            for row in _rows(batch.column("ids")):
+                counts.append(len(row))
+                packed.append(hashlib.sha256(row.astype("<u4").tobytes()).hexdigest())
+                decoded.append(hashlib.sha256(b"".join(map(piece, row.tolist()))).hexdigest())
+            columns = [batch.column("doc_id"), pa.array(counts, pa.int64())]
+            columns += [pa.array(packed, pa.string()), pa.array(decoded, pa.string())]
+            yield pa.RecordBatch.from_arrays(
+                columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            )
 
-    return packed(ids)
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return coded.select("doc_id", F.col(ids).alias("ids")).mapInArrow(report, schema)

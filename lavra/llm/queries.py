@@ -82,12 +82,7 @@ def bpe_report(docs: DataFrame) -> DataFrame:
     """Ids and decoded bytes of every document, as counts and digests."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
     coded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(bpe.little_endian(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), docs, ranks), 256).alias("decoded_sha256"),
-    )
+    return bpe.digests(coded, ranks)
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -35,6 +35,7 @@ def test_merges_like_the_library():
         word = "".join(draw.choices("abcdeéü漢 'sthing", k=draw.randint(1, 40)))
         expected = LIBRARY._encode_single_piece(word)
         assert bpe.merge(word.encode(), RANKS) == expected
+        assert bpe._merge_long(word.encode(), RANKS) == expected
 
 
 def test_fold_equals_merge(spark):
@@ -50,17 +51,19 @@ def test_fold_equals_merge(spark):
 def test_whole_texts_like_the_library_and_back(docs, table_words):
     frame = docs(*enumerate(TEXTS), (3, TEXTS[3])).selectExpr("*", "1 AS word", "2 AS parts")
     coded = bpe.encode(frame, RANKS, public_tokenizers.PATTERN, table_words=table_words)
-    done = coded.withColumn("bytes", bpe.decode(F.col("ids"), frame, RANKS)).withColumn(
-        "packed", bpe.little_endian(F.col("ids"))
-    )
-    found = done.collect()
+    found = coded.withColumn("bytes", bpe.decode(F.col("ids"), frame, RANKS)).collect()
     assert len(found) == len(TEXTS) + 1
+    reports = {r["doc_id"]: r for r in bpe.digests(coded, RANKS).collect()}
     for row in found:
         text = TEXTS[row["doc_id"]] or ""
         ids = LIBRARY.encode_ordinary(text)
         assert row["ids"] == ids
         assert bytes(row["bytes"]) == text.encode()
-        assert bytes(row["packed"]) == struct.pack(f"<{len(ids)}I", *ids)
+        report = reports[row["doc_id"]]
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        assert report["n_tokens"] == len(ids)
+        assert report["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+        assert report["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
 
 
 def test_report_of_nothing(docs):
