@@ -98,13 +98,13 @@ def labelled_sample(
     Random: what the fixed rules find, and Base64 and hexadecimal digests of the texts.
     Ordinary: identifiers of documents without a secret, alone and joined in the usual ways.
     """
-    text = F.coalesce("text", F.lit(""))
-    drawn = (
-        docs.select(text.alias("text"))
-        .distinct()
-        .orderBy(F.xxhash64("text"), F.sha2("text", 256))
-        .limit(documents)
+    # Hashes first, so that no task ever gets more than the sample's texts.
+    hashed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "draw", F.xxhash64("text")
     )
+    lowest = hashed.select("draw").distinct().orderBy("draw").limit(documents)
+    drawn = hashed.where(F.col("draw") <= lowest.select(F.max("draw")).scalar())
+    drawn = drawn.select("text").distinct()
     ruled = F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
