@@ -92,10 +92,11 @@ def assign(
 
     Every source is read round by round in the order of a hash of its ids. Whole rounds go
     to all documents, the last one to those that end before the target. What the next one
-    would overshoot is filled with the few later documents that fit best. A copy's position is the time at which
-    its source's schedule has asked for the words up to the document's middle; the filling
-    comes last. Ids that repeat, or are null, come in the order of their size and row. Documents
-    without words may be copied but take nothing; empty input gives no rows.
+    would overshoot is filled with the few later documents that fit best. A copy's position
+    is the time at which its source's schedule has asked for the words up to the document's
+    middle; the filling comes last. Ids that repeat, or are null, come in the order of their
+    size and row. Documents without words may be copied but take nothing; empty input gives
+    no rows.
     """
     rows = docs.select(
         F.col(row).alias("row"),
@@ -158,7 +159,8 @@ def _fillers(known: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
     for _ in range(FILLERS):
         fits = F.col("of").eqNullSafe(F.col("source")) & (F.col("size") <= F.col("gap"))
         fitting = left.join(bounded(picked), "row", "left_anti").join(bounded(gaps), fits)
-        best = fitting.groupBy("source", "gap").agg(F.max(F.struct("size", "draw", "id", "row")).alias("best"))
+        largest = F.max(F.struct("size", "draw", "id", "row")).alias("best")
+        best = fitting.groupBy("source", "gap").agg(largest)
         best = materialize(best.select("source", "gap", "best.size", "best.row"), "gaps")
         gaps = best.select("source", (F.col("gap") - F.col("size")).alias("gap"))
         picked = materialize(picked.unionByName(best.select("row")), "gaps")
