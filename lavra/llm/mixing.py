@@ -15,8 +15,6 @@ from lavra.runtime import bounded, materialize
 # their names take these in turn. Their integrals are 5, 2 and 1.
 SCHEDULES = ((7.5, 5.0, 2.5), (1.0, 2.0, 3.0), (0.5, 1.0, 1.5))
 MOST_COPIES = 3
-# Documents per source that fill what whole documents leave of a target.
-FILLERS = 4
 
 
 def word_count(text: Column) -> Column:
@@ -92,11 +90,11 @@ def assign(
 
     Every source is read round by round in the order of a hash of its ids. Whole rounds go
     to all documents, the last one to those that end before the target. What the next one
-    would overshoot is filled with the few later documents that fit best. A copy's position
-    is the time at which its source's schedule has asked for the words up to the document's
-    middle; the filling comes last. Ids that repeat, or are null, come in the order of their
-    size and row. Documents without words may be copied but take nothing; empty input gives
-    no rows.
+    would overshoot is filled with later documents until none that is left fits. A copy's
+    position is the time at which its source's schedule has asked for the words up to the
+    document's middle; the filling comes last. Ids that repeat, or are null, come in the order
+    of their size and row. Documents without words may be copied but take nothing; empty
+    input gives no rows.
     """
     rows = docs.select(
         F.col(row).alias("row"),
@@ -121,17 +119,19 @@ def assign(
     known = materialize(known.drop("of", "extra"), "mix")
     taken = F.sum(total * (F.col("rounds") + F.col("more").cast("int")))
     gaps = known.groupBy("source").agg((F.first("target") - taken).alias("gap"))
-    added = bounded(materialize(_fillers(known, gaps, most), "mix"))
-    copies = F.col("rounds") + F.col("more").cast("int") + F.coalesce("added", F.lit(0))
+    added = bounded(materialize(_fillers(known, gaps, order, most), "mix"))
+    filling = F.col("filled").isNotNull()
+    copies = F.col("rounds") + (F.col("more") | filling).cast("int")
+
+    def start(i: Column) -> Column:
+        """Words that the source has given before copy `i`."""
+        whole = i * F.col("source_size") + F.col("before")
+        return F.when(filling & (i == F.col("rounds")), F.col("filled")).otherwise(whole)
+
     shares = F.transform(
         F.sequence(F.lit(0), F.col("copies").cast("int") - 1),
         lambda i: F.least(
-            F.coalesce(
-                F.try_divide(
-                    i * F.col("source_size") + F.col("before") + total / 2, F.col("target")
-                ),
-                F.lit(1.0),
-            ),
+            F.coalesce(F.try_divide(start(i) + total / 2, F.col("target")), F.lit(1.0)),
             F.lit(1.0),
         ),
     )
@@ -149,22 +149,49 @@ def assign(
     )
 
 
-def _fillers(known: DataFrame, gaps: DataFrame, most: int) -> DataFrame:
-    """`row` (and `added` = 1) of the documents that fill each source's `gap`: the largest that
-    still fits, `FILLERS` times; of equals, the last by draw and id."""
+def _fillers(known: DataFrame, gaps: DataFrame, order: list[str], most: int) -> DataFrame:
+    """`row` of the documents that fill each source's `gap`, and `filled`, the words that the
+    source has given before them. At the end no document that is left fits its source's gap.
+
+    A round takes documents of up to half the gap, by draw and `order`, as far as they fit; a
+    source that has none such gives its largest that fits. Either a document of up to half
+    the gap did not fit any more, or only larger ones are left, of which one fits at most. So
+    every round but a source's last two halves its gap, and few rounds are needed.
+    """
     left = known.where(~F.col("more") & (F.col("rounds") < most) & (F.col("size") > 0))
-    left = left.select(F.col("source").alias("of"), "size", "draw", "id", "row")
+    left = left.select("source", "target", "size", "draw", "id", "row")
     gaps = materialize(gaps, "gaps")
-    picked = materialize(left.select("row").limit(0), "gaps")
-    for _ in range(FILLERS):
-        fits = F.col("of").eqNullSafe(F.col("source")) & (F.col("size") <= F.col("gap"))
-        fitting = left.join(bounded(picked), "row", "left_anti").join(bounded(gaps), fits)
-        largest = F.max(F.struct("size", "draw", "id", "row")).alias("best")
-        best = fitting.groupBy("source", "gap").agg(largest)
-        best = materialize(best.select("source", "gap", "best.size", "best.row"), "gaps")
-        gaps = best.select("source", (F.col("gap") - F.col("size")).alias("gap"))
-        picked = materialize(picked.unionByName(best.select("row")), "gaps")
-    return picked.withColumn("added", F.lit(1))
+    picked = left.select("row", F.lit(0.0).alias("filled")).limit(0)
+    while True:
+        of = bounded(gaps.withColumnRenamed("source", "of"))
+        fits = F.col("source").eqNullSafe(F.col("of")) & (F.col("size") <= F.col("gap"))
+        small = 2 * F.col("size") <= F.col("gap")
+        fitting = materialize(left.join(of, fits).drop("of").withColumn("small", small), "mix")
+        best = F.max(F.struct("size", "draw", "id", "row"))
+        largest = fitting.groupBy("source").agg(best["row"].alias("best"))
+        largest = largest.join(
+            fitting.where("small").select("source").distinct().withColumnRenamed("source", "of"),
+            F.col("source").eqNullSafe(F.col("of")),
+            "left_anti",
+        )
+        largest = bounded(materialize(largest.select("best"), "gaps"))
+        if fitting.isEmpty():
+            return picked
+        single = fitting.join(largest, F.col("row") == F.col("best"), "left_semi")
+        summed = with_totals_before(
+            fitting.where("small"), ["source"], "draw", order, {"before": F.col("size")}
+        )
+        chosen = summed.where(F.col("before") + F.col("size") <= F.col("gap")).unionByName(
+            single.withColumn("before", F.lit(0).cast("bigint"))
+        )
+        filled = F.col("target") - F.col("gap") + F.col("before")
+        chosen = materialize(
+            chosen.select("row", "source", "gap", "size", filled.alias("filled")), "mix"
+        )
+        gaps = chosen.groupBy("source").agg((F.first("gap") - F.sum("size")).alias("gap"))
+        gaps = materialize(gaps, "gaps")
+        picked = picked.unionByName(chosen.select("row", "filled"))
+        left = fitting.drop("gap", "small").join(bounded(chosen.select("row")), "row", "left_anti")
 
 
 def number_rows(docs: DataFrame, size: Column) -> tuple[DataFrame, str, str]:

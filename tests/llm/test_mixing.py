@@ -99,3 +99,37 @@ def test_mix_returns_copies_in_order(docs, prose):
     assert mixed.count() == expected
     assert mixing.mix(docs()).count() == 0
     assert mixing.mix(docs((1, None), (2, ""))).count() <= 6
+
+
+@pytest.mark.parametrize("place", [0, 100, 900])
+def test_a_long_document_does_not_end_the_filling(spark, place):
+    """The rest of the order is taken although one long document in it does not fit."""
+    ids = spark.range(1001).orderBy(F.xxhash64("id"))
+    long = [r["id"] for r in ids.collect()][place]
+    rows = [(i, "b", 100_000 if i == long else 90 + i % 20, i) for i in range(1001)]
+    rows.append((5000, "a", 10, 5000))
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, row bigint")
+    plan = mixing.assign(frame.repartition(3), "size", "row", ((1.0, 1.0),), 20_000).collect()
+    size = {row: n for *_, n, row in rows}
+    found = {r["row"]: r for r in plan if r["source_size"] > 10}
+    goal = found[long]["target"]
+    taken = sum(size[row] * len(r["positions"]) for row, r in found.items())
+    unused = [size[row] for row, r in found.items() if not r["positions"]]
+    assert 90_000 < goal < 110_000
+    assert 0 <= goal - taken < min(unused)
+    # The filling spreads over the training, as the words of its source do.
+    times = sorted(p for r in found.values() for p in r["positions"])
+    assert all(abs(t - (i + 0.5) / len(times)) < 0.05 for i, t in enumerate(times))
+
+
+def test_no_document_that_is_left_fits(docs, prose, monkeypatch):
+    monkeypatch.setattr(prefix_sums, "BUCKET_ROWS", 16)
+    of: dict = {}
+    for r in assigned(docs(*corpus(prose))):
+        of.setdefault(r["source"], []).append(r)
+    for rows in of.values():
+        copies = [len(r["positions"]) for r in rows if r["size"]] or [3]
+        left = [r["size"] for r in rows if r["size"] and len(r["positions"]) == min(copies)]
+        gap = rows[0]["target"] - sum(r["size"] * len(r["positions"]) for r in rows)
+        if min(copies) < 3 and len(set(copies)) > 1:
+            assert gap < min(left)
