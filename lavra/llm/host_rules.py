@@ -119,8 +119,9 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
     A rule's rates over hosts are given a beta prior by the method of moments: with the mean
     rate m and the rates' variance v beyond what chance alone explains, the prior weighs
     s = m (1 - m) / v - 1 documents. A host's rate is (failures + s m) / (n + s), so hosts with
-    few documents move to the mean and need much evidence to fail. Without variance beyond
-    chance every host has the mean rate.
+    few documents move to the mean and need much evidence to fail. Mean, variance and chance
+    weigh hosts by documents alike, so many tiny hosts do not hide a large one. Without
+    variance beyond chance every host has the mean rate.
     """
     counts = measured.groupBy(host).agg(
         F.count(F.lit(1)).alias("n"),
@@ -132,15 +133,14 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
         rate = F.col(f"{rule}_failures") / F.col("n")
         moments += [
             (F.sum(f"{rule}_failures") / F.sum("n")).alias(f"{rule}_mean"),
-            F.avg(rate * rate).alias(f"{rule}_square"),
-            F.avg(rate).alias(f"{rule}_average"),
+            (F.sum(rate * F.col(f"{rule}_failures")) / F.sum("n")).alias(f"{rule}_square"),
         ]
     # One row of moments; the number of hosts does not matter to the driver.
-    row = hosts.agg(*moments, F.avg(1 / F.col("n")).alias("chance")).first()
+    row = hosts.agg(*moments, (F.count(F.lit(1)) / F.sum("n")).alias("chance")).first()
     shrunk = {}
     for rule in RULES:
         mean = row[f"{rule}_mean"] or 0.0
-        spread = (row[f"{rule}_square"] or 0.0) - (row[f"{rule}_average"] or 0.0) ** 2
+        spread = (row[f"{rule}_square"] or 0.0) - mean**2
         chance = mean * (1 - mean) * (row["chance"] or 0.0)
         beyond = spread - chance
         if beyond > 0 and 0 < mean < 1:

@@ -67,3 +67,20 @@ def test_no_rows(docs):
     assert host_rules.judge(docs(), "source").count() == 0
     (row,) = host_rules.judge(docs((None, None)), "source").collect()
     assert (row["n_words"], row["base_failed"], row["kept"]) == (0, True, False)
+
+
+def test_many_tiny_hosts_do_not_hide_a_large_bad_one(spark):
+    """10,000 hosts of one document, of which 5 % fail, and one of 5,000 that all fail."""
+    measured = spark.range(15_000).selectExpr(
+        "IF(id < 10000, concat('tiny', id), 'bad') AS source",
+        "IF(id >= 10000 OR id % 20 = 0, 1L, 40L) AS n_words",
+        "200L AS word_chars",
+        "0L AS n_symbols",
+        "0L AS n_dup_lines",
+        "0L AS n_repeat_words",
+    )
+    found = {r["source"]: r for r in host_rules.host_verdicts(measured, "source").collect()}
+    assert len(found) == 10_001
+    assert found["bad"]["host_failed"] and found["bad"]["short_rate"] > 0.99
+    assert not found["tiny1"]["host_failed"]
+    assert not found["tiny20"]["host_failed"]
