@@ -172,12 +172,31 @@ def predict(texts: list[str | None], model: Model) -> pd.DataFrame:
 
 def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS):
     """Up to `texts` pieces of `chars` characters per `lang` from `docs` (`text`, `lang`),
-    which the texts' own hashes choose. Rows without a language or a letter do not count."""
+    which the texts' own hashes choose; copies of a text count once. Rows without a language
+    or a letter do not count."""
     usable = docs.where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
-    piece = F.substring("text", 1, chars)
-    picked = usable.select("lang", piece.alias("text"), F.xxhash64("text").alias("draw"))
-    order = Window.partitionBy("lang").orderBy("draw", "text")
-    return picked.withColumn("place", F.row_number().over(order)).where(F.col("place") <= texts)
+    hashed = usable.select("lang", "text", F.xxhash64("text").alias("draw"))
+    order = Window.partitionBy("lang").orderBy("draw")
+    # Hashes first, so that only the sample's texts are cut and moved.
+    lowest = hashed.select("lang", "draw").distinct().withColumn("place", F.row_number().over(order))
+    lowest = F.broadcast(lowest.where(F.col("place") <= texts))
+    picked = hashed.join(lowest, ["lang", "draw"])
+    piece = F.min(_piece(F.col("text"), F.col("draw"), chars)).alias("text")
+    return picked.groupBy("lang", "draw", "place").agg(piece)
+
+
+def _piece(text: Column, draw: Column, chars: int) -> Column:
+    """`chars` characters of `text`: from the first letter at or after a place that its hash
+    chooses behind the text's first letter, or from that one if no other follows."""
+
+    def from_letter(part: Column) -> Column:
+        return F.regexp_replace(part, r"^\P{L}++", "")
+
+    whole = from_letter(text)
+    places = F.greatest(F.char_length(whole) - chars, F.lit(0)) + 1
+    at = F.pmod(F.xxhash64(draw), places).cast("int")
+    after = from_letter(F.substr(whole, at + 1))
+    return F.substring(F.when(F.char_length(after) > 0, after).otherwise(whole), 1, chars)
 
 
 def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> Model:

@@ -102,3 +102,22 @@ def test_stage_keeps_columns_and_clean_rows(docs, columns):
     assert kept.columns == frame.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted([*(r[0] for r in rows), rows[0][0]])
     assert langid.keep_identified(docs()).count() == 0
+
+
+def test_copies_take_one_place_of_the_sample(docs):
+    """Whatever its place in the order, a text with many copies is learned from once."""
+    texts = [text("aa", seed) for seed in range(20)]
+    rows = [(100 * i + k, t, "aa") for i, t in enumerate(texts) for k in range(70)]
+    found = langid.labelled_sample(docs(*rows)).collect()
+    assert sorted(r["place"] for r in found) == list(range(1, 21))
+    assert len({r["text"] for r in found}) == 20
+
+
+def test_pieces_pass_over_a_shared_opening(docs):
+    opening = "0123456789 " * 60
+    rows = [(i, opening + "same license line " * 40 + text("aa", i, 900), "aa") for i in range(30)]
+    rows += [(50, "12 " * 400 + "letters", "bb")]
+    found = langid.labelled_sample(docs(*rows)).collect()
+    assert len({r["text"] for r in found}) == 31
+    assert all(r["text"][0].isalpha() and len(r["text"]) <= langid.SAMPLE_CHARS for r in found)
+    assert sum("license" in r["text"] for r in found) < 15
