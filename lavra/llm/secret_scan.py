@@ -25,8 +25,9 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 # Strings that the models judge; only those with a letter, since numbers are no secrets.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+CANDIDATE_LENGTH = 16
 
-# A candidate is random from this log-likelihood ratio on (natural logarithm).
+# A candidate, or a stretch of one, is random from this log-likelihood ratio on (natural logarithm).
 MIN_RATIO = 10.0
 # Bounds of the labelled sample: documents, and identifiers of each.
 SAMPLE_DOCS = 2000
@@ -90,6 +91,140 @@ def _ratio(value: Column, weights: Column) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """`body(value)`, with `value` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _stretches(value: Column, weights: Column, least: float) -> Column:
+    """`all`, the sum over the whole `value`, and `found`: start and end of its stretches whose
+    sum reaches `least`, by the maximum running sum.
+
+    A stretch ends at its highest sum, once the sum is used up or has fallen by `least`, so
+    what lies between stretches has none. `=` before anything but `=` ends a name. Ordinary
+    samples have hardly a separator, so a pair with one adds nothing to a stretch.
+    """
+    equals, marks = ord("="), [ord(c) for c in "+/_=-"]
+    pairs = _let(
+        _codes(value),
+        lambda codes: F.zip_with(
+            F.slice(codes, 1, F.size(codes) - 1),
+            F.slice(codes, 2, F.size(codes) - 1),
+            lambda a, b: F.struct(
+                F.get(weights, a * _CODES + b).alias("weight"),
+                ((a == equals) & (b != equals)).alias("cut"),
+                (a.isin(marks) | b.isin(marks)).alias("mark"),
+            ),
+        ),
+    )
+
+    def emitted(found: Column, start: Column, end: Column, best: Column) -> Column:
+        span = F.struct(start.alias("start"), end.alias("end"))
+        return F.when(best >= least, F.concat(found, F.array(span))).otherwise(found)
+
+    def step(state: Column, pair: Column) -> Column:
+        gain = F.when(pair["mark"], F.least(pair["weight"], F.lit(0.0))).otherwise(pair["weight"])
+        total = state["sum"] + gain
+        higher = ~pair["cut"] & (total > state["best"])
+        best = F.when(higher, total).otherwise(state["best"])
+        end = F.when(higher, state["at"] + 2).otherwise(state["end"])
+        closed = pair["cut"] | (total <= 0) | (best - total >= least)
+        found = emitted(state["found"], state["start"], end, best)
+        return F.struct(
+            (state["at"] + 1).alias("at"),
+            (state["all"] + pair["weight"]).alias("all"),
+            F.when(closed, F.lit(0.0)).otherwise(total).alias("sum"),
+            F.when(closed, F.lit(0.0)).otherwise(best).alias("best"),
+            F.when(closed, state["at"] + 1).otherwise(state["start"]).alias("start"),
+            end.alias("end"),
+            F.when(closed, found).otherwise(state["found"]).alias("found"),
+        )
+
+    zero, none = F.lit(0), F.array().cast("array<struct<start:int,end:int>>")
+    first = F.struct(
+        zero.alias("at"),
+        F.lit(0.0).alias("all"),
+        F.lit(0.0).alias("sum"),
+        F.lit(0.0).alias("best"),
+        zero.alias("start"),
+        zero.alias("end"),
+        none.alias("found"),
+    )
+    return F.aggregate(
+        pairs,
+        first,
+        step,
+        lambda state: F.struct(
+            state["all"].alias("all"),
+            emitted(state["found"], state["start"], state["end"], state["best"]).alias("found"),
+        ),
+    )
+
+
+def _random_spans(match: Column, weights: Column, least: float) -> Column:
+    """Start and end in the text of what is random in a candidate.
+
+    A stretch grows to the letters and digits it is glued to, and counts if it has a letter
+    and the least length, or if all of the candidate is random. If that is so without any
+    such stretch, the candidate counts as a whole.
+    """
+    value = match["value"]
+
+    def grown(span: Column) -> Column:
+        before = F.reverse(F.substr(value, F.lit(1), span["start"]))
+        after = F.substr(value, span["end"] + 1)
+        left, right = (
+            F.char_length(F.regexp_extract(side, "^[A-Za-z0-9]*", 0)) for side in (before, after)
+        )
+        return F.struct(
+            (span["start"] - left).alias("start"),
+            (span["end"] + right).alias("end"),
+            (span["end"] - span["start"]).alias("scored"),
+        )
+
+    def text(span: Column) -> Column:
+        return F.substr(value, span["start"] + 1, span["end"] - span["start"])
+
+    def counts(judged: Column):
+        def check(span: Column) -> Column:
+            alone = (span["end"] - span["start"] >= CANDIDATE_LENGTH) & (
+                _ratio(text(span), weights) >= least
+            )
+            return text(span).rlike("[A-Za-z]") & (
+                (judged["all"] >= least) | (span["scored"] >= CANDIDATE_LENGTH) | alone
+            )
+
+        return check
+
+    def placed(start: Column, end: Column) -> Column:
+        return F.struct(
+            (match["start"] + start).cast("int").alias("start"),
+            (match["start"] + end).cast("int").alias("end"),
+        )
+
+    def join(spans: Column, span: Column) -> Column:
+        last = F.get(spans, F.size(spans) - 1)
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
+        merged = F.concat(F.slice(spans, 1, F.size(spans) - 1), F.array(longer))
+        apart = F.concat(spans, F.array(span))
+        touching = F.coalesce(span["start"] < last["end"], F.lit(False))
+        return F.when(touching, merged).otherwise(apart)
+
+    def spans(judged: Column) -> Column:
+        kept = F.filter(F.transform(judged["found"], grown), counts(judged))
+        joined = F.aggregate(
+            F.transform(kept, lambda span: placed(span["start"], span["end"])),
+            F.array().cast("array<struct<start:int,end:int>>"),
+            join,
+        )
+        whole = F.when(
+            judged["all"] >= least, F.array(placed(F.lit(0), F.char_length(value)))
+        ).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
+        return _let(joined, lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
+
+    return _let(_stretches(value, weights, least), spans)
+
+
 def labelled_sample(
     docs: DataFrame, documents: int = SAMPLE_DOCS, identifiers: int = SAMPLE_IDENTIFIERS
 ) -> DataFrame:
@@ -196,8 +331,9 @@ def scan(
     """`docs` with `name`: an array of (start, rank, end), sorted, rank being the place in `KINDS`.
 
     Rules look for leftmost non-overlapping matches per kind. Candidates that share a
-    character with a rule's span are left to the rule; the others become spans of kind
-    `random` if the models' log-likelihood ratio reaches `min_ratio`. Null text is empty.
+    character with a rule's span are left to the rule; of the others the stretches whose
+    log-likelihood ratio by the models reaches `min_ratio` become spans of kind `random`,
+    whatever name or path they are glued to. Null text is empty.
     """
     text = F.coalesce(docs["text"], F.lit(""))
     base, guess = free_name(docs, "base"), free_name(docs, "guess")
@@ -221,17 +357,21 @@ def scan(
     )
     table = F.from_json(F.lit(json.dumps(weights)), "array<double>")
 
-    def is_random(match: Column) -> Column:
+    def is_apart(match: Column) -> Column:
         apart = ~F.exists(
             F.col(base), lambda b: (b["start"] < match["end"]) & (match["start"] < b["end"])
         )
-        return (
-            match["value"].rlike("[A-Za-z]") & apart & (_ratio(match["value"], table) >= min_ratio)
-        )
+        return match["value"].rlike("[A-Za-z]") & apart
 
+    random = F.flatten(
+        F.transform(
+            F.filter(_matches(text, CANDIDATE), is_apart),
+            lambda match: _random_spans(match, table, min_ratio),
+        )
+    )
     return (
         docs.withColumn(base, F.sort_array(rules))
-        .withColumn(guess, _spans(F.filter(_matches(text, CANDIDATE), is_random), "random"))
+        .withColumn(guess, _spans(random, "random"))
         .withColumn(name, F.sort_array(F.concat(base, guess)))
         .drop(base, guess)
     )

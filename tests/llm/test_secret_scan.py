@@ -97,3 +97,22 @@ def test_no_rows_and_no_samples(docs):
     weights = ss.train(ss.labelled_sample(docs()))
     assert len(weights) == 128 * 128 and set(weights) == {0.0}
     assert ss.scan(docs(), weights).count() == 0
+
+
+def test_random_parts_of_names_and_paths(docs, weights):
+    """A long ordinary prefix does not hide the random string that it is glued to."""
+    secret, other = "9fQz7LpX2vKw8RtY4bNm", "Zx4Kq9Wv7Jp2Hd8Gs5Tb"
+    name = "hello_another_ordinary_thread_statement_" * 4
+    texts = {
+        1: (f"{name}title={secret} on", [secret]),
+        2: (f"see {'/strained/related/situation' * 6}/{secret}", [secret]),
+        3: (f"{name}one={secret}/{'rathole/' * 30}{other}", [secret, other]),
+        4: (f"{name}={name}", []),
+        5: (secret, [secret]),
+    }
+    frame = docs(*[(i, text) for i, (text, _) in texts.items()])
+    for row in ss.scan(frame, weights).collect():
+        text, expected = texts[row["doc_id"]]
+        assert [text[start:end] for start, _, end in row["secrets"]] == expected
+    left = ss.scan(ss.redact(frame, weights), weights).where("size(secrets) > 0")
+    assert left.count() == 0
