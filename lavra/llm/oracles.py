@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lavra.llm import host_rules
+from lavra.llm import host_rules, pivot_clusters
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -134,9 +134,52 @@ FROM embeddings
 LEFT JOIN (SELECT src, count(*) AS n_links FROM links GROUP BY src) n ON vec_id = n.src
 LEFT JOIN (SELECT src, min(dst) AS component_id FROM reached GROUP BY src) c ON vec_id = c.src"""
 
+_NEAREST = """
+moved{r} AS MATERIALIZED (
+  SELECT r, list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(v.z, c.z)]) AS d, cluster
+  FROM whole v, centroids{r} c),
+found{r} AS MATERIALIZED (
+  SELECT r, cluster, d FROM moved{r}
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1)"""
+
+_MEANS = """,
+parts{r} AS (
+  SELECT cluster, i, sum(z[i])::BIGINT AS s, count(*) AS n
+  FROM found{r} JOIN whole USING (r), range(1, {dims} + 1) t(i) GROUP BY cluster, i),
+centroids{next} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.z, c.z) AS z FROM centroids{r} c LEFT JOIN (
+    SELECT cluster, list(s // n - (CASE WHEN s % n < 0 THEN 1 ELSE 0 END) ORDER BY i) AS z
+    FROM parts{r} GROUP BY cluster) m USING (cluster)),"""
+
+
+def _clusters() -> str:
+    """One block of common table expressions per round."""
+    c, last = pivot_clusters, pivot_clusters.ROUNDS
+    steps = "".join(
+        _NEAREST.format(r=r) + (_MEANS.format(r=r, next=r + 1, dims=c.DIMS) if r < last else "")
+        for r in range(last + 1)
+    )
+    return f"""
+WITH whole AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, sha256('{c.SEED}:' || vec_id) AS h,
+         [floor({c.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS z
+  FROM embeddings
+  WHERE len(embedding) = {c.DIMS}
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, z) - 1 AS cluster, z FROM whole WHERE h IS NOT NULL
+  QUALIFY cluster < {c.CLUSTERS}),{steps}
+SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance,
+       (sum(d) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c.z, ',')) AS centroid_sha256
+FROM found{last} JOIN whole USING (r) JOIN centroids{last} c USING (cluster)"""
+
+
 ORACLE_SQL = {
     "op1_chat": _CHAT,
     "op2_substrings": _SUBSTRINGS,
     "op4_host_rules": _HOSTS,
     "op8_metric_join": _VECTORS,
+    "op11_pivot_clusters": _clusters(),
 }

@@ -13,6 +13,7 @@ from lavra.llm import (
     langid,
     metric_join,
     mixing,
+    pivot_clusters,
     resharding,
     secret_scan,
     simhash,
@@ -149,6 +150,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_pivot_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_clusters.cluster(_table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_substrings": op2_substrings,
@@ -160,4 +165,5 @@ QUERIES = {
     "op8_metric_join": op8_metric_join,
     "op9_resharding": op9_resharding,
     "op10_simhash": op10_simhash,
+    "op11_pivot_clusters": op11_pivot_clusters,
 }
