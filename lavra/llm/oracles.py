@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lavra.llm import host_rules, pivot_clusters
+from lavra.llm import fill_middle, host_rules, pivot_clusters
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -176,10 +176,40 @@ SELECT vec_id, cluster::INTEGER AS cluster, d::BIGINT AS distance,
 FROM found{last} JOIN whole USING (r) JOIN centroids{last} c USING (cluster)"""
 
 
+def _draw(group: int) -> str:
+    return f"('0x' || substr(h, {8 * group + 1}, 8))::BIGINT"
+
+
+_MIDDLE = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+         sha256('{fill_middle.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+drawn AS (
+  SELECT *, least({_draw(0)} % (n + 1), {_draw(1)} % (n + 1)) AS a,
+         greatest({_draw(0)} % (n + 1), {_draw(1)} % (n + 1)) AS b,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR {_draw(2)} % 100 >= {fill_middle.TRANSFORMED_PERCENT} THEN 'plain'
+              WHEN {_draw(3)} % 100 < {fill_middle.SUFFIX_FIRST_PERCENT} THEN 'spm'
+              ELSE 'psm' END AS form
+  FROM docs),
+cut AS (
+  SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+                        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut"""
+
+
 ORACLE_SQL = {
     "op1_chat": _CHAT,
     "op2_substrings": _SUBSTRINGS,
     "op4_host_rules": _HOSTS,
     "op8_metric_join": _VECTORS,
     "op11_pivot_clusters": _clusters(),
+    "op12_fill_middle": _MIDDLE,
 }

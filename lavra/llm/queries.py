@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lavra.llm import (
     bpe,
     chat,
+    fill_middle,
     host_rules,
     langid,
     metric_join,
@@ -18,6 +19,7 @@ from lavra.llm import (
     secret_scan,
     simhash,
     substring_dedup,
+    token_counts,
 )
 from lavra.llm.oracles import ORACLE_SQL  # noqa: F401  registered with the queries
 
@@ -154,6 +156,30 @@ def op11_pivot_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return pivot_clusters.cluster(_table(spark, folder, "embeddings"))
 
 
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    made = fill_middle.transform(docs)
+    restored = fill_middle.restore(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored, 256).alias("restored_sha256"),
+    )
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = token_counts.read_model(public_tokenizers.path(PIECES))
+    return token_counts.count_tokens(docs, model).drop("text")
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_substrings": op2_substrings,
@@ -166,4 +192,6 @@ QUERIES = {
     "op9_resharding": op9_resharding,
     "op10_simhash": op10_simhash,
     "op11_pivot_clusters": op11_pivot_clusters,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_token_counts": op13_token_counts,
 }

@@ -28,7 +28,7 @@ def duck():
 def test_all_are_registered():
     registered = entry_point.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 12))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(ORACLE_SQL) <= set(entry_point.oracle_sql()) & set(QUERIES)
 
 

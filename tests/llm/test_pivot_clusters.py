@@ -41,8 +41,9 @@ def plain(rows, clusters=8, rounds=10, seed=3):
     found = assign()
     sums = [sum(d for d, at in found if at == i) for i in range(len(centroids))]
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids]
+    inertia = sum(sums) if sum(sums) < 2**63 else None
     return sorted(
-        ((k, at, d, sums[at], sum(sums), digests[at]) for (k, _), (d, at) in zip(kept, found, strict=True)),
+        ((k, at, d, sums[at], inertia, digests[at]) for (k, _), (d, at) in zip(kept, found, strict=True)),
         key=str,
     )
 
