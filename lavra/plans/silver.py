@@ -89,6 +89,10 @@ LAYOUTS = {
 }
 
 
+# Raw columns that name a student in a year.
+STUDENT_KEYS = ("id_aluno", "ano")
+
+
 def _processed(df: DataFrame) -> DataFrame:
     return df.withColumn(PROCESSED_AT, F.current_timestamp())
 
@@ -122,7 +126,7 @@ def latest_students(bronze: DataFrame) -> DataFrame:
 
     Valid and rejected students both come from this ranking, so none is in both or lost.
     """
-    return latest_by(bronze, ["id_aluno", "ano"], [INGESTED_AT])
+    return latest_by(bronze, STUDENT_KEYS, [INGESTED_AT])
 
 
 def students(latest: DataFrame, dim: DataFrame) -> DataFrame:

@@ -133,6 +133,76 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(folder)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of a small file, read by the driver."""
+    file, system = _hadoop(spark, path)
+    stream = system.open(file)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with `text`, unless the path exists: then False and no change.
+
+    Of several that try at once one succeeds, and nobody ever sees half a file: the text is
+    written beside it and then given its name, by a rename that does not replace, which the
+    file system makes atomic. Local files get the name by a link, as their rename replaces.
+    """
+    target, system = _hadoop(spark, path)
+    jvm = spark._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path
+    system.mkdirs(target.getParent())
+    draft = jpath(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    try:
+        if system.getScheme() == "file":
+            # The real folder, also behind a mount table.
+            local = [jvm.java.io.File(system.resolvePath(draft.getParent()).toUri().getPath(), name)
+                     for name in (target.getName(), draft.getName())]
+            jvm.java.nio.file.Files.createLink(*[file.toPath() for file in local])
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                target.toUri(), spark._jsc.hadoopConfiguration()
+            )
+            none = spark.sparkContext._gateway.new_array(
+                jvm.org.apache.hadoop.fs.Options.Rename, 0
+            )
+            context.rename(draft, target, none)
+        return True
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        system.delete(draft, False)
+
+
+def move_absent(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another name that must be free."""
+    source, system = _hadoop(spark, path)
+    goal, _ = _hadoop(spark, target)
+    if system.exists(goal) or not system.rename(source, goal):
+        raise FileExistsError(target)
+
+
+def file_times(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Data files directly below `path` with their modification time in milliseconds."""
+    folder, system = _hadoop(spark, path)
+    if not system.exists(folder):
+        return []
+    return [
+        (f"{path.rstrip('/')}/{one.getPath().getName()}", one.getModificationTime())
+        for one in system.listStatus(folder)
+        if one.isFile() and not one.getPath().getName().startswith(("_", "."))
+    ]
+
+
 def _hadoop(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

@@ -2,17 +2,33 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lavra.runtime import read_text
 from lavra.streaming import events
 
-Sink = Callable[[DataFrame], None]
+# Writes the rows; False says that they were left out.
+Sink = Callable[[DataFrame], bool | None]
+
+
+@dataclass(frozen=True)
+class OncePerBatch:
+    """A sink that is told which stream a batch comes from and the batch's number, and that
+    leaves out a batch it has: `append(rows, writer, batch)`."""
+
+    append: Callable[[DataFrame, str, int], bool]
+
+    def of(self, writer: str, batch: int) -> Sink:
+        return lambda df: self.append(df, writer, batch)
+
 
 BATCH_OPTIONS = {
     "kafka": {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000000"},
@@ -42,7 +58,8 @@ def parquet_sink(path: str) -> Sink:
 
 
 def write_batch(batch: DataFrame, sink: Sink) -> int:
-    """Append one micro-batch and return the rows written; an empty batch writes nothing.
+    """Append one micro-batch and return the rows written; an empty batch writes nothing, and
+    neither does a sink that has the batch already.
 
     A failing sink raises. Spark commits the offsets of a batch only after this returns, so
     the whole batch is then delivered again: nothing is lost, duplicates are possible.
@@ -50,7 +67,8 @@ def write_batch(batch: DataFrame, sink: Sink) -> int:
     if batch.isEmpty():
         return 0
     written = Observation("written")
-    sink(batch.observe(written, F.count(F.lit(1)).alias("row_count")))
+    if sink(batch.observe(written, F.count(F.lit(1)).alias("row_count"))) is False:
+        return 0
     return written.get["row_count"]
 
 
@@ -58,7 +76,7 @@ def ingest(
     messages: DataFrame,
     schema: T.StructType,
     source: str,
-    sink: Sink,
+    sink: Sink | OncePerBatch,
     bad_sink: Sink,
     checkpoint: str,
     trigger: Mapping[str, object] | None = None,
@@ -70,6 +88,10 @@ def ingest(
     Duplicates stay: Silver keeps the latest event per key. The default trigger drains what
     is available and stops; pass `{"processingTime": ...}` for a continuous run. `base64`
     unwraps messages first. `written` receives the good rows written per batch.
+
+    A batch that was written and then fails before its offsets are committed is delivered
+    again. A plain sink then appends it twice; a `OncePerBatch` sink knows it by the identity
+    of the checkpoint and the batch's number, and leaves it out.
     """
     if base64:
         messages = events.decode_base64(messages)
@@ -80,7 +102,10 @@ def ingest(
         batch = batch.persist()
         try:
             write_batch(events.bad(batch), bad_sink)
-            rows = write_batch(events.good(batch), sink)
+            own = sink
+            if isinstance(sink, OncePerBatch):
+                own = sink.of(stream_id(batch.sparkSession, checkpoint), batch_id)
+            rows = write_batch(events.good(batch), own)
             if written is not None:
                 written[batch_id] = rows
         finally:
@@ -94,6 +119,11 @@ def ingest(
     )
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """What Spark has named the stream of a checkpoint; a new checkpoint is another stream."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def run_bounded(
     query: StreamingQuery,
     max_rows: int,
