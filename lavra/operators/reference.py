@@ -44,7 +44,18 @@ def orphan_count(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataF
 
     Counting per key before the join leaves one row per key to shuffle, hot or not.
     """
-    per_key = df.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("n"))
+    return _unknown(df, dim, key, dim_key).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failed_count")
+    )
+
+
+def orphans(df: DataFrame, dim: DataFrame, key: str, dim_key: str, group: str) -> DataFrame:
+    """`orphan_count` per value of `group`; groups without any have no row."""
+    unknown = _unknown(df, dim, key, dim_key, group)
+    return unknown.groupBy(group).agg(F.sum("n").cast("bigint").alias("failed_count"))
+
+
+def _unknown(df: DataFrame, dim: DataFrame, key: str, dim_key: str, *group: str) -> DataFrame:
+    per_key = df.groupBy(*group, F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("n"))
     side = dim.select(F.col(dim_key).alias(_KEY))
-    unknown = per_key.join(side, _KEY, "left_anti")
-    return unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("failed_count"))
+    return per_key.join(side, _KEY, "left_anti")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -11,23 +11,26 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.times import utc_now
+from lavra.operators.check_states import CheckStates
 from lavra.operators.quality import run_suite
 from lavra.operators.reference import KNOWN
 from lavra.plans import fixed, gold, silver
 from lavra.plans.checks import gold_rules, silver_rules
-from lavra.runtime import bounded, narrowed, path_exists, released, staging
+from lavra.runtime import bounded, narrowed, released, staging
 from lavra.sources.catalog import Source
 from lavra.sources.files import write_csv
 from lavra.sources.ledger import (
+    INGESTED_AT,
     SnapshotSize,
     append_snapshot,
     read_latest,
     stamp,
 )
-from lavra.sources.tables import LayerStore, StagedTable
+from lavra.sources.latest import LatestState
+from lavra.sources.tables import LayerStore, Layout, StagedTable
 from lavra.streaming import events
 from lavra.streaming.bronze import DAY, EventTable
-from lavra.streaming.ingest import ingest, parquet_sink
+from lavra.streaming.ingest import ingest, parquet_sink, write_batch
 
 SCHEMAS = {
     "ibge_municipios": fixed.PLACES_SCHEMA,
@@ -44,9 +47,13 @@ STREAM_TABLE = "dados_alunos_streaming"
 
 @dataclass(frozen=True)
 class Config:
-    """Root folder of all layers, on storage every executor reaches."""
+    """Root folder of all layers, on storage every executor reaches; `buckets` of the stream's
+    state, see `LatestState`. With `share_years`, years whose rows are as before keep their
+    folder, and with it the time at which they were processed."""
 
     root: str
+    buckets: int = 64
+    share_years: bool = False
 
     def bronze(self, table: str) -> str:
         return f"{self.root}/bronze/{table}"
@@ -55,6 +62,10 @@ class Config:
     def rejected_events(self) -> str:
         return self.bronze(f"{STREAM_TABLE}_rejected")
 
+    @property
+    def stream_state(self) -> str:
+        return f"{self.root}/state/{STREAM_TABLE}"
+
     @property
     def stream_checkpoint(self) -> str:
         return f"{self.root}/checkpoints/{STREAM_TABLE}"
@@ -107,11 +118,9 @@ def build_bronze(
 
 
 def ensure_stream_table(spark: SparkSession, config: Config) -> None:
-    """Create the Bronze event table with its declared columns if it is absent."""
-    if path_exists(spark, config.bronze(STREAM_TABLE)):
-        return
-    empty = spark.createDataFrame([], schema_of(STREAM_TABLE))
-    stamp(empty, utc_now(), "").write.mode("append").parquet(config.bronze(STREAM_TABLE))
+    """Create the Bronze event table with its declared columns if it is absent; events of an
+    older layout become part of it."""
+    event_table(spark, config).create()
 
 
 def event_table(spark: SparkSession, config: Config) -> EventTable:
@@ -138,7 +147,7 @@ def stream_bronze(
         messages,
         schema_of(STREAM_TABLE),
         source_name,
-        event_table(spark, config).sink(),
+        event_table(spark, config).once_per_batch(),
         parquet_sink(config.rejected_events),
         config.stream_checkpoint,
         trigger,
@@ -147,6 +156,48 @@ def stream_bronze(
     )
 
 
+def ingest_event(
+    spark: SparkSession,
+    config: Config,
+    message: str,
+    source_name: str,
+    writer: str,
+    offset: int,
+    base64: bool = False,
+) -> bool:
+    """Take one message, for callers that are invoked per event. Errors raise, so the bus
+    delivers the message again; one that was committed is known by its `writer` (the bus's
+    partition, whose offsets ascend) and `offset`, and gives False without a second commit.
+
+    A message that cannot be decoded goes to the rejected table and counts as taken.
+    """
+    received = spark.createDataFrame([(message,)], f"{events.VALUE} string")
+    return ingest_events(spark, config, received, source_name, writer, offset, base64)
+
+
+def ingest_events(
+    spark: SparkSession,
+    config: Config,
+    messages: DataFrame,
+    source_name: str,
+    writer: str,
+    offset: int,
+    base64: bool = False,
+) -> bool:
+    """Like `ingest_event` for any number of messages (`value`) that were delivered together;
+    all of them are committed at once."""
+    table = event_table(spark, config)
+    if table.has(writer, offset):
+        return False
+    if base64:
+        messages = events.decode_base64(messages)
+    with staging(events.decode(messages, table.schema), "delivery") as decoded:
+        # One instant for the delivery, in both tables.
+        arrived = stamp(decoded, utc_now(), source_name)
+        write_batch(events.bad(arrived), parquet_sink(config.rejected_events))
+        return table.append(events.good(arrived), writer, offset)
+
+
 def replay_events(
     spark: SparkSession, table: DataFrame, limit: int, format: str, location: str
 ) -> None:
@@ -158,6 +209,23 @@ def read_stream_table(spark: SparkSession, config: Config) -> DataFrame:
     return event_table(spark, config).read().drop(DAY)
 
 
+def stream_state(spark: SparkSession, config: Config) -> LatestState:
+    """The newest event per student and year, as a table that grows with the students."""
+    columns = event_table(spark, config).columns
+    return LatestState(
+        spark, config.stream_state, columns, silver.STUDENT_KEYS, (INGESTED_AT,), config.buckets
+    )
+
+
+def refresh_stream_state(spark: SparkSession, config: Config) -> list[int]:
+    """Bring the state up to the event table: reads the events that came since the last time,
+    and the buckets that hold their students. Returns these buckets."""
+    state = stream_state(spark, config)
+    seen = state.log.read()
+    rows, position = event_table(spark, config).read_after(state.position(seen))
+    return state.merge(None if rows is None else rows.drop(DAY), position, seen)
+
+
 def stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
     """Write new versions of all Silver tables, the dimension first."""
     with released(spark):
@@ -173,7 +241,7 @@ def _stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         return read_latest(spark, config.bronze(table), schema_of(table))
 
     def stage(table: str, df: DataFrame) -> DataFrame:
-        staged[table] = store.stage(df, "silver", table, silver.LAYOUTS[table])
+        staged[table] = _stage(store, config, df, "silver", table, silver.LAYOUTS[table])
         return staged[table].read(spark)
 
     places = stage("dim_localidades", silver.places(bronze("ibge_municipios")))
@@ -190,12 +258,13 @@ def _stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
         raw = bronze(table)
         stage(table, plan(raw, dim))
         stage(f"quarentena_{table}", silver.rejected(raw, dim))
-    for table, raw in (
-        ("dados_alunos", bronze("dados_alunos")),
-        (STREAM_TABLE, read_stream_table(spark, config)),
+    refresh_stream_state(spark, config)
+    for table, latest in (
+        ("dados_alunos", silver.latest_students(bronze("dados_alunos"))),
+        (STREAM_TABLE, stream_state(spark, config).read()),
     ):
         # Ranked and joined once, written once, each half read from its own folder.
-        marked = silver.marked_students(silver.latest_students(raw), dim)
+        marked = silver.marked_students(latest, dim)
         with staging(marked, table, [KNOWN]) as written:
             valid, rejected = silver.split_students(written)
             stage(table, valid)
@@ -203,6 +272,14 @@ def _stage_silver(spark: SparkSession, config: Config) -> list[StagedTable]:
     return list(staged.values())
 
 
+def _stage(
+    store: LayerStore, config: Config, df: DataFrame, layer: str, table: str, layout: Layout
+) -> StagedTable:
+    if config.share_years and layout.partition:
+        return store.stage_changed(df, layer, table, layout, [silver.PROCESSED_AT])
+    return store.stage(df, layer, table, layout)
+
+
 def stage_gold(
     spark: SparkSession, config: Config, tables: Mapping[str, DataFrame] | None = None
 ) -> list[StagedTable]:
@@ -232,18 +309,19 @@ def _stage_gold(
             "mart_frescor_streaming": gold.freshness_mart(t[STREAM_TABLE], t["dados_alunos"]),
         }
         return [
-            store.stage(mart, "gold", name, gold.LAYOUTS[name]) for name, mart in marts.items()
+            _stage(store, config, mart, "gold", name, gold.LAYOUTS[name])
+            for name, mart in marts.items()
         ]
 
 
 def build_silver(spark: SparkSession, config: Config) -> None:
     """Build and publish Silver without checking it."""
-    LayerStore(spark, config.root).publish("silver", stage_silver(spark, config))
+    _publish(spark, config, "silver", stage_silver, check=False)
 
 
 def build_gold(spark: SparkSession, config: Config) -> None:
     """Build and publish Gold without checking it."""
-    LayerStore(spark, config.root).publish("gold", stage_gold(spark, config))
+    _publish(spark, config, "gold", stage_gold, check=False)
 
 
 def validate(
@@ -259,22 +337,51 @@ def validate(
 
 
 def run_silver(spark: SparkSession, config: Config) -> list[Row]:
-    """Stage, check, publish: a critical violation leaves the old tables in place."""
-    return _run(spark, config, "silver", stage_silver(spark, config))
+    """Stage, check, publish: a critical violation leaves the old tables in place, and so does
+    another publication since the build began (`CommitConflict`)."""
+    return _publish(spark, config, "silver", stage_silver)
 
 
 def run_gold(spark: SparkSession, config: Config) -> list[Row]:
-    return _run(spark, config, "gold", stage_gold(spark, config))
+    return _publish(spark, config, "gold", stage_gold)
 
 
-def _run(
-    spark: SparkSession, config: Config, layer: str, staged: list[StagedTable]
+def _publish(
+    spark: SparkSession,
+    config: Config,
+    layer: str,
+    stage: Callable[[SparkSession, Config], list[StagedTable]],
+    check: bool = True,
 ) -> list[Row]:
     store = LayerStore(spark, config.root)
+    before = store.version(layer)
+    staged = stage(spark, config)
     try:
-        results = validate(spark, config, layer, {s.table: s.read(spark) for s in staged})
+        results = []
+        if check:
+            results = _check(spark, config, layer, staged)
+        store.publish(layer, staged, before)
     except Exception:
         store.discard(staged)
         raise
-    store.publish(layer, staged)
     return results
+
+
+def _check(
+    spark: SparkSession, config: Config, layer: str, staged: Sequence[StagedTable]
+) -> list[Row]:
+    """The suite of a layer on staged tables. With `share_years`, counts of unchanged years are
+    taken from the last runs."""
+    tables = {s.table: s.read(spark) for s in staged}
+    if not config.share_years:
+        return validate(spark, config, layer, tables)
+    rules = {"silver": silver_rules, "gold": gold_rules}[layer]()
+    states, by_name = CheckStates(spark, f"{config.history}_states"), {s.table: s for s in staged}
+    return run_suite(
+        spark,
+        layer,
+        tables,
+        rules,
+        config.history,
+        lambda name, own: states.evaluate(by_name[name], own, tables),
+    )

@@ -1,0 +1,234 @@
+"""Publications that conflict, versions that share partitions, checks that follow them."""
+
+from __future__ import annotations
+
+import json
+import os
+import random
+import shutil
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from lavra.operators import quality
+from lavra.operators.check_states import CheckStates
+from lavra.plans import runs
+from lavra.sources.log import CommitConflict
+from lavra.sources.tables import LayerStore, Layout
+
+SCHEMA = "ano bigint, uf string, x double, at bigint"
+LAYOUT = Layout(("ano",), ("uf",))
+
+
+@pytest.fixture
+def store(spark, folder):
+    return LayerStore(spark, folder)
+
+
+@pytest.fixture
+def numbers(table):
+    """Rows of some years; `at` is a processing time."""
+
+    def make(at, **changes):
+        values = [(y, uf, float((y or 0) % 7), at) for y in (2022, 2023, None) for uf in "AB" for _ in "12"]
+        return table(SCHEMA, *[(y, uf, changes.get(f"x{y}", x), t) for y, uf, x, t in values])
+
+    return make
+
+
+def test_of_two_publishers_one_raises(store, table, rows):
+    """Both began from the same state; readers see one of the two sets, whole."""
+    first = [store.stage(table("x int", (0,)), "silver", name, Layout()) for name in "ab"]
+    start = store.publish("silver", first)
+    staged = {
+        n: [store.stage(table("x int", (n,)), "silver", name, Layout()) for name in "ab"]
+        for n in (1, 2)
+    }
+    outcome = {}
+
+    def publish(n):
+        try:
+            outcome[n] = store.publish("silver", staged[n], after=start)
+        except CommitConflict:
+            outcome[n] = None
+
+    threads = [threading.Thread(target=publish, args=(n,)) for n in staged]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    (won,) = [n for n, number in outcome.items() if number]
+    assert sorted(outcome.values(), key=str) == [start + 1, None]
+    tables = store.current("silver")
+    assert rows(tables["a"]) == rows(tables["b"]) == [(won,)]
+
+
+def test_publishers_of_different_tables_need_not_conflict(store, table, rows):
+    staged = [store.stage(table("x int", (i,)), "silver", f"t{i}", Layout()) for i in range(4)]
+    threads = [threading.Thread(target=store.publish, args=("silver", [s])) for s in staged]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert {name: rows(df) for name, df in store.current("silver").items()} == {
+        f"t{i}": [(i,)] for i in range(4)
+    }
+
+
+def test_run_that_was_overtaken_leaves_nothing(spark, folder, table, rows):
+    config = runs.Config(folder)
+    store = LayerStore(spark, folder)
+
+    def stage(_spark, _config):
+        staged = [store.stage(table("x int", (1,)), "silver", "t", Layout())]
+        store.publish("silver", [store.stage(table("x int", (2,)), "silver", "t", Layout())])
+        return staged
+
+    with pytest.raises(CommitConflict):
+        runs._publish(spark, config, "silver", stage, check=False)
+    assert rows(store.current("silver")["t"]) == [(2,)]
+    assert len(os.listdir(f"{folder}/silver/t")) == 1
+
+
+def test_versions_of_the_older_list_are_taken_over(spark, store, folder, table, rows):
+    for name, value, at in (("a", 1, 10), ("a", 2, 20), ("b", 3, 20)):
+        path = f"{folder}/silver/{name}/v-{value}"
+        df = table("x int", (value,))
+        df.write.parquet(path)
+        entry = [(name, path, df.schema.json(), at, 8)]
+        schema = "table_name string, path string, schema string, published_ns bigint, bytes bigint"
+        spark.createDataFrame(entry, schema).write.mode("append").json(f"{folder}/silver/versions")
+    assert rows(store.current("silver")["a"]) == [(2,)] and store.version("silver") == 0
+    store.publish("silver", [store.stage(table("x int", (4,)), "silver", "a", Layout())], after=0)
+    assert {n: rows(df) for n, df in store.current("silver").items()} == {"a": [(4,)], "b": [(3,)]}
+    assert f"{folder}/silver/a/v-1" in store.remove_unlisted("silver")
+    assert rows(store.current("silver")["b"]) == [(3,)]
+
+
+def years_written(staged):
+    return sorted(n for n in os.listdir(staged.path) if n.startswith("ano="))
+
+
+def test_one_changed_year_writes_one_folder(store, numbers, rows):
+    first = store.stage_changed(numbers(1), "silver", "t", LAYOUT, ["at"])
+    assert len(years_written(first)) == 3
+    store.publish("silver", [first])
+    second = store.stage_changed(numbers(2, x2023=9.5), "silver", "t", LAYOUT, ["at"])
+    assert years_written(second) == ["ano=2023"]
+    store.publish("silver", [second])
+    current = store.current("silver")["t"]
+    # Shared years keep their processing time.
+    expected = numbers(2, x2023=9.5).withColumn("at", F.when(F.col("ano") == 2023, 2).otherwise(1))
+    assert rows(current) == rows(expected)
+    assert rows(current.where("ano = 2022")) == rows(expected.where("ano = 2022"))
+    # The folders of the first version stay as long as they are shared.
+    assert store.remove_unlisted("silver") == [f"{first.path}/ano=2023"]
+    assert rows(current) == rows(expected)
+    third = store.stage_changed(numbers(3, x2022=1.5, x2023=9.5), "silver", "t", LAYOUT, ["at"])
+    assert years_written(third) == ["ano=2022"]
+    store.publish("silver", [third])
+    store.remove_unlisted("silver")
+    assert rows(store.current("silver")["t"], "ano", "uf", "x") == rows(
+        numbers(3, x2022=1.5, x2023=9.5), "ano", "uf", "x"
+    )
+
+
+def test_removed_new_and_repeated_rows_are_changes(store, numbers, rows):
+    base = numbers(1)
+
+    def publish(df):
+        staged = store.stage_changed(df, "silver", "t", LAYOUT)
+        store.publish("silver", [staged])
+        assert rows(store.current("silver")["t"]) == rows(df)
+        return years_written(staged)
+
+    assert len(publish(base)) == 3
+    assert publish(base) == []
+    assert publish(base.unionByName(base.where("ano = 2022").limit(1))) == ["ano=2022"]
+    assert publish(base.where("ano = 2023")) == []
+    assert publish(base.where("ano IS NULL")) == ["ano=__HIVE_DEFAULT_PARTITION__"]
+    assert publish(base.limit(0)) == []
+    assert len(publish(base)) == 3
+    wider = base.withColumn("more", F.lit(1))
+    assert len(publish(wider)) == 3
+    plain = store.stage(wider, "silver", "t", LAYOUT)
+    store.publish("silver", [plain])
+    assert len(publish(wider)) == 3
+
+
+def test_discarded_version_leaves_shared_folders(store, numbers, rows):
+    store.publish("silver", [store.stage_changed(numbers(1), "silver", "t", LAYOUT, ["at"])])
+    store.discard([store.stage_changed(numbers(2, x2022=8.0), "silver", "t", LAYOUT, ["at"])])
+    assert rows(store.current("silver")["t"]) == rows(numbers(1))
+
+
+def all_rules():
+    return [
+        quality.unique("t", "unique in year", ["ano", "uf"], blank=["uf"]),
+        quality.unique("t", "unique everywhere", ["uf"]),
+        quality.not_null("t", "no nulls", ["ano", "x"]),
+        quality.domain("t", "known", ["uf"], ["A"]),
+        quality.in_range("t", "range", ["x"], 0.0, 4.5),
+        quality.references("t", "places", "uf", "dim", "uf"),
+        quality.present("t", "any x", "x"),
+        quality.volume("t", "volume"),
+    ]
+
+
+def whole(df, tables):
+    return sorted(tuple(r) for r in quality.evaluate(df, all_rules(), tables).collect())
+
+
+def test_counts_by_year_equal_the_full_suite(spark, folder, store, table, rows):
+    states = CheckStates(spark, f"{folder}/states")
+    draw = random.Random(1)
+    dims = [{"dim": table("uf string", ("A",), ("B",))}, {"dim": table("uf string", ("A",))}]
+    values = {y: [(y, draw.choice("ABC"), draw.choice([None, 1.0, 9.0]), 0) for _ in range(30)] for y in range(5)}
+    for step in range(6):
+        changed = draw.randrange(6)
+        values[changed] = [(changed, draw.choice(["A", "B", None]), None, 0) for _ in range(draw.randrange(9))]
+        df = table(SCHEMA, *[row for of in values.values() for row in of])
+        staged = store.stage_changed(df, "silver", "t", LAYOUT)
+        for tables in dims if step % 2 else dims[:1]:
+            found = states.evaluate(staged, all_rules(), tables)
+            assert sorted(tuple(r) for r in found) == whole(df, tables)
+        store.publish("silver", [staged])
+    empty = store.stage_changed(df.limit(0), "silver", "t", LAYOUT)
+    assert sorted(tuple(r) for r in states.evaluate(empty, all_rules(), dims[0])) == whole(df.limit(0), dims[0])
+
+
+def test_second_run_reads_the_changed_year_only(spark, folder, store, numbers, table):
+    states = CheckStates(spark, f"{folder}/states")
+    tables = {"dim": table("uf string", ("A",))}
+    by_year = [rule for rule in all_rules() if rule.name != "unique everywhere"]
+    first = store.stage_changed(numbers(1), "silver", "t", LAYOUT)
+    states.evaluate(first, by_year, tables)
+    store.publish("silver", [first])
+    second = store.stage_changed(numbers(1, x2023=7.0), "silver", "t", LAYOUT)
+    expected = whole(numbers(1, x2023=7.0), tables)
+    # Files of unchanged years are not touched: not even there.
+    for name in os.listdir(first.path):
+        if name.startswith("ano="):
+            shutil.rmtree(f"{first.path}/{name}")
+    found = sorted(tuple(r) for r in states.evaluate(second, by_year, tables))
+    assert found == [row for row in expected if row[0] != "unique everywhere"]
+    assert states.evaluate(second, by_year, tables) and sorted(
+        tuple(r) for r in states.evaluate(second, by_year, tables)
+    ) == found
+
+
+def test_tables_without_parts_are_evaluated_whole(spark, folder, store, numbers, table):
+    states = CheckStates(spark, f"{folder}/states")
+    tables = {"dim": table("uf string", ("A",))}
+    staged = store.stage(numbers(1), "silver", "t", LAYOUT)
+    found = sorted(tuple(r) for r in states.evaluate(staged, all_rules(), tables))
+    assert found == whole(numbers(1), tables) and states.log.read().number == 0
+
+
+def test_log_entries_are_plain_json(store, numbers, folder):
+    staged = store.stage_changed(numbers(1), "silver", "t", LAYOUT)
+    store.publish("silver", [staged])
+    with open(f"{folder}/silver/_log/000000000001.json") as file:
+        entry = json.load(file)["tables"]["t"]
+    assert entry["path"] == staged.path and len(entry["parts"]) == 3
