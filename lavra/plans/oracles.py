@@ -592,6 +592,10 @@ def oracle_sql() -> dict[str, str]:
         "publish_partitioned": """
     SELECT year(l_shipdate)::INTEGER AS ship_year, l_returnflag, count(*)::BIGINT AS n_lines,
            round(sum(l_quantity) + 1e-8, 6) AS quantity
+    FROM lineitem GROUP BY ALL""",
+        "publish_changed_years": """
+    SELECT year(l_shipdate)::INTEGER AS ship_year, l_returnflag, count(*)::BIGINT AS n_lines,
+           round(sum(l_quantity + (year(l_shipdate) = 1995)::INTEGER) + 1e-8, 6) AS quantity
     FROM lineitem GROUP BY ALL""",
         "sample_limit": "SELECT * FROM events ORDER BY event_id LIMIT 500",
     }
@@ -694,6 +698,68 @@ def oracle_sql() -> dict[str, str]:
             _check("lines unique", _repeats("lineitem", line_key)),
             _check("latest unique", "SELECT 0 AS failed"),
         ),
+        "quality_incremental": f"""
+    WITH lines AS (
+      SELECT * REPLACE (l_quantity + (year(l_shipdate) = 1995)::INTEGER AS l_quantity)
+      FROM lineitem) {
+            _union(
+                _check(
+                    "lines unique by year",
+                    _repeats("lines", "(year(l_shipdate), l_orderkey, l_linenumber)"),
+                ),
+                _check("orders unique", _repeats("lines", "l_orderkey")),
+                _check(
+                    "key present",
+                    _count(
+                        "lines",
+                        "l_shipdate IS NULL OR l_orderkey IS NULL OR l_linenumber IS NULL",
+                    ),
+                ),
+                _check(
+                    "quantity", _count("lines", "l_quantity < 0 OR l_quantity > 25"), False
+                ),
+                _check(
+                    "order finished",
+                    "SELECT count(*) AS failed FROM lines WHERE NOT EXISTS (SELECT 1 FROM orders "
+                    "WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')",
+                ),
+                _check("any line", "SELECT (count(*) = 0)::BIGINT AS failed FROM lines"),
+                _check("all lines", "SELECT count(*) AS failed FROM lines", False),
+            )
+        }""",
+        "quality_abort": f"""
+    SELECT 'silver' AS layer, *,
+           'check [orders unique]: ' || max(failed_count) FILTER (check_name = 'orders unique')
+             OVER () || ' violations' AS raised
+    FROM ({
+            _union(
+                _check(
+                    "quantity", _count("lineitem", "l_quantity < 0 OR l_quantity > 25"), False
+                ),
+                _check("orders unique", _repeats("lineitem", "l_orderkey")),
+                _check(
+                    "key present",
+                    _count("lineitem", "l_orderkey IS NULL OR l_linenumber IS NULL"),
+                ),
+            )
+        })""",
+        "quality_adhoc": """
+    SELECT 'quantity' AS check_name, false AS has_history,
+           count(*) FILTER (l_quantity < 0 OR l_quantity > 25) AS failed_count FROM lineitem
+    UNION ALL SELECT 'key present', false, count(*) FILTER (l_orderkey IS NULL) FROM lineitem
+    UNION ALL SELECT 'all lines', false, count(*) FROM lineitem""",
+        "processing_time": _with(
+            ("place_targets", "raw_place_targets", "students", "dim"),
+            " UNION ALL ".join(
+                f"SELECT '{name}' AS table_name, count(*)::BIGINT AS n_rows, "
+                f"least(count(*), 1)::BIGINT AS n_times FROM ({rows})"
+                for name, rows in (
+                    ("valid", "SELECT 1 FROM place_targets"),
+                    ("rejected", _raw_target_names("raw_place_targets")),
+                    ("students", "SELECT 1 FROM students"),
+                )
+            ),
+        ),
         "quality_nulls": _union(
             _check("key present", _count("orders", "o_orderkey IS NULL")),
             _check(
@@ -793,6 +859,34 @@ def oracle_sql() -> dict[str, str]:
         "stream_compacted": _with(
             ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
         ),
+        **{
+            name: _with(
+                ("raw_events",), f"SELECT {_STREAM_COLUMNS}, _source_file FROM raw_events"
+            )
+            for name in (
+                "stream_bounded",
+                "stream_late_events",
+                "stream_once",
+                "stream_redelivery",
+            )
+        },
+        "stream_incremental": _with(
+            ("raw_events",),
+            f"""
+    SELECT {_STREAM_COLUMNS} FROM (
+      SELECT {_STREAM_COLUMNS}, 1 AS delivery FROM raw_events WHERE id_aluno::BIGINT % 5 <> 0
+      UNION ALL
+      SELECT * REPLACE (caderno + 1000 AS caderno), 2 AS delivery
+      FROM (SELECT {_STREAM_COLUMNS} FROM raw_events) WHERE id_aluno::BIGINT % 2 = 0
+      UNION ALL
+      SELECT * REPLACE (9.0::DOUBLE AS peso_aluno), 3 AS delivery
+      FROM (SELECT {_STREAM_COLUMNS} FROM raw_events) WHERE id_aluno::BIGINT % 3 = 0)
+    QUALIFY row_number() OVER (
+      PARTITION BY id_aluno, ano
+      ORDER BY delivery DESC, id_municipio NULLS FIRST, id_escola NULLS FIRST,
+               caderno NULLS FIRST, serie, rede, presenca, preenchimento_caderno,
+               alfabetizado NULLS FIRST, proficiencia NULLS FIRST, peso_aluno NULLS FIRST) = 1""",
+        ),
         "stream_latest_wins": _with(
             ("raw_events",),
             f"""

@@ -11,6 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,18 +19,27 @@ from pyspark.sql import types as T
 from lavra.functions.numbers import deviation, for_year, target_met
 from lavra.functions.text import label_codes, trim_ws, upper_code
 from lavra.operators import indicator, quality
+from lavra.operators.check_states import CheckStates
 from lavra.operators.compare import key_spine
 from lavra.operators.dedup import latest_by
 from lavra.operators.reconcile import mean_absolute_errors
 from lavra.operators.reference import enrich, quarantine
 from lavra.plans import checks, fixed, gold, runs, silver, standin
 from lavra.plans.standin import Tables
-from lavra.runtime import bounded, materialize, scratch_path
+from lavra.runtime import bounded, materialize, path_exists, scratch_path
 from lavra.sources import catalog, files, ledger
+from lavra.sources.latest import LatestState
 from lavra.sources.tables import LayerStore, Layout, write_layout
 from lavra.streaming import events
 from lavra.streaming.bronze import EventTable
-from lavra.streaming.ingest import ingest, parquet_sink, read_stream
+from lavra.streaming.ingest import (
+    OncePerBatch,
+    ingest,
+    parquet_sink,
+    read_stream,
+    run_bounded,
+)
+from lavra.streaming.segments import acknowledged, publish, read_segments
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -372,6 +382,23 @@ def publish_partitioned(t: Tables) -> DataFrame:
     )
 
 
+@query
+def publish_changed_years(t: Tables) -> DataFrame:
+    """Order lines by year, published twice; the second version writes the one year that has
+    changed and shares the folders of the others."""
+    lines = t("lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    more = F.when(F.col("ship_year") == 1995, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    store = LayerStore(t.spark, scratch_path(t.spark, "store"))
+    layout = Layout(("ship_year",), ("l_returnflag", "l_suppkey"))
+    for version in (lines, lines.withColumn("l_quantity", more)):
+        staged = store.stage_changed(version, "silver", "lineitem", layout)
+        store.publish("silver", [staged], after=store.version("silver"))
+    store.remove_unlisted("silver")
+    return store.current("silver")["lineitem"].groupBy("ship_year", "l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"), rounded(F.sum("l_quantity")).alias("quantity")
+    )
+
+
 @query
 def sample_limit(t: Tables) -> DataFrame:
     """A bounded sample, with the order that makes it repeatable."""
@@ -574,6 +601,97 @@ def quality_unique(t: Tables) -> DataFrame:
     return _results(quality.evaluate_suite(tables, rules))
 
 
+_LINE_KEY = ["ship_year", "l_orderkey", "l_linenumber"]
+
+
+def _line_rules() -> list[quality.Rule]:
+    return [
+        quality.unique("lines", "lines unique by year", _LINE_KEY),
+        quality.unique("lines", "orders unique", ["l_orderkey"]),
+        quality.not_null("lines", "key present", _LINE_KEY),
+        quality.in_range("lines", "quantity", ["l_quantity"], 0.0, 25.0),
+        quality.references("lines", "order finished", "l_orderkey", "finished", "o_orderkey"),
+        quality.present("lines", "any line", "l_orderkey"),
+        quality.volume("lines", "all lines"),
+    ]
+
+
+@query
+def quality_incremental(t: Tables) -> DataFrame:
+    """Checks of two versions of a table, one year of which differs: the second run counts that
+    year only, but for the rule whose counts do not add up by year."""
+    lines = t("lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    more = F.when(F.col("ship_year") == 1995, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    tables = {"finished": t("orders").where(F.col("o_orderstatus") == "F")}
+    store = LayerStore(t.spark, scratch_path(t.spark, "store"))
+    states = CheckStates(t.spark, scratch_path(t.spark, "states"))
+    layout = Layout(("ship_year",), ("l_returnflag",))
+    for version in (lines, lines.withColumn("l_quantity", more)):
+        staged = store.stage_changed(version, "silver", "lines", layout)
+        results = states.evaluate(staged, _line_rules(), tables)
+        store.publish("silver", [staged])
+    return t.spark.createDataFrame(
+        [tuple(row) for row in results],
+        "check_name string, failed_count bigint, status string, critical boolean",
+    )
+
+
+@query
+def quality_abort(t: Tables) -> DataFrame:
+    """A critical check is violated: the run raises, and all its results are in the history."""
+    path = scratch_path(t.spark, "history")
+    rules = [
+        quality.in_range("lines", "quantity", ["l_quantity"], 0.0, 25.0),
+        quality.unique("lines", "orders unique", ["l_orderkey"]),
+        quality.not_null("lines", "key present", ["l_orderkey", "l_linenumber"]),
+    ]
+    raised = ""
+    try:
+        quality.run_suite(t.spark, "silver", {"lines": t("lineitem")}, rules, path)
+    except quality.QualityFailure as failure:
+        raised = str(failure)
+    history = quality.read_history(t.spark, path)
+    return history.select(
+        "layer", "check_name", "failed_count", "status", "critical", F.lit(raised).alias("raised")
+    )
+
+
+@query
+def quality_adhoc(t: Tables) -> DataFrame:
+    """Single checks without history; a suite without rules writes none."""
+    path = scratch_path(t.spark, "history")
+    lines = t("lineitem")
+    rules = [
+        quality.in_range("lines", "quantity", ["l_quantity"], 0.0, 25.0),
+        quality.not_null("lines", "key present", ["l_orderkey"]),
+        quality.volume("lines", "all lines"),
+    ]
+    found = [(rule.name, quality.check_once(lines, rule)) for rule in rules]
+    quality.run_suite(t.spark, "silver", {"lines": lines}, [], path)
+    checked = t.spark.createDataFrame(found, "check_name string, failed_count bigint")
+    return checked.withColumn("has_history", F.lit(path_exists(t.spark, path)))
+
+
+@query
+def processing_time(t: Tables) -> DataFrame:
+    """All rows that one statement makes have one processing time, valid and rejected ones."""
+    raw = standin.place_targets(t)
+    made = {
+        "valid": silver.place_targets(raw, _small_dim(t)).select("_processed_at"),
+        "rejected": silver.rejected(raw, _small_dim(t)).select("_quarantined_at"),
+        "students": _students(t).select("_processed_at"),
+    }
+    counted = [
+        materialize(df.toDF("at"), name).agg(
+            F.lit(name).alias("table_name"),
+            F.count("at").alias("n_rows"),
+            F.countDistinct("at").alias("n_times"),
+        )
+        for name, df in made.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def quality_nulls(t: Tables) -> DataFrame:
     rows = t("orders").select(
@@ -847,3 +965,145 @@ def stream_compacted(t: Tables) -> DataFrame:
     table.compact(dt.datetime.now(dt.timezone.utc).date() + dt.timedelta(days=2))
     table.remove_merged_sources()
     return table.read().drop("_ingested_at", "_arrival_day")
+
+
+_EVENT_META = (ledger.INGESTED_AT, ledger.SOURCE_FILE, "_arrival_day")
+
+
+def _event_table(t: Tables) -> EventTable:
+    schema = T.StructType.fromDDL(fixed.STUDENT_EVENT_SCHEMA)
+    return EventTable(t.spark, scratch_path(t.spark, "events"), schema)
+
+
+def _arrived(rows: DataFrame, day: int) -> DataFrame:
+    at = dt.datetime(2024, 1, day, 12, tzinfo=dt.timezone.utc)
+    return ledger.stamp(rows.drop(*_EVENT_META), at, "events")
+
+
+def _shares(rows: DataFrame, n: int) -> list[DataFrame]:
+    """All rows, in `n` groups by a hash of their values."""
+    values = F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(n))
+    return [rows.where(values == i) for i in range(n)]
+
+
+@query
+def stream_incremental(t: Tables) -> DataFrame:
+    """Three deliveries, each merged into the newest event per student: a merge reads the new
+    events and what it has, also when a compaction has rewritten the old ones in between."""
+    first = materialize(standin.events(t), "deliveries")
+    student = F.col("id_aluno").cast("bigint")
+    deliveries = [
+        first.where(student % 5 != 0),
+        first.where(student % 2 == 0).withColumn("caderno", F.col("caderno") + 1000),
+        first.where(student % 3 == 0).withColumn("peso_aluno", F.lit(9.0)),
+    ]
+    table = _event_table(t)
+    state = LatestState(
+        t.spark,
+        scratch_path(t.spark, "state"),
+        table.columns,
+        silver.STUDENT_KEYS,
+        (ledger.INGESTED_AT,),
+        buckets=8,
+    )
+    for day, rows in enumerate(deliveries, start=1):
+        for share in _shares(rows, 2):
+            table.append(_arrived(share, day))
+        new, position = table.read_after(state.position())
+        state.merge(new, position)
+        table.compact(dt.date(2024, 1, day + 1))
+        table.remove_merged_sources()
+    state.remove_replaced()
+    return state.read().drop(*_EVENT_META)
+
+
+@query
+def stream_late_events(t: Tables) -> DataFrame:
+    """Events that lie in the table's root, as an older layout wrote them; events of a day that
+    was merged before they came; nothing is lost or twice."""
+    old, early, late, other = _shares(materialize(standin.events(t), "shares"), 4)
+    table = _event_table(t)
+    _arrived(old, 1).write.parquet(table.path)
+    table.append(_arrived(early, 1))
+    table.compact(dt.date(2024, 1, 3))
+    table.append(_arrived(late, 1))
+    table.append(_arrived(other, 2))
+    table.remove_merged_sources()
+    table.compact(dt.date(2024, 1, 3))
+    table.remove_merged_sources()
+    return table.read().drop(ledger.INGESTED_AT, "_arrival_day")
+
+
+@query
+def stream_once(t: Tables) -> DataFrame:
+    """Deliveries that come again with the number of their batch are taken once, also out of
+    turn and after others."""
+    config = runs.Config(scratch_path(t.spark, "lake"))
+    a0, a1, b0, b1 = _shares(materialize(_messages(t), "messages"), 4)
+    deliveries = [("a", 0, a0), ("b", 0, b0), ("a", 0, a0), ("a", 1, a1), ("b", 1, b1)]
+    for writer, number, messages in [*deliveries, *deliveries[1:3]]:
+        runs.ingest_events(t.spark, config, messages, "events", writer, number)
+    return runs.read_stream_table(t.spark, config).drop(ledger.INGESTED_AT)
+
+
+@query
+def stream_bounded(t: Tables) -> DataFrame:
+    """A run that stops after its first rows, and one that takes the rest; a segment without
+    messages and one with bad messages only write nothing."""
+    topic, root = scratch_path(t.spark, "topic"), scratch_path(t.spark, "stream")
+    table = _event_table(t)
+    shares = _shares(materialize(_messages(t), "messages"), 3)
+    bad = shares[0].select(F.concat(F.lit("no "), "value").alias("value"))
+    for messages in (shares[0], shares[0].limit(0), bad, *shares[1:]):
+        publish(messages, topic)
+
+    def run(trigger: dict[str, object] | None, most: int | None, rows: int) -> None:
+        written: dict[int, int] = {}
+        query = ingest(
+            read_segments(t.spark, topic, "silver", most),
+            table.schema,
+            "events",
+            table.once_per_batch(),
+            parquet_sink(f"{root}/rejected"),
+            f"{root}/checkpoint",
+            trigger,
+            written=written,
+        )
+        run_bounded(query, rows, 600, 0.2, written)
+
+    run({"processingTime": "0 seconds"}, 1, 1)
+    run(None, None, 1 << 62)
+    return table.read().drop(ledger.INGESTED_AT, "_arrival_day")
+
+
+@query
+def stream_redelivery(t: Tables) -> DataFrame:
+    """A sink that fails after it has written: the batch is not acknowledged, comes again with
+    the restarted stream, and is known; further segments follow."""
+    topic, root = scratch_path(t.spark, "topic"), scratch_path(t.spark, "stream")
+    table = _event_table(t)
+    shares = _shares(materialize(_messages(t), "messages"), 3)
+    fails = iter([True])
+
+    def append(rows: DataFrame, writer: str, batch: int) -> bool:
+        done = table.append(rows, writer, batch)
+        if next(fails, False):
+            raise ConnectionError("written, but not confirmed")
+        return done
+
+    for share in shares:
+        publish(share, topic)
+        query = ingest(
+            read_segments(t.spark, topic, "silver"),
+            table.schema,
+            "events",
+            OncePerBatch(append),
+            parquet_sink(f"{root}/rejected"),
+            f"{root}/checkpoint",
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if acknowledged(topic, "silver"):
+                raise
+    return table.read().drop(ledger.INGESTED_AT, "_arrival_day")
