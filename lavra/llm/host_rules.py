@@ -17,12 +17,18 @@ MOST_DUPLICATE_LINES = 0.30
 # A host fails a rule if its shrunken failure rate exceeds this.
 MOST_FAILURES = 0.75
 
+# Documents that the prior weighs at most; as many if rates do not vary beyond chance.
+MOST_PRIOR = 1000.0
+
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+LINES = "n_lines"
 RULES = ("short", "repetitive", "symbols", "duplicate_lines")
+_NEW = {*METRICS, LINES, "base_failed", "host_failed", "kept", *(f"{rule}_rate" for rule in RULES)}
 
 
 def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with the columns of `METRICS` for its whole texts; null text is empty."""
+    """`docs` with the columns of `METRICS`, and `n_lines`, the lines that have a word, for its
+    whole texts; null text is empty."""
     whole = F.coalesce(docs[text], F.lit(""))
     found, lines, hashes = (free_name(docs, name) for name in ("words", "lines", "hashes"))
     n = F.size(found)
@@ -46,6 +52,7 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
                 "n_symbols": F.char_length(
                     F.regexp_replace(whole, r"[^#*$%&|<>]+", "")
                 ).cast("bigint"),
+                LINES: F.size(lines).cast("bigint"),
                 "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"),
                 # Equal windows have equal hashes, so only texts with equal hashes are compared.
                 "n_repeat_words": F.when(several, _covered(found, hashes))
@@ -109,19 +116,21 @@ def rule_failures() -> dict[str, Column]:
         "short": words < LEAST_WORDS,
         "repetitive": 100 * F.col("n_repeat_words") > round(100 * MOST_REPEATED) * words,
         "symbols": F.col("n_symbols") > MOST_SYMBOLS * F.col("word_chars"),
-        "duplicate_lines": F.col("n_dup_lines") > MOST_DUPLICATE_LINES * words,
+        "duplicate_lines": F.col("n_dup_lines") > MOST_DUPLICATE_LINES * F.col(LINES),
     }
 
 
-def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
-    """Per host: documents `n`, a shrunken failure rate per rule, and `host_failed`.
+def host_verdicts(measured: DataFrame, host: str = "host") -> DataFrame:
+    """Per host: a shrunken failure rate per rule, and `host_failed`. `measured` has the columns
+    of `METRICS`, `n_lines` and the host's, under a name that none of the new ones has.
 
     A rule's rates over hosts are given a beta prior by the method of moments: with the mean
     rate m and the rates' variance v beyond what chance alone explains, the prior weighs
     s = m (1 - m) / v - 1 documents. A host's rate is (failures + s m) / (n + s), so hosts with
     few documents move to the mean and need much evidence to fail. Mean, variance and chance
-    weigh hosts by documents alike, so many tiny hosts do not hide a large one. Without
-    variance beyond chance every host has the mean rate.
+    weigh hosts by documents alike, so many tiny hosts do not hide a large one. The prior weighs
+    at most `MOST_PRIOR` documents, also where rates vary no more than by chance, so evidence
+    of many documents always counts.
     """
     counts = measured.groupBy(host).agg(
         F.count(F.lit(1)).alias("n"),
@@ -143,17 +152,15 @@ def host_verdicts(measured: DataFrame, host: str) -> DataFrame:
         spread = (row[f"{rule}_square"] or 0.0) - mean**2
         chance = mean * (1 - mean) * (row["chance"] or 0.0)
         beyond = spread - chance
-        if beyond > 0 and 0 < mean < 1:
-            weight = max(mean * (1 - mean) / beyond - 1, 0.0)
-            value = (F.col(f"{rule}_failures") + weight * mean) / (F.col("n") + weight)
-        else:
-            value = F.lit(mean)
-        shrunk[f"{rule}_rate"] = value
+        weight = MOST_PRIOR
+        if beyond > 0:
+            weight = min(max(mean * (1 - mean) / beyond - 1, 0.0), MOST_PRIOR)
+        rate = (F.col(f"{rule}_failures") + weight * mean) / (F.col("n") + weight)
+        shrunk[f"{rule}_rate"] = rate
     rated = hosts.withColumns(shrunk)
     worst = F.greatest(*[F.col(f"{rule}_rate") for rule in RULES])
-    return rated.withColumn("host_failed", worst > MOST_FAILURES).drop(
-        *[f"{rule}_failures" for rule in RULES]
-    )
+    rates = [f"{rule}_rate" for rule in RULES]
+    return rated.select(host, *rates, (worst > MOST_FAILURES).alias("host_failed"))
 
 
 def judge(docs: DataFrame, host: str, text: str = "text") -> DataFrame:
@@ -161,17 +168,20 @@ def judge(docs: DataFrame, host: str, text: str = "text") -> DataFrame:
 
     A document is kept if it passes the base rules and its host does not fail. A null host is
     nobody's: its documents stand for themselves. Host verdicts are joined back by broadcast
-    if they were measured to fit, else by a shuffle in which Spark splits a hot host.
+    if they were measured to fit, else by a shuffle in which Spark splits a hot host. A column
+    of `docs` named like a new one, in either case, is replaced; that goes for the host's too.
     """
-    measured = materialize(
-        with_metrics(docs, text).drop(text).withColumn("base_failed", base_failed()), "metrics"
-    )
+    own = free_name(docs, "host_key")
+    kept = [c for c in docs.columns if c != text and c.lower() not in _NEW]
+    measured = with_metrics(docs.withColumn(own, docs[host]), text)
+    measured = measured.select(*kept, own, *METRICS, LINES).withColumn("base_failed", base_failed())
+    measured = materialize(measured, "metrics")
+    verdicts = host_verdicts(measured.select(F.col(own).alias("host"), *METRICS, LINES))
     of = free_name(measured, "host")
-    verdicts = host_verdicts(measured, host).withColumnRenamed(host, of).drop("n")
-    verdicts = bounded(materialize(verdicts, "hosts"))
+    verdicts = bounded(materialize(verdicts.withColumnRenamed("host", of), "hosts", measured=True))
     failed = F.coalesce("host_failed", F.lit(False))
     return (
-        measured.join(verdicts, measured[host] == verdicts[of], "left")
-        .drop(of)
+        measured.join(verdicts, measured[own] == verdicts[of], "left")
+        .drop(own, of)
         .withColumn("kept", ~F.col("base_failed") & ~failed)
     )

@@ -56,7 +56,7 @@ _RULES = {
     "short": "n_words < 20",
     "repetitive": "100 * n_repeat_words > 30 * n_words",
     "symbols": "n_symbols > 0.1::DOUBLE * word_chars",
-    "duplicate_lines": "n_dup_lines > 0.3::DOUBLE * n_words",
+    "duplicate_lines": "n_dup_lines > 0.3::DOUBLE * n_lines",
 }
 
 
@@ -64,12 +64,13 @@ def _each(template: str) -> str:
     return ",\n         ".join(template.format(rule=rule) for rule in host_rules.RULES)
 
 
-_SHRUNK = """
-         CASE WHEN {rule}_mean > 0 AND {rule}_mean < 1 AND {rule}_beyond > 0
-              THEN ({rule}_failures + greatest({rule}_mean * (1 - {rule}_mean) / {rule}_beyond - 1, 0)
-                    * {rule}_mean)
-                   / (n + greatest({rule}_mean * (1 - {rule}_mean) / {rule}_beyond - 1, 0))
-              ELSE {rule}_mean END AS {rule}_rate"""
+_PRIOR = """
+         CASE WHEN {rule}_beyond > 0
+              THEN least(greatest({rule}_mean * (1 - {rule}_mean) / {rule}_beyond - 1, 0), 1000)
+              ELSE 1000 END AS {rule}_prior"""
+_SHRUNK = (
+    "({rule}_failures + {rule}_prior * {rule}_mean) / (n + {rule}_prior) AS {rule}_rate"
+)
 
 _HOSTS = rf"""
 WITH docs AS (
@@ -88,6 +89,7 @@ measured AS (
            AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         len(lines)::BIGINT AS n_lines,
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM (SELECT *, [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')]
                      AS lines FROM docs) d
@@ -99,14 +101,15 @@ hosts AS (
   FROM judged WHERE source IS NOT NULL GROUP BY source),
 moments AS (
   SELECT {_each("sum({rule}_failures) / sum(n) AS {rule}_mean")},
-         {_each("avg({rule}_failures / n * ({rule}_failures / n)) AS {rule}_square")},
-         {_each("avg({rule}_failures / n) AS {rule}_average")}, avg(1 / n) AS chance FROM hosts),
+         {_each("sum({rule}_failures / n * {rule}_failures) / sum(n) AS {rule}_square")},
+         count(*) / sum(n) AS chance FROM hosts),
 beyond AS (
-  SELECT *, {_each("{rule}_square - {rule}_average ** 2 "
+  SELECT *, {_each("{rule}_square - {rule}_mean ** 2 "
                    "- {rule}_mean * (1 - {rule}_mean) * chance AS {rule}_beyond")}
   FROM moments),
-rated AS (SELECT source, {_each(_SHRUNK)} FROM hosts, beyond)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+prior AS (SELECT *, {_each(_PRIOR)} FROM beyond),
+rated AS (SELECT source, {_each(_SHRUNK)} FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines,
        short OR repetitive AS base_failed,
        NOT (short OR repetitive) AND NOT coalesce(
          greatest(short_rate, repetitive_rate, symbols_rate, duplicate_lines_rate)

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
 import collections
+import os
 import re
 
-from lavra.llm import host_rules
+import duckdb
+import pytest
+
+from lavra.llm import host_rules, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -78,9 +82,72 @@ def test_many_tiny_hosts_do_not_hide_a_large_bad_one(spark):
         "0L AS n_symbols",
         "0L AS n_dup_lines",
         "0L AS n_repeat_words",
+        "1L AS n_lines",
     )
     found = {r["source"]: r for r in host_rules.host_verdicts(measured, "source").collect()}
     assert len(found) == 10_001
     assert found["bad"]["host_failed"] and found["bad"]["short_rate"] > 0.99
     assert not found["tiny1"]["host_failed"]
     assert not found["tiny20"]["host_failed"]
+
+
+def test_repeated_lines_are_counted_by_lines(docs, prose):
+    """Half of the lines of each document are copies; words repeat in no window of eight."""
+    def text(i):
+        line = prose(1000 + i, 5)
+        return "\n".join(part for k in range(8) for part in (line, prose(100 * i + k, 7)))
+
+    rows = [(i, text(i), "en", "copies") for i in range(40)]
+    rows += [(100 + i, prose(i, 60), "en", f"good{i % 3}") for i in range(60)]
+    found = {r["doc_id"]: r for r in host_rules.judge(docs(*rows), "source").collect()}
+    assert (found[0]["n_dup_lines"], found[0]["n_lines"], found[0]["n_repeat_words"]) == (7, 16, 0)
+    assert found[0]["duplicate_lines_rate"] > 0.75 and not found[0]["kept"]
+    assert found[100]["kept"] and found[100]["duplicate_lines_rate"] < 0.2
+
+
+def test_evidence_counts_without_variance_beyond_chance(docs, prose):
+    """Rates that vary by chance only: a finite prior, and no host gets just the mean."""
+    rows = [(i, "short" if i % 10 == i // 100 else prose(i, 40), "en", f"h{i // 100}") for i in range(300)]
+    rows += [(300, prose(300, 40), "en", "h3")]
+    rates = {r["source"]: r["short_rate"] for r in host_rules.judge(docs(*rows), "source").collect()}
+    mean, prior = 30 / 301, host_rules.MOST_PRIOR
+    assert abs(rates["h0"] - (10 + prior * mean) / (100 + prior)) < 1e-9
+    assert abs(rates["h3"] - prior * mean / (1 + prior)) < 1e-9
+
+
+def test_clashing_names(docs, prose):
+    rows = host_corpus(prose)
+    frame = docs(*rows)
+    plain = {r["doc_id"]: r for r in host_rules.judge(frame, "source").collect()}
+    clashing = frame.selectExpr("*", "1 AS HOST_FAILED", "2 AS short_rate", "3 AS n_lines", "4 AS host_key")
+    found = host_rules.judge(clashing, "source")
+    assert "HOST_FAILED" not in found.columns and set(found.columns) == {*host_rules.judge(frame, "source").columns, "host_key"}
+    for row in found.collect():
+        assert row["host_key"] == 4
+        assert all(row[name] == plain[row["doc_id"]][name] for name in (*host_rules.METRICS, "short_rate", "kept"))
+    for name in ("n", "short_rate", "kept", "host"):
+        named = frame.withColumnRenamed("source", name)
+        found = {r["doc_id"]: r["kept"] for r in host_rules.judge(named, name).collect()}
+        assert found == {i: r["kept"] for i, r in plain.items()}
+
+
+@pytest.mark.parametrize("shares", [(60, 0, 0), (30, 30, 30), (0, 0, 0)])
+def test_query_matches_oracle_on_unequal_hosts(spark, folder, shares):
+    """Some hosts own most documents, in code and SQL alike."""
+    source = os.environ.get("LAVRA_TEST_SF_DIR", "/root/testdata/sf0.001")
+    con = duckdb.connect()
+    chosen = " ".join(
+        f"WHEN doc_id % 100 < {sum(shares[: i + 1])} THEN 'hot{i}'" for i in range(len(shares))
+    )
+    con.execute(
+        f"""CREATE TABLE documents AS SELECT * REPLACE (CASE {chosen}
+        WHEN doc_id % 17 = 3 THEN NULL WHEN doc_id % 17 = 5 THEN 'one' || doc_id
+        ELSE source END AS source) FROM '{source}/documents.parquet'"""
+    )
+    con.execute(f"COPY documents TO '{folder}/documents.parquet'")
+    df = queries.op4_host_rules(spark, folder)
+    cursor = con.execute(queries.ORACLE_SQL["op4_host_rules"])
+    columns = [d[0] for d in cursor.description]
+    assert sorted(columns) == sorted(df.columns)
+    found = sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+    assert found == sorted(cursor.fetchall(), key=str)
