@@ -8,6 +8,7 @@ are fewest wins.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,17 +19,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.llm.common import bound_batches, free_name
+from lavra.runtime import materialize
 
 UNDETERMINED = "und"
-# Bounds of the labelled sample that an automaton is built from, per language.
+# Bounds of the labelled sample that an automaton is built from, per language: whole texts, and
+# characters of all of them. Texts of up to the first of these lengths are preferred.
 SAMPLE_TEXTS = 64
-SAMPLE_CHARS = 512
+SAMPLE_CHARS = 1 << 16
+SHORT_CHARS, LONGEST_CHARS = 1 << 10, 1 << 16
+# Bound of the automata of all languages, which every task gets.
+MODEL_BYTES = 256 << 20
 
-# A phrase ends at the latest where a block of this many bytes ends.
+# Bytes of a text that are parsed side by side with others of it.
 BLOCK = 512
 # Texts parsed side by side: about so many bytes.
 _GROUP_BYTES = 2 << 20
 
+_DRAWS = (1 << 63) - 1
 _PAD, _UNKNOWN = 0, 1
 _LETTER = regex.compile(r"\p{L}")
 
@@ -121,33 +128,109 @@ def _parser(moves: list[dict[int, int]], classes: int) -> np.ndarray:
 
 
 def phrases(texts: list[bytes], model: Model) -> np.ndarray:
-    """Number of phrases of every normalised text in every language."""
+    """Number of phrases of every normalised text in every language.
+
+    Blocks of all texts are parsed side by side. A block after another one is first parsed as if
+    a phrase began with it, and its states are kept. Then, round by round, blocks whose
+    predecessor ended in another state are parsed again from that state, until they meet a
+    state that was kept: from there on both parses are the same, usually after some bytes. At
+    the end every block has begun where its predecessor ended, as in one pass over the text.
+    """
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     coded = model.class_of[np.frombuffer(b"".join(texts), np.uint8)]
     blocks = -(-lengths // BLOCK)
     owner = np.repeat(np.arange(len(texts)), blocks)
     first = np.cumsum(blocks) - blocks
-    within = (np.arange(len(owner)) - first[owner]) * BLOCK
-    starts = (np.cumsum(lengths) - lengths)[owner] + within
-    sizes = np.minimum(lengths[owner] - within, BLOCK)
+    within = np.arange(len(owner)) - first[owner]
+    starts = (np.cumsum(lengths) - lengths)[owner] + within * BLOCK
+    sizes = np.minimum(lengths[owner] - within * BLOCK, BLOCK)
     # One column per block, longest first: each step follows one symbol of all that go on.
     order = np.argsort(-sizes, kind="stable")
+    column = np.empty_like(order)
+    column[order] = np.arange(len(order))
+    later = np.flatnonzero(within > 0)
+    follows = np.full(len(order), -1)
+    follows[column[later]] = column[later - 1]
+    last = column[(first + blocks - 1)[blocks > 0]]
     starts, sizes, owner = starts[order], sizes[order], owner[order]
-    going = np.searchsorted(-sizes, -np.arange(BLOCK), side="left")
     found = np.zeros((len(texts), len(model.languages)), np.int64)
     for i, parser in enumerate(model.parsers):
-        state = np.zeros(len(starts), np.int64)
-        count = np.zeros(len(starts), np.int64)
-        for step in range(BLOCK):
-            n = going[step]
-            if not n:
-                break
+        parse = _Parse(parser, coded, starts, sizes)
+        parse.settle(follows)
+        found[:, i] = np.bincount(owner, weights=parse.counts, minlength=len(texts))
+        # What has begun at a text's end is a phrase too.
+        found[owner[last], i] += parse.ends[last] != 0
+    return found
+
+
+class _Parse:
+    """Blocks in one language: the state after each byte, and counts of ended phrases."""
+
+    def __init__(self, parser: np.ndarray, coded: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+        self.parser, self.coded, self.starts, self.sizes = parser, coded, starts, sizes
+        steps = int(sizes.max(initial=0))
+        self.states = np.zeros((steps, len(starts)), parser.dtype)
+        # Ended phrases up to each byte, less what later parses have added to the block's count.
+        self.ended = np.zeros((steps, len(starts)), np.int32)
+        self.begins = np.zeros(len(starts), np.int64)
+        self.ends = np.zeros(len(starts), np.int64)
+        state, count = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        for step, n in enumerate(self._going(steps, sizes)):
             move = parser[state[:n] + coded[starts[:n] + step]]
             count[:n] += move & 3
             state[:n] = move >> 2
-        count += state != 0
-        found[:, i] = np.bincount(owner, weights=count, minlength=len(texts))
-    return found
+            self.states[step, :n], self.ended[step, :n] = state[:n], count[:n]
+        self.ends[:], self.counts = state, count
+
+    @staticmethod
+    def _going(steps: int, sizes: np.ndarray) -> np.ndarray:
+        """How many columns, longest first, have a byte at each step."""
+        return np.searchsorted(-sizes, -np.arange(steps), side="left")
+
+    def settle(self, follows: np.ndarray) -> None:
+        """Parse blocks again until each begins in the state in which the one that it follows
+        (-1: none) has ended."""
+        while True:
+            wanted = np.where(follows >= 0, self.ends[follows], 0)
+            again = np.flatnonzero(wanted != self.begins)
+            if not len(again):
+                return
+            self.begins[again] = wanted[again]
+            self._repeat(again)
+
+    def _repeat(self, again: np.ndarray) -> None:
+        """Parse the blocks `again` (columns, ascending) from where they now begin."""
+        count = np.zeros(len(again), np.int64)
+        state = self.begins[again]
+        # The step at which each meets its former states; its size if it never does.
+        met = self.sizes[again].copy()
+        former = self.counts[again]
+        left = np.arange(len(again))
+        for step in range(int(self.sizes[again].max())):
+            left = left[self.sizes[again[left]] > step]
+            if not len(left):
+                break
+            at = again[left]
+            move = self.parser[state[left] + self.coded[self.starts[at] + step]]
+            count[left] += move & 3
+            state[left] = move >> 2
+            same = self.states[step, at] == state[left]
+            joined = left[same]
+            met[joined] = step
+            # What follows is as before: only the count up to here may differ.
+            count[joined] += self.counts[again[joined]] - self.ended[step, again[joined]]
+            left, at = left[~same], at[~same]
+            self.states[step, at], self.ended[step, at] = state[left], count[left]
+        ran_out = met == self.sizes[again]
+        self.ends[again[ran_out]] = state[ran_out]
+        self.counts[again] = count
+        # Kept counts are relative to the block's count: those of the new part follow it.
+        added = count - former
+        upto = int(met.max(initial=0))
+        new = np.arange(upto)[:, None] < met[None, :]
+        self.ended[:upto, again] += np.where(new, 0, added[None, :]).astype(np.int32)
+        rest = self.ended[upto:]
+        rest[:, again] += added[None, :].astype(np.int32)
 
 
 def predict(texts: list[str | None], model: Model) -> pd.DataFrame:
@@ -170,41 +253,82 @@ def predict(texts: list[str | None], model: Model) -> pd.DataFrame:
     return pd.DataFrame({"lang_pred": languages, "score": scores})
 
 
-def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS):
-    """Up to `texts` pieces of `chars` characters per `lang` from `docs` (`text`, `lang`),
-    which the texts' own hashes choose; copies of a text count once. Rows without a language
-    or a letter do not count."""
-    usable = docs.where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
-    hashed = usable.select("lang", "text", F.xxhash64("text").alias("draw"))
-    order = Window.partitionBy("lang").orderBy("draw")
-    # Hashes first, so that only the sample's texts are cut and moved.
-    lowest = hashed.select("lang", "draw").distinct().withColumn("place", F.row_number().over(order))
-    lowest = F.broadcast(lowest.where(F.col("place") <= texts))
-    picked = hashed.join(lowest, ["lang", "draw"])
-    piece = F.min(_piece(F.col("text"), F.col("draw"), chars)).alias("text")
-    return picked.groupBy("lang", "draw", "place").agg(piece)
-
-
-def _piece(text: Column, draw: Column, chars: int) -> Column:
-    """`chars` characters of `text`: from the first letter at or after a place that its hash
-    chooses behind the text's first letter, or from that one if no other follows."""
+def labelled_sample(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
+    """Up to `texts` whole texts per `lang` from `docs` (`text`, `lang`), numbered by `place` in
+    the order of their hashes; copies of a text count once. Rows without a language or a letter
+    do not count.
 
-    def from_letter(part: Column) -> Column:
-        return F.regexp_replace(part, r"^\P{L}++", "")
-
-    whole = from_letter(text)
-    places = F.greatest(F.char_length(whole) - chars, F.lit(0)) + 1
-    at = F.pmod(F.xxhash64(draw), places).cast("int")
-    after = from_letter(F.substr(whole, at + 1))
-    return F.substring(F.when(F.char_length(after) > 0, after).otherwise(whole), 1, chars)
+    They are the ones of smallest hash among the texts of at most 1,024 characters, or, where
+    a language has fewer than `texts` of these, twice that, and so on up to `LONGEST_CHARS`; a
+    language with longer texts only is not learned. Rows are first cut to a multiple of what
+    is needed by a threshold of the hash, so no task gets many rows of a frequent language.
+    """
+    size, draw = F.char_length("text"), F.shiftrightunsigned(F.xxhash64("text"), 1)
+    usable = docs.where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
+    hashed = usable.select("lang", "text", size.alias("size"), draw.alias("draw"))
+    limits = [SHORT_CHARS]
+    while limits[-1] < LONGEST_CHARS:
+        limits.append(2 * limits[-1])
+    counts = hashed.groupBy("lang").agg(
+        *[
+            F.approx_count_distinct(F.when(F.col("size") <= limit, F.col("draw"))).alias(f"n{limit}")
+            for limit in limits
+        ]
+    )
+    # A row per language.
+    longest, below = {}, {}
+    for row in counts.collect():
+        enough = [limit for limit in limits if row[f"n{limit}"] >= 2 * texts] or limits[-1:]
+        longest[row["lang"]] = enough[0]
+        below[row["lang"]] = row[f"n{enough[0]}"]
+    if not longest:
+        return hashed.select("lang", "text", F.lit(0).alias("place")).limit(0)
+    times = 8
+    while True:
+        cut = {
+            lang: min(_DRAWS, _DRAWS * times * texts // max(n, 1)) for lang, n in below.items()
+        }
+        within = F.col("size") <= F.try_element_at(_literal_map(longest), "lang")
+        within &= F.col("draw") <= F.try_element_at(_literal_map(cut), "lang")
+        alike = hashed.where(within).groupBy("lang", "draw").agg(F.min("text").alias("text"))
+        order = Window.partitionBy("lang").orderBy("draw")
+        placed = alike.withColumn("place", F.row_number().over(order))
+        placed = materialize(placed.where(F.col("place") <= texts).drop("draw"), "sample")
+        found = {r["lang"]: r["count"] for r in placed.groupBy("lang").count().collect()}
+        if all(found.get(lang, 0) == texts or cut[lang] == _DRAWS for lang in cut):
+            return placed.select("lang", "text", "place")
+        times *= 16
+
+
+def _literal_map(values: dict[str, int]) -> Column:
+    entries = [F.lit(part) for lang, n in values.items() for part in (lang, n)]
+    return F.create_map(*entries).cast("map<string,bigint>")
 
 
 def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> Model:
-    """Learn from the labelled rows of `docs`; the driver gets the bounded sample only."""
+    """Learn from the labelled rows of `docs`; the driver gets the bounded sample only.
+
+    A language's texts are taken in their order as long as they have no more than `chars`
+    characters together, and the first one anyway. Every task gets the model, so its size is
+    checked: with many languages each learns from fewer texts, until it is within MODEL_BYTES.
+    """
     sample: dict[str, list[str]] = {}
-    for row in labelled_sample(docs, texts, chars).orderBy("lang", "place").toLocalIterator():
+    for row in labelled_sample(docs, texts).orderBy("lang", "place").toLocalIterator():
         sample.setdefault(row["lang"], []).append(row["text"])
-    return train(sample)
+    while True:
+        model = train({lang: _first(of, texts, chars) for lang, of in sample.items()})
+        if sum(parser.nbytes for parser in model.parsers) <= MODEL_BYTES or texts == 1:
+            return model
+        texts, chars = texts // 2, chars // 2
+
+
+def _first(texts: list[str], most: int, chars: int) -> list[str]:
+    totals = itertools.accumulate(map(len, texts))
+    return [
+        text
+        for i, (text, total) in enumerate(zip(texts, totals, strict=True))
+        if i == 0 or (i < most and total <= chars)
+    ]
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -17,24 +17,25 @@ def text(language, seed, n=60):
 
 
 def plain_phrases(content: bytes, sample: list[bytes]) -> int:
-    """Greedy longest phrases by substring search, in blocks."""
-    count = 0
-    for at in range(0, len(content), langid.BLOCK):
-        block = content[at : at + langid.BLOCK]
-        i = 0
-        while i < len(block):
-            n = 1
-            while i + n < len(block) and any(block[i : i + n + 1] in s for s in sample):
-                n += 1
-            i += n
-            count += 1
+    """Greedy longest phrases by substring search, over the whole text."""
+    count, i = 0, 0
+    while i < len(content):
+        n = 1
+        while i + n < len(content) and any(content[i : i + n + 1] in s for s in sample):
+            n += 1
+        i += n
+        count += 1
     return count
 
 
-def test_phrases_equal_plain_search():
+@pytest.mark.parametrize("block", [1, 2, 5, 64, 512])
+def test_phrases_equal_plain_search(monkeypatch, block):
+    """However the text is cut for parsing, phrases are those of one pass over it."""
+    monkeypatch.setattr(langid, "BLOCK", block)
     samples = {k: [text(k, s, 30) for s in range(3)] for k in LETTERS}
     model = langid.train(samples)
-    texts = [text("aa", 50), text("bb", 51, 300), "qqq é?! 123", "", "ab" * 700, "ŵŷ"]
+    texts = [text("aa", 50), text("bb", 51, 300), "qqq é?! 123", "", "ab" * 700, "ŵŷ", "a" * 900]
+    texts += [samples["aa"][0] * 3, text("cc", 52, 40) + samples["bb"][1]]
     cleaned = [langid.normalised(t) for t in texts]
     found = langid.phrases(cleaned, model)
     for row, content in zip(found, cleaned, strict=True):
@@ -113,11 +114,35 @@ def test_copies_take_one_place_of_the_sample(docs):
     assert len({r["text"] for r in found}) == 20
 
 
-def test_pieces_pass_over_a_shared_opening(docs):
-    opening = "0123456789 " * 60
-    rows = [(i, opening + "same license line " * 40 + text("aa", i, 900), "aa") for i in range(30)]
-    rows += [(50, "12 " * 400 + "letters", "bb")]
-    found = langid.labelled_sample(docs(*rows)).collect()
-    assert len({r["text"] for r in found}) == 31
-    assert all(r["text"][0].isalpha() and len(r["text"]) <= langid.SAMPLE_CHARS for r in found)
-    assert sum("license" in r["text"] for r in found) < 15
+def test_sample_has_whole_texts(docs, monkeypatch):
+    """Short texts where there are enough of them, else longer ones, whole; bounded in all."""
+    short = [(i, f"short {text('aa', i, 20)}", "aa") for i in range(200)]
+    long = [(1000 + i, text("aa", 500 + i, 900), "aa") for i in range(50)]
+    rows = short + long + [(2000 + i, text("bb", i, 900), "bb") for i in range(5)]
+    rows += [(3000, text("cc", 1, 40_000), "cc")]
+    found = langid.labelled_sample(docs(*rows), 64).collect()
+    whole = {t for _, t, _ in rows}
+    assert all(r["text"] in whole for r in found)
+    per = {k: [r["text"] for r in found if r["lang"] == k] for k in LETTERS}
+    assert {k: len(v) for k, v in per.items()} == {"aa": 64, "bb": 5, "cc": 0}
+    assert all(t.startswith("short") for t in per["aa"])
+    assert langid._first(per["bb"], 64, 2 * len(per["bb"][0]) + 100) == per["bb"][:2]
+    assert langid._first(per["bb"], 64, 10) == per["bb"][:1]
+
+
+def test_sample_is_that_of_all_hashes(docs, monkeypatch):
+    """Raising the threshold ends at the texts of smallest hash, whatever it began with."""
+    rows = [(i, text("aa", i, 10), "aa") for i in range(300)]
+    frame = docs(*rows)
+    hashed = frame.selectExpr("text", "shiftrightunsigned(xxhash64(text), 1) AS h").orderBy("h")
+    expected = [r["text"] for r in hashed.limit(4).collect()]
+    found = langid.labelled_sample(frame, 4).orderBy("place").collect()
+    assert [r["text"] for r in found] == expected
+
+
+def test_model_is_bounded(docs, monkeypatch):
+    frame = docs(*labelled(20))
+    whole = sum(p.nbytes for p in langid.fit(frame).parsers)
+    monkeypatch.setattr(langid, "MODEL_BYTES", whole // 3)
+    model = langid.fit(frame)
+    assert 0 < sum(p.nbytes for p in model.parsers) <= whole // 3 and len(model.languages) == 3
