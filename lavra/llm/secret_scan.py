@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.llm.common import free_name
@@ -35,6 +35,10 @@ SAMPLE_IDENTIFIERS = 100
 
 _CODES = 128
 _SMOOTHING = 0.5
+# Share of a pair's likelihood that comes from the kinds of its characters (lower case, upper case,
+# digit, other) alone: words that no sample has are still ordinary, a digit inside one is not.
+BACKOFF = 0.2
+_KINDS = (("a", "z"), ("A", "Z"), ("0", "9"))
 _REDACTED = "[SECRET]"
 
 
@@ -230,7 +234,8 @@ def labelled_sample(
 ) -> DataFrame:
     """Strings (`value`) with `is_random`, from the documents whose texts have the smallest hashes.
 
-    Random: what the fixed rules find, and Base64 and hexadecimal digests of the texts.
+    Random: what the fixed rules find, and digests of the texts in Base64, in hexadecimal, and
+    in letters of one case with digits.
     Ordinary: identifiers of documents without a secret, alone and joined in the usual ways.
     """
     # Hashes first, so that no task ever gets more than the sample's texts.
@@ -246,17 +251,20 @@ def labelled_sample(
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
     digest = F.sha2("text", 256)
+    parts = [F.conv(F.substring(digest, at, 12), 16, 36) for at in (1, 13, 25)]
     random = F.concat(
         F.array(F.regexp_replace(F.base64(F.unhex(digest)), "=", ""), digest),
+        F.array(F.concat(*parts), F.lower(F.concat(*parts))),
         F.filter(ruled, lambda value: F.char_length(value) >= ASSIGN_VALUE),
     )
-    names = F.slice(
-        F.array_distinct(
-            F.regexp_extract_all("text", F.lit(r"\b[A-Za-z][A-Za-z0-9]{2,23}\b"), F.lit(0))
-        ),
-        1,
-        identifiers,
+    found = F.array_distinct(
+        F.regexp_extract_all("text", F.lit(r"\b[A-Za-z][A-Za-z0-9]{2,23}\b"), F.lit(0))
+    )
+    # Those of smallest hash: they stand anywhere in the text.
+    drawn_names = F.sort_array(
+        F.transform(found, lambda v: F.struct(F.xxhash64(v).alias("h"), v.alias("v")))
     )
+    names = F.transform(F.slice(drawn_names, 1, identifiers), lambda s: s["v"])
     following = F.concat(F.slice(F.col("names"), 2, identifiers), F.slice(F.col("names"), 1, 1))
     joined = F.zip_with(
         "names",
@@ -283,8 +291,10 @@ def labelled_sample(
 def train(sample: DataFrame) -> list[float]:
     """Log-likelihood ratios of every pair of ASCII codes, random against ordinary.
 
-    Transition counts of both classes get the same smoothing, so a class without samples is a
-    uniform model. Null and one-character values teach nothing.
+    A class's likelihood of a second character mixes its count after the first one with the
+    count of its kind after the first one's kind, spread over the kind. Counts of both classes
+    get the same smoothing, so a class without samples is a uniform model. Null and
+    one-character values teach nothing.
     """
     codes = sample.where("char_length(value) > 1").select(
         "is_random", _codes(F.col("value")).alias("c")
@@ -302,29 +312,42 @@ def train(sample: DataFrame) -> list[float]:
             F.count_if(~F.col("is_random")).alias("plain"),
         )
     )
+    sizes = [ord(last) - ord(first) + 1 for first, last in _KINDS]
+    sizes.append(_CODES - sum(sizes))
+    first, second = (F.col("pair") / _CODES).cast("int"), (F.col("pair") % _CODES).cast("int")
     cells = (
         codes.sparkSession.range(_CODES * _CODES)
         .withColumnRenamed("id", "pair")
         .join(counted, "pair", "left")
         .na.fill(0)
-    )
-    totals = cells.groupBy((F.col("pair") / _CODES).cast("int").alias("first")).agg(
-        F.sum("random").alias("all_random"), F.sum("plain").alias("all_plain")
+        .withColumns({"first": first, "kind": _kind(first), "next_kind": _kind(second)})
+        .withColumn("size", F.get(F.array(*map(F.lit, sizes)), F.col("next_kind")))
     )
 
-    def likelihood(count: str, total: str) -> Column:
-        return F.log((F.col(count) + _SMOOTHING) / (F.col(total) + _SMOOTHING * _CODES))
+    def likelihood(count: str) -> Column:
+        def total(*by: str) -> Column:
+            # The table has a row per pair of codes.
+            return F.sum(count).over(Window.partitionBy(*by))
 
-    ratio = likelihood("random", "all_random") - likelihood("plain", "all_plain")
-    rows = (
-        cells.join(totals, (F.col("pair") / _CODES).cast("int") == F.col("first"))
-        .orderBy("pair")
-        .select(F.round(ratio, 5).alias("weight"))
-        .collect()
-    )
+        own = (F.col(count) + _SMOOTHING) / (total("first") + _SMOOTHING * _CODES)
+        kinds = (total("kind", "next_kind") + _SMOOTHING) / (
+            total("kind") + _SMOOTHING * len(sizes)
+        )
+        return F.log((1 - BACKOFF) * own + BACKOFF * kinds / F.col("size"))
+
+    ratio = likelihood("random") - likelihood("plain")
+    rows = cells.select("pair", F.round(ratio, 5).alias("weight")).orderBy("pair").collect()
     return [row["weight"] for row in rows]
 
 
+def _kind(code: Column) -> Column:
+    """The place of a code's kind in `_KINDS`; behind all for other codes."""
+    kind = F.lit(len(_KINDS))
+    for i, (low, high) in enumerate(_KINDS):
+        kind = F.when(code.between(ord(low), ord(high)), i).otherwise(kind)
+    return kind
+
+
 def scan(
     docs: DataFrame, weights: list[float], name: str = "secrets", min_ratio: float = MIN_RATIO
 ) -> DataFrame:

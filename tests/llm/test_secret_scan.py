@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -116,3 +117,62 @@ def test_random_parts_of_names_and_paths(docs, weights):
         assert [text[start:end] for start, _, end in row["secrets"]] == expected
     left = ss.scan(ss.redact(frame, weights), weights).where("size(secrets) > 0")
     assert left.count() == 0
+
+
+def held_out(kind, n=300):
+    """Random strings of an alphabet, or identifiers and paths made of the standard library's
+    names; the models have seen neither."""
+    import logging
+    import random
+    import string
+    import unittest.mock
+    import urllib.request
+
+    draw = random.Random(kind)
+    alphabets = {
+        "base64": string.ascii_letters + string.digits + "+/",
+        "alphanumeric": string.ascii_letters + string.digits,
+        "hexadecimal": "0123456789ABCDEF",
+        "base32": string.ascii_uppercase + "234567",
+        "lower": string.ascii_lowercase + string.digits,
+    }
+    if kind in alphabets:
+        return ["".join(draw.choices(alphabets[kind], k=draw.choice((20, 24, 32, 40)))) for _ in range(n)]
+    listed = [name for m in (logging, string, unittest.mock, urllib.request, random) for name in dir(m)]
+    listed += [name for cls in (str, dict, logging.Logger, unittest.mock.Mock) for name in dir(cls)]
+    words = sorted({w.lower() for name in listed for w in re.findall("[A-Z]?[a-z]+", name) if len(w) > 2})
+
+    def name():
+        parts = draw.choices(words, k=draw.randint(3, 5))
+        title = [p.title() for p in parts]
+        return {
+            "camel": parts[0] + "".join(title[1:]),
+            "snake": "_".join(parts),
+            "upper": "_".join(parts).upper(),
+            "kebab": "-".join(parts),
+            "path": f"src/main/java/{'/'.join(parts)}/{''.join(title[:3])}",
+        }[kind]
+
+    made = [name() for _ in range(3 * n)]
+    return [one for one in made if len(one) >= ss.CANDIDATE_LENGTH][:n]
+
+
+RANDOM = ("base64", "alphanumeric", "hexadecimal", "base32", "lower")
+ORDINARY = ("camel", "snake", "upper", "kebab", "path")
+
+
+def test_held_out_strings(spark, docs):
+    """At least 0.9 of the random strings of every alphabet are found, and at most 0.1 of the
+    identifiers and paths of every style, in words that the models have never seen."""
+    folder = os.environ.get("LAVRA_TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(folder):
+        pytest.skip("test data not found")
+    weights = ss.train(ss.labelled_sample(spark.read.parquet(f"{folder}/documents.parquet")))
+    rows = [(i, one, kind) for kind in RANDOM + ORDINARY for i, one in enumerate(held_out(kind))]
+    found = ss.scan(docs(*rows), weights).groupBy("lang").agg(
+        F.avg((F.size("secrets") > 0).cast("int")).alias("share")
+    )
+    shares = {r["lang"]: r["share"] for r in found.collect()}
+    assert len(shares) == len(RANDOM + ORDINARY)
+    assert all(shares[kind] >= 0.9 for kind in RANDOM), shares
+    assert all(shares[kind] <= 0.1 for kind in ORDINARY), shares
