@@ -28,6 +28,7 @@ HOME_ROWS = 2048
 MOST_PIVOTS = 4096
 
 _OTHER_ROWS = 4096
+_LEAST_DRAWN = 64
 _SLACK = 1e-9
 _KEY = ["label", "dims", "cell", "chunk"]
 
@@ -174,14 +175,19 @@ def _pivots(classes: DataFrame) -> dict:
     large = bounded(
         materialize(
             counts.where(F.col("size") > home).select(
-                "label", "dims", F.ceil(F.col("size") / home).alias("cells")
+                "label", "dims", F.ceil(F.col("size") / home).alias("cells"), "size"
             ),
             "cells",
+            measured=True,
         )
     )
+    # A multiple of what is needed is ranked, not all vectors of a label with many.
+    enough = F.greatest(F.lit(_LEAST_DRAWN), 4 * F.col("cells")) / F.col("size")
+    low = F.shiftrightunsigned(F.xxhash64("vector"), 1) <= enough * float(1 << 63)
     draw = Window.partitionBy("label", "dims").orderBy(F.xxhash64("vector"), "class")
     drawn = (
         classes.join(large, ["label", "dims"])
+        .where(low)
         .withColumn("place", F.row_number().over(draw))
         .where((F.col("place") <= MOST_PIVOTS) & (F.col("place") <= F.col("cells")))
         .select("label", "dims", "vector")
