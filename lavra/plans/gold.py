@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lavra.functions.numbers import for_year
 from lavra.operators import indicator
+from lavra.operators.bucketed import bucketed_lookup, spine_in_buckets
 from lavra.operators.compare import key_spine, verdicts
 from lavra.operators.freshness import FreshnessNames, freshness
 from lavra.operators.joins import lookup_join
@@ -147,9 +148,13 @@ def _judge(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def place_mart(
-    parts: DataFrame, results: DataFrame, targets: DataFrame, dim: DataFrame
+    parts: DataFrame, results: DataFrame, targets: DataFrame, dim: DataFrame, buckets: int = 0
 ) -> DataFrame:
-    """Per year, place and network; keys of unknown places are left out."""
+    """Per year, place and network; keys of unknown places are left out.
+
+    With `buckets`, results, targets and indicators are written in so many buckets by their key
+    and joined in place; without, small ones are broadcast and large ones shuffled.
+    """
     keys = ["ano", "id_municipio", "rede"]
     own = _written(student_indicators(parts, ["id_municipio"]))
     target = targets_of_year(
@@ -159,6 +164,10 @@ def place_mart(
         "nivel_alfabetizacao",
     )
     names = dim.select("id_municipio", "nome_municipio", "sigla_uf", "nome_uf", "nome_regiao")
+    if buckets:
+        spine, tables = spine_in_buckets([_official(results, keys), target, own], keys, buckets)
+        joined = bucketed_lookup(spine, tables, keys)
+        return _judge(joined.join(bounded(narrowed(names, dim)), "id_municipio"), PLACE_COLUMNS)
     spine = key_spine([results, targets, own], keys)
     spine = spine.join(bounded(narrowed(names, dim)), "id_municipio")
     sides = [narrowed(_official(results, keys), results), narrowed(target, targets), own]

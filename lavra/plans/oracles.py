@@ -528,6 +528,7 @@ def oracle_sql() -> dict[str, str]:
     }
     marts = {
         "mart_comparativo_municipio": _with(_PLACE_NEEDS, _PLACE_MART),
+        "mart_in_buckets": _with(_PLACE_NEEDS, _PLACE_MART),
         "mart_comparativo_uf": _with(_STATE_NEEDS, _STATE_MART),
         "mart_comparativo_brasil": _with(_NATION_NEEDS, _NATION_MART),
         "mart_frescor_streaming": _with(

@@ -177,6 +177,21 @@ def mart_comparativo_municipio(t: Tables) -> DataFrame:
     )
 
 
+@query
+def mart_in_buckets(t: Tables) -> DataFrame:
+    """The place mart with its inputs in buckets, joined without a shuffle."""
+    dim = _small_dim(t)
+    return shown(
+        gold.place_mart(
+            _components(t),
+            _measured(silver.place_results(standin.place_results(t), dim)),
+            _measured(silver.place_targets(standin.place_targets(t), dim)),
+            dim,
+            buckets=8,
+        )
+    )
+
+
 @query
 def mart_comparativo_uf(t: Tables) -> DataFrame:
     return shown(

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lavra.functions.times import utc_now
+from lavra.operators.bucketed import forget
 from lavra.operators.check_states import CheckStates
 from lavra.operators.quality import run_suite
 from lavra.operators.reference import KNOWN
@@ -49,11 +50,13 @@ STREAM_TABLE = "dados_alunos_streaming"
 class Config:
     """Root folder of all layers, on storage every executor reaches; `buckets` of the stream's
     state, see `LatestState`. With `share_years`, years whose rows are as before keep their
-    folder, and with it the time at which they were processed."""
+    folder, and with it the time at which they were processed. With `mart_buckets`, the place
+    mart's inputs are joined in so many buckets."""
 
     root: str
     buckets: int = 64
     share_years: bool = False
+    mart_buckets: int = 0
 
     def bronze(self, table: str) -> str:
         return f"{self.root}/bronze/{table}"
@@ -285,7 +288,10 @@ def stage_gold(
 ) -> list[StagedTable]:
     """Write new versions of all marts from the published (or given) Silver tables."""
     with released(spark):
-        return _stage_gold(spark, config, tables)
+        try:
+            return _stage_gold(spark, config, tables)
+        finally:
+            forget(spark)
 
 
 def _stage_gold(
@@ -301,6 +307,7 @@ def _stage_gold(
                 t["avaliacao_alfabetizacao_municipio"],
                 t["meta_alfabetizacao_municipio"],
                 dim,
+                config.mart_buckets,
             ),
             "mart_comparativo_uf": gold.state_mart(
                 parts, t["avaliacao_alfabetizacao_uf"], t["meta_alfabetizacao_uf"], dim

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -211,6 +212,39 @@ def test_from_sources_to_marts(spark, load, stream, rows):
     t = LayerStore(spark, config.root).current("silver")
     assert rows(t["dados_alunos"], "id_aluno") == [("s8",)]
 
+
+def test_run_that_shares_years(spark, load, stream, rows):
+    """The same tables and check results; a second run writes and checks no unchanged year."""
+    config = replace(load.config, share_years=True, mart_buckets=4)
+    store = LayerStore(spark, config.root)
+    times = ["_processed_at", "_quarantined_at", "primeiro_processamento", "ultimo_processamento"]
+
+    def tables():
+        return {
+            (layer, name): rows(df.drop(*times))
+            for layer in ("silver", "gold")
+            for name, df in store.current(layer).items()
+        }
+
+    def checks():
+        history = read_history(spark, config.history)
+        last = history.groupBy("layer").agg(F.max("executed_at").alias("executed_at"))
+        return rows(history.join(last, ["layer", "executed_at"]), "check_name", "failed_count", "status")
+
+    load(T1)
+    stream("1", event(1, "1"), event(9, "77"))
+    runs.run_silver(spark, load.config)
+    runs.run_gold(spark, load.config)
+    expected, results = tables(), checks()
+    for again in (False, True):
+        runs.run_silver(spark, config)
+        runs.run_gold(spark, config)
+        assert tables() == expected and checks() == results
+        for layer, name in (("silver", "dados_alunos"), ("gold", "mart_comparativo_municipio")):
+            entry = store._seen(layer).state["tables"][name]
+            assert any(n.startswith("ano=") for n in os.listdir(entry["path"])) != again
+
+
 def test_two_grades_fan_out_and_fail_the_unique_check(spark, table, rows):
     dim = table(
         "id_municipio string, nome_municipio string, sigla_uf string, nome_uf string, "
