@@ -32,8 +32,10 @@ class OncePerBatch:
 
 BATCH_OPTIONS = {
     "kafka": {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "1000000"},
-    "files": {"maxFilesPerTrigger": "1000"},
+    "files": {"maxBytesPerTrigger": str(10 << 30)},
 }
+# Spark takes one of these for files.
+_FILE_BOUNDS = ("maxfilespertrigger", "maxbytespertrigger")
 
 
 def read_stream(
@@ -42,10 +44,14 @@ def read_stream(
     """Messages in the column `value`: from Kafka topics, or text files in tests.
 
     Unless `options` say otherwise, the first start reads a topic from its earliest offset, so
-    nothing published before is skipped, and a micro-batch is bounded by `BATCH_OPTIONS`. The
-    bound only sizes batches: what is left comes in the next ones.
+    nothing published before is skipped, and a micro-batch is bounded by `BATCH_OPTIONS`: in
+    messages for a topic, in bytes for files, whose sizes differ more than their number tells.
+    The bound only sizes batches: what is left comes in the next ones, and a file beyond it
+    comes alone. `maxFilesPerTrigger` bounds the number of files instead.
     """
-    defaults = BATCH_OPTIONS["kafka" if format == "kafka" else "files"]
+    defaults = dict(BATCH_OPTIONS["kafka" if format == "kafka" else "files"])
+    if any(name.lower() in _FILE_BOUNDS for name in options or {}):
+        defaults.pop("maxBytesPerTrigger", None)
     reader = spark.readStream.format(format).options(**{**defaults, **dict(options or {})})
     if format == "kafka":
         return reader.option("subscribe", location).load().select(F.col("value").cast("string"))

@@ -245,6 +245,29 @@ def test_topics_start_at_their_earliest_offset():
     assert module.BATCH_OPTIONS["kafka"]["startingOffsets"] == "earliest"
 
 
+def batch_sizes(spark, folder, options):
+    sizes = []
+    stream = read_stream(spark, "text", f"{folder}/in", options)
+    query = (
+        stream.writeStream.foreachBatch(lambda df, _: sizes.append(df.count()))
+        .option("checkpointLocation", f"{folder}/{options}")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return [n for n in sizes if n]
+
+
+def test_batches_are_bounded_by_bytes(spark, folder):
+    """One large file among small ones: it comes with few others, all small ones together."""
+    for n in range(12):
+        send(f"{folder}/in", f"{n:02}", "x" * (400_000 if n == 5 else 1_000))
+    by_bytes = batch_sizes(spark, folder, {"maxBytesPerTrigger": "100000"})
+    assert sum(by_bytes) == 12 and len(by_bytes) <= 3
+    assert batch_sizes(spark, folder, {"maxFilesPerTrigger": "5"}) == [5, 5, 2]
+    assert batch_sizes(spark, folder, {}) == [12]
+
+
 def test_closed_days_are_merged_and_pruned(spark, folder, schema, table, rows):
     from lavra.streaming.bronze import EventTable
 
