@@ -19,7 +19,10 @@ def main(argv: list[str] | None = None) -> int:
     """Run one step; 0 on success, 1 if it failed, for instance on a critical check."""
     parser = argparse.ArgumentParser(prog="lavra")
     steps = parser.add_subparsers(dest="step", required=True)
-    for name in ("bronze", "silver", "gold", "validate", "stream", "places", "replay", "clean", "compact"):
+    for name in (
+        "bronze", "silver", "gold", "validate", "stream", "event", "places", "replay", "clean",
+        "compact",
+    ):
         step = steps.add_parser(name)
         if name not in ("places", "replay"):
             step.add_argument("--root", required=True, help="folder of all layers")
@@ -27,6 +30,16 @@ def main(argv: list[str] | None = None) -> int:
             step.add_argument("--format", default="table", help="table, parquet, csv, ...")
             step.add_argument("--location", required=True, help="name or path with {name}")
             step.add_argument("--places-csv", required=True, help="place reference file")
+        elif name in ("silver", "gold"):
+            step.add_argument(
+                "--share-years", action="store_true", help="write and check changed years only"
+            )
+        elif name == "event":
+            step.add_argument("--message", required=True, help="one JSON event")
+            step.add_argument("--source", required=True, help="what the event came from")
+            step.add_argument("--writer", required=True, help="the partition it came from")
+            step.add_argument("--offset", type=int, required=True, help="its place there")
+            step.add_argument("--base64", action="store_true", help="the message is Base64")
         elif name == "validate":
             step.add_argument("layer", nargs="?", default="silver", choices=("silver", "gold"))
         elif name == "stream":
@@ -46,10 +59,13 @@ def main(argv: list[str] | None = None) -> int:
             step.add_argument("--format", default="kafka", help="kafka or text")
             step.add_argument("--location", required=True, help="topic or folder")
         elif name == "clean":
-            step.add_argument("layer", choices=("silver", "gold"))
+            step.add_argument("layer", choices=("bronze", "silver", "gold"))
             step.add_argument("--keep", type=int, default=1, help="versions that stay")
     args = parser.parse_args(argv)
-    spark, config = build_session(), runs.Config(getattr(args, "root", "").rstrip("/"))
+    spark = build_session()
+    config = runs.Config(
+        getattr(args, "root", "").rstrip("/"), share_years=getattr(args, "share_years", False)
+    )
     try:
         _step(spark, config, args)
     except Exception:
@@ -78,6 +94,12 @@ def _step(spark, config: runs.Config, args: argparse.Namespace) -> None:
         runs.replay_events(spark, table, args.limit, args.format, args.location)
     elif args.step == "compact":
         runs.compact_events(spark, config)
+    elif args.step == "event":
+        runs.ingest_event(
+            spark, config, args.message, args.source, args.writer, args.offset, args.base64
+        )
+    elif args.step == "clean" and args.layer == "bronze":
+        runs.clean_stream(spark, config)
     elif args.step == "clean":
         LayerStore(spark, config.root).remove_unlisted(args.layer, args.keep)
     else:

@@ -135,6 +135,13 @@ def compact_events(spark: SparkSession, config: Config) -> list[str]:
     return event_table(spark, config).compact()
 
 
+def clean_stream(spark: SparkSession, config: Config) -> None:
+    """Remove what compactions of the event table and merges of its state have replaced. Readers
+    that began before those must have ended."""
+    event_table(spark, config).remove_merged_sources()
+    stream_state(spark, config).remove_replaced()
+
+
 def stream_bronze(
     spark: SparkSession,
     config: Config,

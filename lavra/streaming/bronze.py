@@ -83,14 +83,14 @@ class EventTable:
     def log(self) -> CommitLog:
         return CommitLog(self.spark, f"{self.root}/{_LOG}", _fold, _EMPTY)
 
-    def create(self) -> None:
-        """Make the table if it has no log yet. Events that an older layout left below `path`
-        become parts where they lie."""
+    def create(self) -> Version:
+        """Make the table if it has no log yet, and return its newest version. Events that an
+        older layout left below `path` become parts where they lie."""
 
         def first(seen: Version) -> dict | None:
             return None if seen.number else {"kind": "create", "add": self._found_parts()}
 
-        self.log.update(first)
+        return self.log.update(first)
 
     def append(self, df: DataFrame, writer: str | None = None, batch: int | None = None) -> bool:
         """Add the rows of `df` in one commit, by the day of their arrival time.
@@ -100,8 +100,7 @@ class EventTable:
         come in ascending order. Without them every call adds its rows.
         """
         require_utc(self.spark)
-        self.create()
-        if self._has(self.log.read(), writer, batch):
+        if self._has(self.create(), writer, batch):
             return False
         name = f"{_COMMIT}={fresh_name()}"
         dated = df.withColumn(DAY, F.date_format(INGESTED_AT, "yyyy-MM-dd"))
@@ -166,9 +165,8 @@ class EventTable:
         """Rewrite the parts of all days before `before` (yesterday, in UTC) that have more than
         one part, or lie in an older layout; returns these days. Batches may go on meanwhile."""
         require_utc(self.spark)
-        self.create()
         limit = (before or dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)).isoformat()
-        live = self._live(self.log.read().state)
+        live = self._live(self.create().state)
         # Files of no certain day are rewritten whole, whatever days they turn out to hold.
         loose = [part for part in live if part.day is None]
         closed = [part for part in live if part.day is not None and part.day < limit]

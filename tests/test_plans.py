@@ -321,3 +321,13 @@ def test_command_line(spark, folder, load):
     assert store.current("gold")["mart_comparativo_municipio"].count() == 6
     assert store.current("silver")["dados_alunos_streaming"].count() == 1
     assert main(["silver", "--root", f"{folder}/nothing"]) == 1
+    # An event by itself, twice; then only changed years are written.
+    late = ["--message", json.dumps(event(2, "1")), "--source", "bus", "--writer", "p0", "--offset", "0"]
+    for _ in range(2):
+        assert main(["event", *root, *late]) == 0
+    assert main(["silver", *root, "--share-years"]) == 0
+    assert main(["silver", *root, "--share-years"]) == 0
+    for layer in ("bronze", "silver"):
+        assert main(["clean", *root, layer]) == 0
+    assert store.current("silver")["dados_alunos_streaming"].count() == 2
+    assert store.current("silver")["dados_alunos"].count() == 5
