@@ -97,3 +97,46 @@ def test_sizes_and_checksums(docs):
         rs.row_size(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("crc")
     ).collect()
     assert tuple(row) == (16, zlib.crc32(b""))
+
+
+def plain_places(rows, old_shards, new_shards):
+    """Shard and slot of every row (id, text, old, draw), by walking along each old shard."""
+    size = [len((text or "").encode()) + 16 for _, text, *_ in rows]
+    supplies = [sum(s for s, r in zip(size, rows, strict=True) if r[2] == i) for i in range(old_shards)]
+    total = sum(supplies)
+    ends = [total * j // new_shards for j in range(new_shards + 1)]
+    moves = rs.flows(supplies, [b - a for a, b in zip(ends, ends[1:], strict=False)])
+    shard = {}
+    for old in range(old_shards):
+        line = sorted((r[3], s, i) for i, (r, s) in enumerate(zip(rows, size, strict=True)) if r[2] == old)
+        stretches, at, before, begun = [(new, n) for (o, new), n in moves.items() if o == old], 0, 0, {}
+        limits = [sum(n for _, n in stretches[: k + 1]) for k in range(len(stretches))]
+        for draw, s, _ in line:
+            at = min(sum(limit <= before + s / 2 for limit in limits), len(limits) - 1)
+            begun.setdefault(at, draw)
+            before += s
+        for draw, _, i in line:
+            # Rows with one draw are one document: they stay together.
+            shard[i] = stretches[max(k for k, first in begun.items() if first <= draw)][0]
+    files = max(1, total // new_shards // rs.FILE_BYTES)
+    places = {}
+    for new in range(new_shards):
+        own = [i for i in shard if shard[i] == new]
+        order = sorted(own, key=lambda i: (rows[i][3] % files, rows[i][3], str(rows[i][0]), rows[i][1] or ""))
+        places |= {i: (new, slot) for slot, i in enumerate(order)}
+    return places
+
+
+@pytest.mark.parametrize("new, file_bytes", [(7, 64 << 20), (3, 500), (4, 2000), (1, 64 << 20)])
+def test_shards_and_slots_equal_a_plain_walk(docs, prose, monkeypatch, new, file_bytes):
+    from lavra.llm import prefix_sums
+
+    monkeypatch.setattr(rs, "FILE_BYTES", file_bytes)
+    monkeypatch.setattr(prefix_sums, "BUCKET_ROWS", 32)
+    frame = docs(*corpus(prose))
+    drawn = frame.select("doc_id", "text", old_shard().cast("int").alias("old"), rs._draw(F.col("doc_id"), F.col("text")).alias("draw"))
+    rows = [tuple(r) for r in drawn.collect()]
+    expected = plain_places(rows, 4, new)
+    found = rs.reshard(frame.repartition(3), old_shard(), 4, new).collect()
+    listed = sorted((r["shard"], r["slot"], str(r["doc_id"]), r["text"] or "") for r in found)
+    assert listed == sorted((*expected[i], str(row[0]), row[1] or "") for i, row in enumerate(rows))
