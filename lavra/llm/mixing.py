@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lavra.llm.common import free_name, words
 from lavra.llm.prefix_sums import with_totals_before
-from lavra.runtime import bounded, materialize
+from lavra.runtime import bounded, materialize, narrowed
 
 # Weight at equally spaced times of the training, linear between them; sources in the order of
 # their names take these in turn. Their integrals are 5, 2 and 1.
 SCHEDULES = ((7.5, 5.0, 2.5), (1.0, 2.0, 3.0), (0.5, 1.0, 1.5))
 MOST_COPIES = 3
+# Words of a gap from which on documents of up to half the gap are taken in rounds.
+WIDE_GAP = 1 << 16
 
 
 def word_count(text: Column) -> Column:
@@ -104,7 +107,7 @@ def assign(
         F.col("doc_id").cast("string").alias("id"),
     )
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = bounded(materialize(targets(sizes, schedules, most), "targets"))
+    goals = bounded(materialize(targets(sizes, schedules, most), "targets", measured=True))
     order, total = ["id", "size", "row"], F.col("size")
     summed = with_totals_before(rows, ["source"], "draw", order, {"before": total})
     rounds = F.least(F.floor(F.try_divide("target", "source_size")), F.lit(most))
@@ -119,7 +122,7 @@ def assign(
     known = materialize(known.drop("of", "extra"), "mix")
     taken = F.sum(total * (F.col("rounds") + F.col("more").cast("int")))
     gaps = known.groupBy("source").agg((F.first("target") - taken).alias("gap"))
-    added = bounded(materialize(_fillers(known, gaps, order, most), "mix"))
+    added = bounded(materialize(_fillers(known, gaps, order, most), "mix", measured=True))
     filling = F.col("filled").isNotNull()
     copies = F.col("rounds") + (F.col("more") | filling).cast("int")
 
@@ -153,45 +156,70 @@ def _fillers(known: DataFrame, gaps: DataFrame, order: list[str], most: int) ->
     """`row` of the documents that fill each source's `gap`, and `filled`, the words that the
     source has given before them. At the end no document that is left fits its source's gap.
 
-    A round takes documents of up to half the gap, by draw and `order`, as far as they fit; a
-    source that has none such gives its largest that fits. Either a document of up to half
-    the gap did not fit any more, or only larger ones are left, of which one fits at most. So
-    every round but a source's last two halves its gap, and few rounds are needed.
+    Documents are tried by draw and `order` and taken if they fit what is left of the gap, so
+    one that did not fit never will. Of documents of one size the first ones are taken, and at
+    most gap / size of them: only these are sorted, and they are few however many documents a
+    source has. Rounds that take documents of up to half the gap, as far as they fit, come
+    first as long as a gap is so wide that even these were many.
     """
     left = known.where(~F.col("more") & (F.col("rounds") < most) & (F.col("size") > 0))
     left = left.select("source", "target", "size", "draw", "id", "row")
-    gaps = materialize(gaps, "gaps")
+    gaps = materialize(gaps, "gaps", measured=True)
     picked = left.select("row", F.lit(0.0).alias("filled")).limit(0)
-    while True:
-        of = bounded(gaps.withColumnRenamed("source", "of"))
-        fits = F.col("source").eqNullSafe(F.col("of")) & (F.col("size") <= F.col("gap"))
-        small = 2 * F.col("size") <= F.col("gap")
-        fitting = materialize(left.join(of, fits).drop("of").withColumn("small", small), "mix")
-        best = F.max(F.struct("size", "draw", "id", "row"))
-        largest = fitting.groupBy("source").agg(best["row"].alias("best"))
-        largest = largest.join(
-            fitting.where("small").select("source").distinct().withColumnRenamed("source", "of"),
-            F.col("source").eqNullSafe(F.col("of")),
-            "left_anti",
+    while not gaps.where(F.col("gap") >= WIDE_GAP).isEmpty():
+        wide = gaps.where(F.col("gap") >= WIDE_GAP)
+        halves = _within(left, narrowed(wide, gaps), 2)
+        if halves.isEmpty():
+            break
+        summed = with_totals_before(halves, ["source"], "draw", order, {"before": F.col("size")})
+        fits = F.col("before") + F.col("size") <= F.col("gap")
+        chosen = summed.where(fits).select(
+            "row", "source", "size", (F.col("target") - F.col("gap") + F.col("before")).alias("filled")
         )
-        largest = bounded(materialize(largest.select("best"), "gaps"))
-        if fitting.isEmpty():
-            return picked
-        single = fitting.join(largest, F.col("row") == F.col("best"), "left_semi")
-        summed = with_totals_before(
-            fitting.where("small"), ["source"], "draw", order, {"before": F.col("size")}
-        )
-        chosen = summed.where(F.col("before") + F.col("size") <= F.col("gap")).unionByName(
-            single.withColumn("before", F.lit(0).cast("bigint"))
-        )
-        filled = F.col("target") - F.col("gap") + F.col("before")
-        chosen = materialize(
-            chosen.select("row", "source", "gap", "size", filled.alias("filled")), "mix"
-        )
-        gaps = chosen.groupBy("source").agg((F.first("gap") - F.sum("size")).alias("gap"))
-        gaps = materialize(gaps, "gaps")
+        chosen = materialize(chosen, "mix", measured=True)
         picked = picked.unionByName(chosen.select("row", "filled"))
-        left = fitting.drop("gap", "small").join(bounded(chosen.select("row")), "row", "left_anti")
+        used = chosen.groupBy("source").agg(F.sum("size").alias("used"))
+        used = used.withColumnRenamed("source", "of")
+        gaps = gaps.join(used, F.col("source").eqNullSafe(F.col("of")), "left").select(
+            "source", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap")
+        )
+        gaps = materialize(gaps, "gaps", measured=True)
+        left = left.join(bounded(narrowed(chosen.select("row"), chosen)), "row", "left_anti")
+    fitting = _within(left, gaps, 1)
+    ranked = with_totals_before(
+        fitting, ["source", "size"], "draw", order, {"place": F.lit(1).cast("bigint")}
+    )
+    candidates = ranked.where((F.col("place") + 1) * F.col("size") <= F.col("gap"))
+    filled = candidates.groupBy("source").applyInArrow(_first_fit, "row bigint, filled double")
+    return picked.unionByName(filled)
+
+
+def _within(rows: DataFrame, gaps: DataFrame, times: int) -> DataFrame:
+    """`rows` with their source's `gap`, if `times` their size is within it; written."""
+    of = bounded(narrowed(gaps.withColumnRenamed("source", "of"), gaps))
+    fits = F.col("source").eqNullSafe(F.col("of")) & (times * F.col("size") <= F.col("gap"))
+    return materialize(rows.join(of, fits).drop("of"), "mix")
+
+
+def _first_fit(group: pa.Table) -> pa.Table:
+    """One source's candidates, in their order, as far as each fits what is left of the gap."""
+    ordered = group.sort_by([(name, "ascending") for name in ("draw", "id", "size", "row")])
+    rows = zip(
+        *(ordered.column(name).to_pylist() for name in ("row", "size", "gap", "target")),
+        strict=True,
+    )
+    taken, before = [], 0
+    for row, size, gap, target in rows:
+        if before + size <= gap:
+            taken.append((row, target - gap + before))
+            before += size
+    return pa.table(
+        [
+            pa.array([row for row, _ in taken], pa.int64()),
+            pa.array([filled for _, filled in taken], pa.float64()),
+        ],
+        names=["row", "filled"],
+    )
 
 
 def number_rows(docs: DataFrame, size: Column) -> tuple[DataFrame, str, str]:
@@ -208,7 +236,8 @@ def mix(docs: DataFrame, schedules=SCHEDULES, most: int = MOST_COPIES) -> DataFr
     """
     numbered, size, row = number_rows(docs, word_count(docs["text"]))
     taken = assign(numbered, size, row, schedules, most).where(F.size("positions") > 0)
-    plan = bounded(materialize(taken.select(F.col("row").alias(row), "positions"), "mix"))
+    taken = taken.select(F.col("row").alias(row), "positions")
+    plan = bounded(materialize(taken, "mix", measured=True))
     position = free_name(docs, "position")
     copies = numbered.join(plan.withColumnRenamed("positions", position), row)
     return (

@@ -133,3 +133,72 @@ def test_no_document_that_is_left_fits(docs, prose, monkeypatch):
         gap = rows[0]["target"] - sum(r["size"] * len(r["positions"]) for r in rows)
         if min(copies) < 3 and len(set(copies)) > 1:
             assert gap < min(left)
+
+
+def plain_copies(rows, wide, most=3):
+    """Copies per row, from (source, size, draw, id, row), by reading each source in order."""
+    sizes: dict = {}
+    for source, size, *_ in rows:
+        sizes[source] = sizes.get(source, 0) + size
+    goals, copies = plain_targets(sizes), {}
+    for source, whole in sizes.items():
+        own = sorted((r for r in rows if r[0] == source), key=lambda r: (r[2], r[3] or "", r[1], r[4]))
+        rounds = min(int(goals[source] // whole), most) if whole else 0
+        taken, before, left = rounds * whole, 0, []
+        for _, size, _, _, row in own:
+            more = rounds < most and before + size <= goals[source] - rounds * whole
+            copies[row] = rounds + more
+            taken += more * size
+            if not more and rounds < most and size > 0:
+                left.append((size, row))
+            before += size
+        while (gap := goals[source] - taken) >= wide:
+            before, chosen = 0, []
+            for size, row in left:
+                if 2 * size <= gap:
+                    if before + size <= gap:
+                        chosen.append((size, row))
+                    before += size
+            if not chosen:
+                break
+            left = [one for one in left if one not in chosen]
+            for size, row in chosen:
+                copies[row] += 1
+                taken += size
+        for size, row in left:
+            if size <= goals[source] - taken:
+                copies[row] += 1
+                taken += size
+    return copies
+
+
+@pytest.mark.parametrize("wide", [10, 1 << 16])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_copies_equal_a_plain_reading(spark, monkeypatch, wide, seed):
+    import random
+
+    monkeypatch.setattr(prefix_sums, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(mixing, "WIDE_GAP", wide)
+    draw = random.Random(seed)
+    rows = [
+        (None if i % 50 == 7 else i // 2, draw.choice(["a", "a", "a", "b", "c", None]), draw.choice([0, 1, 3, 7, 40, 500]), i)
+        for i in range(300)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, size bigint, row bigint")
+    order = {r["row"]: r["h"] for r in frame.select("row", F.xxhash64("doc_id").alias("h")).collect()}
+    plan = mixing.assign(frame.repartition(4), "size", "row").collect()
+    found = {r["row"]: len(r["positions"]) for r in plan}
+    listed = [(s, n, order[row], None if i is None else str(i), row) for i, s, n, row in rows]
+    assert found == plain_copies(listed, wide)
+
+
+def test_few_jobs(spark, docs, prose):
+    """Plans and their code stay in the driver for a while, so the mix is made in few steps."""
+    frame = docs(*corpus(prose))
+    spark.sparkContext.setJobGroup("mix", "the whole mix")
+    try:
+        mixing.mix(frame).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("mix")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 35
