@@ -13,16 +13,19 @@ import hashlib
 import heapq
 import json
 import zlib
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import bound_batches
+from lavra.llm.common import bound_batches, bound_plan_texts
 
 # Bound of the word table that every task gets, and of the bytes of a word in it.
 TABLE_WORDS = 1 << 16
@@ -33,6 +36,11 @@ MEMORY_WORDS = 3 << 16
 _BUCKETS = 1 << 14
 # Bytes of a word up to which scanning is faster than keeping a queue.
 _SHORT = 64
+# Characters of texts whose unknown words are merged together, and words in one block of that.
+_GROUP_CHARS = 1 << 19
+_MERGED_AT_ONCE = 1 << 13
+# In place of a rank: larger than any.
+_NONE = (1 << 31) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,6 +104,97 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """Ranks of joined pairs, for merging many words at once: `keys` (sorted) are the first
+    part's rank times the vocabulary's size plus the second's, `ranks` those of both joined."""
+
+    keys: np.ndarray
+    ranks: np.ndarray
+    bytes: np.ndarray
+    size: int
+
+    @classmethod
+    def of(cls, ranks: dict[bytes, int]) -> Pairs:
+        size = max(ranks.values(), default=0) + 1
+        found = {
+            first * size + second: rank
+            for piece, rank in ranks.items()
+            for at in range(1, len(piece))
+            if (first := ranks.get(piece[:at])) is not None
+            and (second := ranks.get(piece[at:])) is not None
+        }
+        keys = np.fromiter(found, np.int64, len(found))
+        order = np.argsort(keys)
+        values = np.fromiter(found.values(), np.int32, len(found))
+        single = [ranks.get(bytes([byte]), -1) for byte in range(256)]
+        return cls(keys[order], values[order], np.array(single, np.int32), size)
+
+    def rank(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Rank of every pair; _NONE for those that do not join, or have no second part."""
+        if not len(self.keys):
+            return np.full(first.shape, _NONE, np.int32)
+        key = first.astype(np.int64) * self.size + second
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (second >= 0), self.ranks[at], _NONE)
+
+
+def merge_many(words: Sequence[bytes], pairs: Pairs) -> list[bytes]:
+    """Packed ids of many words, by the same rule as `merge`: in each step every word joins its
+    adjacent pair of lowest rank, the leftmost of equals, until none of its pairs has a rank."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    packed: list[bytes] = [b""] * len(words)
+    order = np.argsort(lengths, kind="stable")
+    for at in range(0, len(words), _MERGED_AT_ONCE):
+        chosen = order[at : at + _MERGED_AT_ONCE]
+        for word, ids in zip(chosen.tolist(), _merge_block(words, chosen, lengths, pairs), strict=True):
+            packed[word] = ids
+    return packed
+
+
+def _merge_block(
+    words: Sequence[bytes], chosen: np.ndarray, lengths: np.ndarray, pairs: Pairs
+) -> list[bytes]:
+    width = int(lengths[chosen].max(initial=0)) + 1
+    columns = np.arange(width)
+    inside = columns[None, :] < lengths[chosen][:, None]
+    # A row per word, ended by -1; every step shortens the rows that still have a pair.
+    ids = np.full((len(chosen), width), -1, np.int32)
+    ids[inside] = pairs.bytes[np.frombuffer(b"".join(words[i] for i in chosen), np.uint8)]
+    ranks = np.full((len(chosen), width), _NONE, np.int32)
+    ranks[:, :-1] = pairs.rank(ids[:, :-1], ids[:, 1:])
+    rows = np.arange(len(chosen))
+    left, left_ranks = ids, ranks
+    while len(rows):
+        place = left_ranks.argmin(axis=1)
+        lowest = left_ranks[np.arange(len(rows)), place]
+        more = lowest != _NONE
+        if not more.all():
+            ids[rows[~more], : left.shape[1]] = left[~more]
+            ids[rows[~more], left.shape[1] :] = -1
+            rows, place, lowest = rows[more], place[more], lowest[more]
+            left, left_ranks = left[more], left_ranks[more]
+            if not len(rows):
+                break
+        # What stands behind the pair's first part moves up by one.
+        source = columns[None, : left.shape[1] - 1] + (
+            columns[None, : left.shape[1] - 1] > place[:, None]
+        )
+        left = np.take_along_axis(left, source, axis=1)
+        left_ranks = np.take_along_axis(left_ranks, source, axis=1)
+        every = np.arange(len(rows))
+        left[every, place] = lowest
+        after = np.minimum(place + 1, left.shape[1] - 1)
+        behind = np.where(after > place, left[every, after], -1)
+        left_ranks[every, place] = pairs.rank(lowest, behind)
+        second = np.flatnonzero(place > 0)
+        before = place[second] - 1
+        left_ranks[second, before] = pairs.rank(left[second, before], lowest[second])
+    sizes = (ids >= 0).sum(axis=1)
+    flat, ends = ids[ids >= 0].astype("=i4").tobytes(), np.cumsum(sizes) * 4
+    return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
 def _java_pattern(pattern: str) -> str:
     """The same classes in Spark's expressions: Unicode white space as well."""
     return f"(?U){pattern}"
@@ -166,6 +265,72 @@ def fold_merges(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     )
 
 
+class _Decoded(dict):
+    """The bytes that a word's packed ids decode to, remembered for the words of the table."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.piece = {rank: piece for piece, rank in ranks.items()}.__getitem__
+
+    def __missing__(self, packed: bytes) -> bytes:
+        found = b"".join(map(self.piece, memoryview(packed).cast("i")))
+        if len(self) < MEMORY_WORDS and len(found) <= TABLE_WORD_BYTES:
+            self[packed] = found
+        return found
+
+
+def _tables(
+    docs: DataFrame, text: Column, ranks: dict[bytes, int], pattern: str, table_words: int
+) -> Broadcast:
+    """The folded table, the ranks and their pairs, for every task."""
+    spark = docs.sparkSession
+    bound_batches(spark)
+    bound_plan_texts(spark)
+    table = fold_merges(frequent_words(text, docs, pattern, table_words), ranks)
+    known = {row["word"]: _packed(row["ids"]) for row in table.toLocalIterator()}
+    return spark.sparkContext.broadcast((known, ranks, Pairs.of(ranks)))
+
+
+def _coder(tables: Broadcast, pattern: str) -> Callable[[pa.Array], Iterator[list[bytes]]]:
+    """A task's function from texts to the packed ids of each text's words.
+
+    Texts are taken together up to some length, and the words that are not known yet are merged
+    at once. They are remembered until there are too many; then the table alone stays.
+    """
+    split = regex.compile(pattern).findall
+    table, ranks, pairs = tables.value
+    known = dict(table)
+
+    def learn(words: set[str]) -> list[str]:
+        """Merge words; returns those that are too long to be remembered."""
+        coded = {word: word.encode() for word in words}
+        long = [word for word, content in coded.items() if len(content) > TABLE_WORD_BYTES]
+        for word in long:
+            known[word] = _packed(merge(coded.pop(word), ranks))
+        known.update(zip(coded, merge_many(list(coded.values()), pairs), strict=True))
+        return long
+
+    def code(texts: pa.Array) -> Iterator[list[bytes]]:
+        group: list[list[str]] = []
+        size = 0
+        for i, one in enumerate(texts):
+            text = one.as_py()
+            group.append(split(text))
+            size += len(text)
+            if size < _GROUP_CHARS and i + 1 < len(texts):
+                continue
+            long = learn(set().union(*group).difference(known))
+            yield from (list(map(known.__getitem__, words)) for words in group)
+            for word in long:
+                del known[word]
+            if len(known) > MEMORY_WORDS:
+                known.clear()
+                known.update(table)
+            group, size = [], 0
+
+    return code
+
+
 def encode(
     docs: DataFrame,
     ranks: dict[bytes, int],
@@ -179,31 +344,14 @@ def encode(
     `pattern` splits the text; each match is merged by itself, and there are no special
     tokens. `table_words` bounds the distinct words that are folded beforehand and sent out.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
     whole = F.coalesce(docs[text], F.lit(""))
-    table = fold_merges(frequent_words(whole, docs, pattern, table_words), ranks)
-    known = spark.sparkContext.broadcast(
-        {row["word"]: _packed(row["ids"]) for row in table.toLocalIterator()}
-    )
-    vocabulary = spark.sparkContext.broadcast(ranks)
+    tables = _tables(docs, whole, ranks, pattern, table_words)
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        split = regex.compile(pattern).findall
-        # A worker's copy of the table also takes what the worker merges, up to the bound.
-        ready, merges = known.value, vocabulary.value
-
-        def ids(word: str) -> bytes:
-            found = ready.get(word)
-            if found is None:
-                found = _packed(merge(word.encode(), merges))
-                if len(ready) < MEMORY_WORDS and len(word) <= TABLE_WORD_BYTES:
-                    ready[word] = found
-            return found
-
+        code = _coder(tables, pattern)
         for batch in batches:
-            coded = [b"".join(map(ids, split(one.as_py()))) for one in batch]
+            coded = [b"".join(words) for words in code(batch)]
             offsets = np.cumsum([0, *(len(one) // 4 for one in coded)])
             values = pa.array(np.frombuffer(b"".join(coded), np.int32))
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
@@ -211,8 +359,30 @@ def encode(
     return docs.withColumn(name, ids_of(whole))
 
 
+def encode_digests(
+    docs: DataFrame,
+    ranks: dict[bytes, int],
+    pattern: str,
+    text: str = "text",
+    table_words: int = TABLE_WORDS,
+) -> DataFrame:
+    """What `digests` gives for the ids of `encode`, in one pass: ids are decoded where they
+    were made, and only their digests leave the task."""
+    whole = F.coalesce(docs[text], F.lit(""))
+    tables = _tables(docs, whole, ranks, pattern, table_words)
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, decoded = _coder(tables, pattern), _Decoded(tables.value[1]).__getitem__
+        for batch in batches:
+            rows = code(batch.column("text"))
+            both = ((b"".join(ids), b"".join(map(decoded, ids))) for ids in rows)
+            yield _digest_rows(batch.column("doc_id"), both)
+
+    return docs.select("doc_id", whole.alias("text")).mapInArrow(report, _digest_schema(docs))
+
+
 def _packed(ids: Sequence[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+    return array("i", ids).tobytes()
 
 
 def _rows(lists: pa.Array) -> Iterator[np.ndarray]:
@@ -237,6 +407,25 @@ def decode(ids: Column, docs: DataFrame, ranks: dict[bytes, int]) -> Column:
     return joined(F.coalesce(ids, F.array().cast("array<int>")))
 
 
+def _digest_schema(docs: DataFrame) -> str:
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def _digest_rows(doc_ids: pa.Array, rows: Iterator[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    """Counts and digests of documents' packed ids and of the bytes that they decode to."""
+    counts, packed, decoded = [], [], []
+    for ids, content in rows:
+        counts.append(len(ids) // 4)
+        packed.append(hashlib.sha256(np.frombuffer(ids, np.int32).astype("<u4")).hexdigest())
+        decoded.append(hashlib.sha256(content).hexdigest())
+    columns = [pa.array(counts, pa.int64()), pa.array(packed, pa.string())]
+    return pa.RecordBatch.from_arrays(
+        [doc_ids, *columns, pa.array(decoded, pa.string())],
+        names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
 def digests(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
     """`doc_id`, `n_tokens`, and SHA-256 (lowercase hexadecimal) of the ids as little-endian
     unsigned 32-bit integers and of the bytes they decode to. Null ids count as none."""
@@ -246,17 +435,9 @@ def digests(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Data
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces.value.__getitem__
         for batch in batches:
-            counts, packed, decoded = [], [], []
-            for row in _rows(batch.column("ids")):
-                counts.append(len(row))
-                packed.append(hashlib.sha256(row.astype("<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(b"".join(map(piece, row.tolist()))).hexdigest())
-            columns = [batch.column("doc_id"), pa.array(counts, pa.int64())]
-            columns += [pa.array(packed, pa.string()), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(
-                columns, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            )
+            rows = (row.astype(np.int32) for row in _rows(batch.column("ids")))
+            pairs = ((row.tobytes(), b"".join(map(piece, row.tolist()))) for row in rows)
+            yield _digest_rows(batch.column("doc_id"), pairs)
 
-    kind = coded.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return coded.select("doc_id", F.col(ids).alias("ids")).mapInArrow(report, schema)
+    picked = coded.select("doc_id", F.col(ids).alias("ids"))
+    return picked.mapInArrow(report, _digest_schema(coded))

@@ -22,6 +22,19 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, f"{ARROW_BYTES}b")
 
 
+# Characters of a plan's text that Spark keeps for its listeners.
+PLAN_CHARS = 1 << 17
+_SPARKS_CHARS = "2147483632b"
+
+
+def bound_plan_texts(spark: SparkSession) -> None:
+    """Bound the text that Spark keeps of every plan, for plans with large literals. A bound
+    that the session was given stays."""
+    key = "spark.sql.maxPlanStringLength"
+    if spark.conf.get(key) == _SPARKS_CHARS:
+        spark.conf.set(key, f"{PLAN_CHARS}b")
+
+
 def words(text: Column) -> Column:
     """All words of `text`; null text has none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))

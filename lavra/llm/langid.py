@@ -25,7 +25,7 @@ UNDETERMINED = "und"
 # Bounds of the labelled sample that an automaton is built from, per language: whole texts, and
 # characters of all of them. Texts of up to the first of these lengths are preferred.
 SAMPLE_TEXTS = 64
-SAMPLE_CHARS = 1 << 16
+SAMPLE_CHARS = 1 << 15
 SHORT_CHARS, LONGEST_CHARS = 1 << 10, 1 << 16
 # Bound of the automata of all languages, which every task gets.
 MODEL_BYTES = 256 << 20
@@ -116,7 +116,8 @@ def _parser(moves: list[dict[int, int]], classes: int) -> np.ndarray:
     one starts with the same symbol. A symbol the root does not know is a phrase itself."""
     first = np.array([moves[0].get(symbol, 0) for symbol in range(classes)])
     alone = (first == 0).astype(int)
-    table = np.empty((len(moves), classes), np.int64)
+    narrow = len(moves) * classes << 2 < 1 << 31
+    table = np.empty((len(moves), classes), np.int32 if narrow else np.int64)
     table[0] = first * classes << 2 | alone
     table[1:] = first * classes << 2 | (1 + alone)
     for state, row in enumerate(moves):
@@ -124,7 +125,7 @@ def _parser(moves: list[dict[int, int]], classes: int) -> np.ndarray:
             if symbol >= 0:
                 table[state, symbol] = target * classes << 2
         table[state, _PAD] = state * classes << 2
-    return table.ravel().astype(np.int32 if table.max() < 1 << 31 else np.int64)
+    return table.ravel()
 
 
 def phrases(texts: list[bytes], model: Model) -> np.ndarray:

@@ -75,7 +75,8 @@ def op4_host_rules(spark: SparkSession, folder: str) -> DataFrame:
     rates = [
         F.round(F.col(f"{rule}_rate") + 1e-8, 6).alias(f"{rule}_rate") for rule in host_rules.RULES
     ]
-    return judged.select("doc_id", *host_rules.METRICS, "base_failed", "kept", *rates)
+    metrics = [*host_rules.METRICS, host_rules.LINES]
+    return judged.select("doc_id", *metrics, "base_failed", "kept", *rates)
 
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -84,8 +85,7 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 def bpe_report(docs: DataFrame) -> DataFrame:
     """Ids and decoded bytes of every document, as counts and digests."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    coded = bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(coded, ranks)
+    return bpe.encode_digests(docs, ranks, public_tokenizers.PATTERN)
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -38,6 +38,22 @@ def test_merges_like_the_library():
         assert bpe._merge_long(word.encode(), RANKS) == expected
 
 
+def test_many_words_at_once_equal_merge(monkeypatch):
+    draw = random.Random(5)
+    words = [
+        "".join(draw.choices("abcdeéü漢 'sthing", k=draw.randint(0, 14))).encode() for _ in range(3000)
+    ]
+    words += [b"a" * n for n in range(33)] + [bytes([b]) for b in range(256)] + [words[0]] * 3
+    words += [draw.randbytes(draw.randint(1, 32)) for _ in range(300)]
+    pairs = bpe.Pairs.of(RANKS)
+    expected = [bpe._packed(bpe.merge(word, RANKS)) if word else b"" for word in words]
+    for block in (1, 7, bpe._MERGED_AT_ONCE):
+        monkeypatch.setattr(bpe, "_MERGED_AT_ONCE", block)
+        some = slice(None, 400) if block == 1 else slice(None)
+        assert bpe.merge_many(words[some], pairs) == expected[some]
+    assert bpe.merge_many([], pairs) == []
+
+
 def test_fold_equals_merge(spark):
     draw = random.Random(4)
     words = ["x", "é", "ing", " the"]
@@ -47,13 +63,18 @@ def test_fold_equals_merge(spark):
         assert row["ids"] == bpe.merge(row["word"].encode(), RANKS)
 
 
-@pytest.mark.parametrize("table_words", [1, 1000])
-def test_whole_texts_like_the_library_and_back(docs, table_words):
+@pytest.mark.parametrize("table_words, bound", [(1, 3 << 16), (1000, 3 << 16), (5, 3)])
+def test_whole_texts_like_the_library_and_back(docs, monkeypatch, table_words, bound):
+    """Whatever the table holds, and however little a worker remembers."""
+    monkeypatch.setattr(bpe, "MEMORY_WORDS", bound)
+    monkeypatch.setattr(bpe, "_GROUP_CHARS", 1 << 19 if bound > 3 else 10)
     frame = docs(*enumerate(TEXTS), (3, TEXTS[3])).selectExpr("*", "1 AS word", "2 AS parts")
     coded = bpe.encode(frame, RANKS, public_tokenizers.PATTERN, table_words=table_words)
     found = coded.withColumn("bytes", bpe.decode(F.col("ids"), frame, RANKS)).collect()
     assert len(found) == len(TEXTS) + 1
     reports = {r["doc_id"]: r for r in bpe.digests(coded, RANKS).collect()}
+    at_once = bpe.encode_digests(frame, RANKS, public_tokenizers.PATTERN, table_words=table_words)
+    assert sorted(at_once.collect()) == sorted(bpe.digests(coded, RANKS).collect())
     for row in found:
         text = TEXTS[row["doc_id"]] or ""
         ids = LIBRARY.encode_ordinary(text)
@@ -73,3 +94,11 @@ def test_report_of_nothing(docs):
     (row,) = queries.bpe_report(docs((1, None))).collect()
     empty = hashlib.sha256(b"").hexdigest()
     assert tuple(row) == (1, 0, empty, empty)
+
+
+def test_plan_text_is_bounded(spark, docs):
+    """Spark keeps the text of plans, and the rank map is a literal of some megabytes."""
+    bpe.encode(docs((1, "a word")), RANKS, public_tokenizers.PATTERN)
+    frame = spark.createDataFrame([(" word",)], "word string")
+    plan = bpe.fold_merges(frame, RANKS)._jdf.queryExecution()
+    assert len(plan.toString()) < 200_000

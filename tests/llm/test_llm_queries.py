@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import struct
 
 import duckdb
+import public_tokenizers
 import pytest
+import sentencepiece
+import tiktoken
 
 import __spark_entry__ as entry_point
+from lavra.llm import bpe
 from lavra.llm.queries import ORACLE_SQL, QUERIES
 
 FOLDER = os.environ.get("LAVRA_TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -49,6 +55,36 @@ def test_query_has_a_row_per_document(spark, name, table):
     assert len(found) == len(ids) and set(found) == ids
 
 
+def _documents(spark):
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    return {r["doc_id"]: r["text"] or "" for r in rows}
+
+
+def test_op5_like_the_library(spark):
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding(
+        "test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+    )
+    texts = _documents(spark)
+    for row in QUERIES["op5_bpe"](spark, FOLDER).collect():
+        ids = library.encode_ordinary(texts[row["doc_id"]])
+        packed = struct.pack(f"<{len(ids)}I", *ids)
+        assert row["n_tokens"] == len(ids)
+        assert row["ids_sha256"] == hashlib.sha256(packed).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_op13_like_the_library(spark):
+    library = sentencepiece.SentencePieceProcessor(
+        model_file=public_tokenizers.path("piece_bpe_32k.model")
+    )
+    texts = _documents(spark)
+    for row in QUERIES["op13_token_counts"](spark, FOLDER).collect():
+        n = len(library.encode(texts[row["doc_id"]]))
+        size = len(texts[row["doc_id"]].encode())
+        assert (row["n_bytes"], row["n_tokens"], row["over_limit"]) == (size, n, n > 4096)
+
+
 def test_pipeline(spark):
     """Every stage against what it says it keeps."""
     import corpus_pipeline
