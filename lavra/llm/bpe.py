@@ -2,8 +2,9 @@
 
 Counting the words of the corpus is a Spark aggregation. Higher-order functions fold the ranked
 merges over the bytes of the most frequent distinct words, with the rank map as a literal. That
-bounded word table goes to every task, where a text becomes ids word by word; words outside the
-table are merged on the spot by the same rule, so the table's size changes speed, not results.
+bounded word table goes to every task, where texts become ids by looking up each distinct word
+of a group of them; words outside the table are merged on the spot by the same rule, so the
+table's size changes speed, not results.
 """
 
 from __future__ import annotations
@@ -16,7 +17,8 @@ import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import pairwise
+from functools import cached_property
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +28,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.llm.common import bound_batches, bound_plan_texts
+from lavra.runtime import staging
 
 # Bound of the word table that every task gets, and of the bytes of a word in it.
 TABLE_WORDS = 1 << 16
 TABLE_WORD_BYTES = 32
 # Words that a Python worker remembers at most, the table among them.
 MEMORY_WORDS = 3 << 16
+# Words that one task folds.
+_FOLDED_AT_ONCE = 1 << 13
 # The literal rank map is an array of small maps: a key's bucket is its checksum's remainder.
 _BUCKETS = 1 << 14
 # Bytes of a word up to which scanning is faster than keeping a queue.
 _SHORT = 64
-# Characters of texts whose unknown words are merged together, and words in one block of that.
-_GROUP_CHARS = 1 << 19
+# Characters of texts whose distinct words are looked up, and merged if unknown, together; and
+# words in one block of such merging.
+_GROUP_CHARS = 1 << 21
 _MERGED_AT_ONCE = 1 << 13
 # In place of a rank: larger than any.
 _NONE = (1 << 31) - 1
@@ -107,28 +113,36 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 @dataclass(frozen=True)
 class Pairs:
     """Ranks of joined pairs, for merging many words at once: `keys` (sorted) are the first
-    part's rank times the vocabulary's size plus the second's, `ranks` those of both joined."""
+    part's rank times the vocabulary's size plus the second's, `ranks` those of both joined.
+    `bytes` are the ranks of single bytes, `starts` those of each byte followed by each."""
 
     keys: np.ndarray
     ranks: np.ndarray
     bytes: np.ndarray
+    starts: np.ndarray
     size: int
 
     @classmethod
     def of(cls, ranks: dict[bytes, int]) -> Pairs:
         size = max(ranks.values(), default=0) + 1
-        found = {
-            first * size + second: rank
+        found = (
+            (first * size + second, rank)
             for piece, rank in ranks.items()
             for at in range(1, len(piece))
             if (first := ranks.get(piece[:at])) is not None
             and (second := ranks.get(piece[at:])) is not None
-        }
-        keys = np.fromiter(found, np.int64, len(found))
-        order = np.argsort(keys)
-        values = np.fromiter(found.values(), np.int32, len(found))
+        )
+        table = np.fromiter(found, [("key", np.int64), ("rank", np.int32)])
+        table.sort(order="key")
         single = [ranks.get(bytes([byte]), -1) for byte in range(256)]
-        return cls(keys[order], values[order], np.array(single, np.int32), size)
+        starts = [ranks.get(bytes([a, b]), _NONE) for a in range(256) for b in range(256)]
+        return cls(
+            table["key"].copy(),
+            table["rank"].copy(),
+            np.array(single, np.int32),
+            np.array(starts, np.int32),
+            size,
+        )
 
     def rank(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Rank of every pair; _NONE for those that do not join, or have no second part."""
@@ -159,10 +173,14 @@ def _merge_block(
     columns = np.arange(width)
     inside = columns[None, :] < lengths[chosen][:, None]
     # A row per word, ended by -1; every step shortens the rows that still have a pair.
+    content = np.frombuffer(b"".join(words[i] for i in chosen), np.uint8)
     ids = np.full((len(chosen), width), -1, np.int32)
-    ids[inside] = pairs.bytes[np.frombuffer(b"".join(words[i] for i in chosen), np.uint8)]
+    ids[inside] = pairs.bytes[content]
     ranks = np.full((len(chosen), width), _NONE, np.int32)
-    ranks[:, :-1] = pairs.rank(ids[:, :-1], ids[:, 1:])
+    paired = inside.copy()
+    paired[:, :-1] &= inside[:, 1:]
+    at = np.flatnonzero(paired[inside])
+    ranks[paired] = pairs.starts[content[at].astype(np.int32) << 8 | content[at + 1]]
     rows = np.arange(len(chosen))
     left, left_ranks = ids, ranks
     while len(rows):
@@ -200,17 +218,33 @@ def _java_pattern(pattern: str) -> str:
     return f"(?U){pattern}"
 
 
-def frequent_words(text: Column, docs: DataFrame, pattern: str, most: int) -> DataFrame:
-    """The `most` distinct words (`word`) that stand in the most documents; ties go by word."""
+def count_words(text: Column, docs: DataFrame, pattern: str) -> DataFrame:
+    """Distinct words (`word`) and the number of documents (`count`) that each stands in."""
     matches = F.regexp_extract_all(text, F.lit(_java_pattern(pattern)), F.lit(0))
     return (
         docs.select(F.explode(F.array_distinct(matches)).alias("word"))
         .groupBy("word")
         .count()
         .where(F.octet_length("word") <= TABLE_WORD_BYTES)
-        .orderBy(F.desc("count"), "word")
-        .limit(most)
-        .select("word")
+    )
+
+
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """The `most` words of the largest counts; ties go by word.
+
+    `counted` should be written, as it is read twice: first for the number of words by power of
+    two of their count, so that only words that may be among the first are put in order.
+    """
+    power = F.length(F.bin("count"))
+    sizes = counted.groupBy(power.alias("power")).agg(F.count(F.lit(1)).alias("words")).collect()
+    words = {row["power"]: row["words"] for row in sizes}
+    least, found = 0, 0
+    for least in sorted(words, reverse=True):
+        found += words[least]
+        if found >= most:
+            break
+    return (
+        counted.where(power >= least).orderBy(F.desc("count"), "word").limit(most).select("word")
     )
 
 
@@ -265,68 +299,109 @@ def fold_merges(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     )
 
 
-class _Decoded(dict):
-    """The bytes that a word's packed ids decode to, remembered for the words of the table."""
+def _folded(words: DataFrame, ranks: dict[bytes, int], most: int) -> pa.Table:
+    """The folded table of at most `most` words. They are written before they are folded: each
+    is folded once, in tasks of equal size, and the plan that holds the rank map is a short one."""
+    tasks = max(1, -(-most // _FOLDED_AT_ONCE))
+    with staging(words.repartition(tasks), "bpe_words") as written:
+        return fold_merges(written, ranks).toArrow()
+
+
+@dataclass
+class _Tables:
+    """What every task gets: the folded table, the pieces by rank and the ranks of pairs. The
+    dictionaries are made where they are used, once in a Python worker."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.piece = {rank: piece for piece, rank in ranks.items()}.__getitem__
+    folded: pa.Table
+    pieces: pa.LargeBinaryArray
+    pairs: Pairs
 
-    def __missing__(self, packed: bytes) -> bytes:
-        found = b"".join(map(self.piece, memoryview(packed).cast("i")))
-        if len(self) < MEMORY_WORDS and len(found) <= TABLE_WORD_BYTES:
-            self[packed] = found
-        return found
+    @cached_property
+    def known(self) -> dict[bytes, bytes]:
+        """Packed ids of the words of the folded table."""
+        words = self.folded["word"].cast(pa.large_binary()).to_pylist()
+        ids = chain.from_iterable(map(_rows, self.folded["ids"].chunks))
+        return {word: one.tobytes() for word, one in zip(words, ids, strict=True)}
+
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        pieces = enumerate(self.pieces.to_pylist())
+        return {piece: rank for rank, piece in pieces if piece is not None}
 
 
 def _tables(
     docs: DataFrame, text: Column, ranks: dict[bytes, int], pattern: str, table_words: int
 ) -> Broadcast:
-    """The folded table, the ranks and their pairs, for every task."""
+    """The folded table, the pieces and their pairs, for every task."""
     spark = docs.sparkSession
     bound_batches(spark)
     bound_plan_texts(spark)
-    table = fold_merges(frequent_words(text, docs, pattern, table_words), ranks)
-    known = {row["word"]: _packed(row["ids"]) for row in table.toLocalIterator()}
-    return spark.sparkContext.broadcast((known, ranks, Pairs.of(ranks)))
+    with staging(count_words(text, docs, pattern), "bpe_counts") as counted:
+        folded = _folded(most_frequent(counted, table_words), ranks, table_words)
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+    tables = _Tables(folded, pa.array(pieces, pa.large_binary()), Pairs.of(ranks))
+    return spark.sparkContext.broadcast(tables)
+
+
+def _taken(values: pa.LargeBinaryArray, places: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of the chosen values, one after the other, and where each starts and ends."""
+    if not len(places):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, offsets, content = values.take(places).buffers()
+    ends = np.frombuffer(offsets, np.int64)[: len(places) + 1]
+    return np.frombuffer(content, np.uint8)[: ends[-1]], ends
+
 
+# Ids of some texts, one after the other, and where each text's ids start and end.
+_Coded = tuple[np.ndarray, np.ndarray]
 
-def _coder(tables: Broadcast, pattern: str) -> Callable[[pa.Array], Iterator[list[bytes]]]:
-    """A task's function from texts to the packed ids of each text's words.
 
-    Texts are taken together up to some length, and the words that are not known yet are merged
-    at once. They are remembered until there are too many; then the table alone stays.
+def _coder(tables: _Tables, pattern: str) -> Callable[[pa.Array], Iterator[_Coded]]:
+    """A task's function from texts to their ids, for some texts at a time.
+
+    Texts are taken together up to some length. Arrow finds their distinct words; those that are
+    not known yet are merged at once, and each occurrence takes its word's ids. Words are
+    remembered until there are too many; then the table alone stays.
     """
     split = regex.compile(pattern).findall
-    table, ranks, pairs = tables.value
-    known = dict(table)
+    known = dict(tables.known)
+
+    def learn(words: list[bytes]) -> list[bytes]:
+        """Merge the words that are not known; returns those too long to be remembered."""
+        new = [word for word in words if word not in known]
+        long = [word for word in new if len(word) > TABLE_WORD_BYTES]
+        short = [word for word in new if len(word) <= TABLE_WORD_BYTES]
+        known.update(zip(short, merge_many(short, tables.pairs), strict=True))
+        known.update((word, _packed(merge(word, tables.ranks))) for word in long)
+        return long
 
-    def learn(words: set[str]) -> list[str]:
-        """Merge words; returns those that are too long to be remembered."""
-        coded = {word: word.encode() for word in words}
-        long = [word for word, content in coded.items() if len(content) > TABLE_WORD_BYTES]
+    def code_group(group: list[list[str]]) -> _Coded:
+        every = pa.array(chain.from_iterable(group), pa.large_string()).dictionary_encode()
+        words = every.dictionary.cast(pa.large_binary()).to_pylist()
+        long = learn(words)
+        packed = pa.array(map(known.__getitem__, words), pa.large_binary())
+        ids, ends = _taken(packed, every.indices)
         for word in long:
-            known[word] = _packed(merge(coded.pop(word), ranks))
-        known.update(zip(coded, merge_many(list(coded.values()), pairs), strict=True))
-        return long
+            del known[word]
+        if len(known) > MEMORY_WORDS:
+            known.clear()
+            known.update(tables.known)
+        return ids.view(np.int32), ends[np.cumsum([0, *map(len, group)])] // 4
 
-    def code(texts: pa.Array) -> Iterator[list[bytes]]:
+    def code(texts: pa.Array) -> Iterator[_Coded]:
         group: list[list[str]] = []
         size = 0
-        for i, one in enumerate(texts):
+        for one in texts:
             text = one.as_py()
             group.append(split(text))
             size += len(text)
-            if size < _GROUP_CHARS and i + 1 < len(texts):
-                continue
-            long = learn(set().union(*group).difference(known))
-            yield from (list(map(known.__getitem__, words)) for words in group)
-            for word in long:
-                del known[word]
-            if len(known) > MEMORY_WORDS:
-                known.clear()
-                known.update(table)
-            group, size = [], 0
+            if size >= _GROUP_CHARS:
+                yield code_group(group)
+                group, size = [], 0
+        if group:
+            yield code_group(group)
 
     return code
 
@@ -349,12 +424,13 @@ def encode(
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        code = _coder(tables, pattern)
+        code = _coder(tables.value, pattern)
         for batch in batches:
-            coded = [b"".join(words) for words in code(batch)]
-            offsets = np.cumsum([0, *(len(one) // 4 for one in coded)])
-            values = pa.array(np.frombuffer(b"".join(coded), np.int32))
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+            coded = [
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
+                for ids, ends in code(batch)
+            ]
+            yield pa.concat_arrays(coded) if coded else pa.array([], pa.list_(pa.int32()))
 
     return docs.withColumn(name, ids_of(whole))
 
@@ -372,11 +448,15 @@ def encode_digests(
     tables = _tables(docs, whole, ranks, pattern, table_words)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, decoded = _coder(tables, pattern), _Decoded(tables.value[1]).__getitem__
+        code, pieces = _coder(tables.value, pattern), tables.value.pieces
         for batch in batches:
-            rows = code(batch.column("text"))
-            both = ((b"".join(ids), b"".join(map(decoded, ids))) for ids in rows)
-            yield _digest_rows(batch.column("doc_id"), both)
+            done = 0
+            for ids, ends in code(batch.column("text")):
+                content, places = _taken(pieces, pa.array(ids))
+                spans = pairwise(ends.tolist())
+                both = ((ids[a:b], content[places[a] : places[b]]) for a, b in spans)
+                yield _digest_rows(batch.column("doc_id").slice(done, len(ends) - 1), both)
+                done += len(ends) - 1
 
     return docs.select("doc_id", whole.alias("text")).mapInArrow(report, _digest_schema(docs))
 
@@ -412,12 +492,14 @@ def _digest_schema(docs: DataFrame) -> str:
     return f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def _digest_rows(doc_ids: pa.Array, rows: Iterator[tuple[bytes, bytes]]) -> pa.RecordBatch:
-    """Counts and digests of documents' packed ids and of the bytes that they decode to."""
+def _digest_rows(
+    doc_ids: pa.Array, rows: Iterator[tuple[np.ndarray, bytes | np.ndarray]]
+) -> pa.RecordBatch:
+    """Counts and digests of documents' ids and of the bytes that they decode to."""
     counts, packed, decoded = [], [], []
     for ids, content in rows:
-        counts.append(len(ids) // 4)
-        packed.append(hashlib.sha256(np.frombuffer(ids, np.int32).astype("<u4")).hexdigest())
+        counts.append(len(ids))
+        packed.append(hashlib.sha256(ids.astype("<u4")).hexdigest())
         decoded.append(hashlib.sha256(content).hexdigest())
     columns = [pa.array(counts, pa.int64()), pa.array(packed, pa.string())]
     return pa.RecordBatch.from_arrays(
@@ -435,9 +517,9 @@ def digests(coded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Data
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = pieces.value.__getitem__
         for batch in batches:
-            rows = (row.astype(np.int32) for row in _rows(batch.column("ids")))
-            pairs = ((row.tobytes(), b"".join(map(piece, row.tolist()))) for row in rows)
-            yield _digest_rows(batch.column("doc_id"), pairs)
+            rows = _rows(batch.column("ids"))
+            both = ((row, b"".join(map(piece, row.tolist()))) for row in rows)
+            yield _digest_rows(batch.column("doc_id"), both)
 
     picked = coded.select("doc_id", F.col(ids).alias("ids"))
     return picked.mapInArrow(report, _digest_schema(coded))

@@ -102,3 +102,41 @@ def test_plan_text_is_bounded(spark, docs):
     frame = spark.createDataFrame([(" word",)], "word string")
     plan = bpe.fold_merges(frame, RANKS)._jdf.queryExecution()
     assert len(plan.toString()) < 200_000
+
+
+def _same(rows):
+    return sorted(tuple(row) for row in rows)
+
+
+@pytest.mark.parametrize("most", [1, 2, 5, 6, 40, 1000])
+def test_most_frequent_words(spark, most):
+    """The first by count and then by word, whatever powers of two the counts lie between."""
+    draw = random.Random(most)
+    counts = {f"w{i}": draw.choice([1, 1, 2, 3, 3, 4, 7, 8, 9, 300]) for i in range(60)}
+    counted = spark.createDataFrame(list(counts.items()), "word string, count bigint")
+    expected = sorted(counts, key=lambda word: (-counts[word], word))[:most]
+    found = [row["word"] for row in bpe.most_frequent(counted, most).collect()]
+    assert found == expected
+    assert bpe.most_frequent(counted.limit(0), most).collect() == []
+
+
+def test_what_tasks_get_is_flat(spark, docs, monkeypatch):
+    """The driver holds the table as Arrow and numpy buffers: no object per word or piece."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: sent.append(value) or send(self, value)
+    )
+    bpe.encode_digests(docs((1, "some words")), RANKS, public_tokenizers.PATTERN)
+    (tables,) = sent
+    assert set(vars(tables)) == {"folded", "pieces", "pairs"}
+    assert tables.folded.num_rows == 2
+    assert tables.known == {b"some": bpe._packed(bpe.merge(b"some", RANKS)),
+                            b" words": bpe._packed(bpe.merge(b" words", RANKS))}
+    assert tables.ranks == RANKS
+
+
+def test_no_table_at_all(docs):
+    frame = docs((1, "some words"), (2, None))
+    none = bpe.encode_digests(frame, RANKS, public_tokenizers.PATTERN, table_words=0)
+    some = bpe.encode_digests(frame, RANKS, public_tokenizers.PATTERN, table_words=10)
+    assert _same(none.collect()) == _same(some.collect())
