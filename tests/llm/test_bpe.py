@@ -120,6 +120,24 @@ def test_most_frequent_words(spark, most):
     assert bpe.most_frequent(counted.limit(0), most).collect() == []
 
 
+def test_each_word_of_the_table_is_folded_once(docs, monkeypatch):
+    """The fold runs on a written table, so that a limit above it folds no words to drop them,
+    and no plan with exchanges holds the rank map."""
+    plans, fold = [], bpe.fold_merges
+
+    def seen(words, ranks):
+        plans.append(words._jdf.queryExecution().optimizedPlan().toString())
+        return fold(words, ranks)
+
+    monkeypatch.setattr(bpe, "fold_merges", seen)
+    frame = docs(*((i, f"a{i % 7} b{i} and words") for i in range(50)))
+    coded = bpe.encode_digests(frame, RANKS, public_tokenizers.PATTERN, table_words=9)
+    expected = bpe.digests(bpe.encode(frame, RANKS, public_tokenizers.PATTERN), RANKS)
+    assert _same(coded.collect()) == _same(expected.collect())
+    assert len(plans) == 2
+    assert not any(word in plan for plan in plans for word in ("Limit", "Sort", "Aggregate"))
+
+
 def test_what_tasks_get_is_flat(spark, docs, monkeypatch):
     """The driver holds the table as Arrow and numpy buffers: no object per word or piece."""
     sent, send = [], type(spark.sparkContext).broadcast
